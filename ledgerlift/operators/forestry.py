@@ -30,6 +30,9 @@ def amounts_to_rows(df: DataFrame, ids: Sequence[str]) -> DataFrame:
     wrong = [f"{f.name} ({f.dataType.simpleString()})" for f in amounts if not isinstance(f.dataType, T.NumericType)]
     if wrong:
         raise ValueError(f"amounts must be numbers: {', '.join(wrong)}")
+    if not amounts:  # a delivery without any: no rows, but the same columns
+        none = [F.lit(None).cast("string").alias("felt"), F.lit(None).cast("double").alias("beloep")]
+        return df.select(*ids, *none).where(F.lit(False))
     df = df.select(*ids, *[F.col(f.name).cast("double").alias(f.name) for f in amounts])
     return df.unpivot(list(ids), [f.name for f in amounts], "felt", "beloep").where(has_amount())
 
@@ -52,12 +55,18 @@ def fund(filings: DataFrame, per_account: bool = False, ordered: bool = True) ->
     rows = latest_account(filings, per_account).select(
         *HEADER,
         F.col("account.id").alias("skogOgToemmerkontoId"),
-        F.explode("account.skogfond").alias("fund"),
+        F.col("fragment").alias("_fragment"),
+        F.posexplode("account.skogfond").alias("_place", "fund"),
     )
-    ids = [*HEADER, "skogOgToemmerkontoId", "id", "kommunenummer"]
+    place = ["_fragment", "_place"]
+    ids = [*HEADER, "skogOgToemmerkontoId", "id", "kommunenummer", *place]
     out = amounts_to_rows(open_struct(rows, "fund"), ids)
-    order = ("norskIdentifikator", "inntektsaar", "skogOgToemmerkontoId", "kommunenummer", "felt")
-    return _in_order(out, *order) if ordered else out
+    if ordered:
+        # the place in the filing makes the order total: an account with very many
+        # equal entries is then sorted by several tasks
+        order = ("norskIdentifikator", "inntektsaar", "skogOgToemmerkontoId", "kommunenummer", "felt", "id")
+        out = _in_order(out, *order, *place)
+    return out.drop(*place)
 
 
 def _in_order(df: DataFrame, *columns: str) -> DataFrame:

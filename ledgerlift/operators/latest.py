@@ -56,9 +56,9 @@ def _last_header(candidates: DataFrame) -> DataFrame:
 
 def _last_filings(candidates: DataFrame) -> DataFrame:
     if is_fragmented(candidates):
-        return candidates.join(
-            _last_header(candidates), F.col(SEQUENCE) == F.col("_sequence"), "left_semi"
-        )
+        # the join key is a column of its own: nested fields in a join condition hinder pruning
+        keyed = candidates.withColumn("_sequence", F.col(SEQUENCE))
+        return keyed.join(_last_header(candidates), "_sequence", "left_semi").drop("_sequence")
     return _last(candidates, [FILER, YEAR], [F.col(TIME).desc(), F.col(SEQUENCE).desc()])
 
 
@@ -73,21 +73,23 @@ def latest_with_accounts(filings: DataFrame) -> DataFrame:
 
 
 def latest_account(filings: DataFrame, per_account: bool = False) -> DataFrame:
-    """Forestry accounts as rows ``(header…, account)``, the last one per filer and year.
+    """Forestry accounts as rows ``(header…, fragment, account)``, the last one per filer and year.
 
     ``per_account=True`` keeps every account of the last registration instead.
     """
+    fragmented = is_fragmented(filings)
     header = [
         F.col(FILER).alias("norskIdentifikator"),
         F.col(YEAR).cast("bigint").alias("inntektsaar"),
         F.col(TIME).alias("registreringstidspunkt"),
         F.col(SEQUENCE).alias("sekvensnummer"),
+        (F.col("hendelse.fragment") if fragmented else F.lit(0)).alias("fragment"),
     ]
     if per_account:
         return latest_with_accounts(filings).select(*header, F.explode(ACCOUNTS).alias("account"))
     rows = filings.where(F.size(ACCOUNTS) > 0).select(*header, F.explode(ACCOUNTS).alias("account"))
     keys = ["norskIdentifikator", "inntektsaar"]
-    if is_fragmented(filings):
+    if fragmented:
         # one account may be spread over records: keep every piece of the winning account
         last = (
             rows.select(*keys, "registreringstidspunkt", "sekvensnummer", F.col("account.id").alias("accountId"))
@@ -99,8 +101,9 @@ def latest_account(filings: DataFrame, per_account: bool = False) -> DataFrame:
             .agg(F.max(F.struct("registreringstidspunkt", "sekvensnummer", "accountId")).alias("w"))
             .select(F.col("w.sekvensnummer").alias("_sequence"), F.col("w.accountId").alias("_account"))
         )
-        same = (F.col("sekvensnummer") == F.col("_sequence")) & F.col("account.id").eqNullSafe(F.col("_account"))
-        return rows.join(last, same, "left_semi")
+        keyed = rows.withColumn("_accountId", F.col("account.id"))
+        same = (F.col("sekvensnummer") == F.col("_sequence")) & F.col("_accountId").eqNullSafe(F.col("_account"))
+        return keyed.join(last, same, "left_semi").drop("_accountId")
     return _last(
         rows,
         keys,

@@ -75,13 +75,12 @@ def derive(latest: DataFrame, name: str, decimals: int | None = DECIMALS) -> Dat
                 for v, (a, minus) in AMOUNT_VARIABLES[name].items()
             ]
         )
-    if decimals is None:
-        amount, back = F.col("beloep"), lambda total: total
-    else:
-        amount, back = to_minor(F.col("beloep"), decimals), lambda total: to_major(total, decimals)
+    amount = F.col("beloep") if decimals is None else to_minor(F.col("beloep"), decimals)
+    rows = rows.select("orgnr", "type", amount.alias("amount"))
+    sums = {
+        v: F.sum(F.when(F.col("type").isin(*codes), F.col("amount")).otherwise(F.lit(0)))
+        for v, codes in POST_VARIABLES[name].items()
+    }
     return rows.groupBy("orgnr").agg(
-        *[
-            back(F.sum(F.when(F.col("type").isin(*codes), amount).otherwise(F.lit(0)))).alias(v)
-            for v, codes in POST_VARIABLES[name].items()
-        ]
+        *[(s if decimals is None else to_major(s, decimals)).alias(v) for v, s in sums.items()]
     )

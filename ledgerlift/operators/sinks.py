@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -27,3 +30,11 @@ def write_counted(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
     rows = int(seen.get["rows"])
     log.info("wrote %d rows to %s", rows, path)
     return rows
+
+
+def run_all[T](tasks: Mapping[str, Callable[[], T]], at_once: int) -> dict[str, T]:
+    """Independent Spark jobs, several at a time, so that the last tasks of one
+    table do not leave the cluster idle. The first failure is raised."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        running = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+        return {name: job.result() for name, job in running.items()}

@@ -5,12 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterable
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.operators import forestry, objects, quality, sections
 from ledgerlift.operators.latest import latest_filings
-from ledgerlift.operators.sinks import object_path, stamped_path, write_counted
+from ledgerlift.operators.sinks import object_path, run_all, stamped_path, write_counted
 from ledgerlift.plans.catalog import (
     DATE_VARIABLES,
     FORESTRY_ACCOUNTS_PREFIX,
@@ -26,6 +27,8 @@ from ledgerlift.sources.deliveries import discover_forestry_amounts, parse_deliv
 
 log = logging.getLogger(__name__)
 
+JOBS_AT_ONCE = 4
+
 
 def collect(
     spark: SparkSession,
@@ -34,6 +37,7 @@ def collect(
     source: str = "avro",
     at: datetime | None = None,
     discover: bool = False,
+    at_once: int = JOBS_AT_ONCE,
 ) -> dict[str, int]:
     """Collect one delivery: snapshot, forestry, main tables and theme subsets.
 
@@ -60,9 +64,8 @@ def collect(
         FORESTRY_FUND_PREFIX: forestry.fund(filings),
         **{name: sections.section(latest, name) for name, spec in SECTIONS.items() if spec.scheduled},
     }
-    for prefix, df in outputs.items():
-        rows[prefix] = write_counted(df, stamped_path(out, prefix, at))
-    return rows
+    writes = {prefix: partial(write_counted, df, stamped_path(out, prefix, at)) for prefix, df in outputs.items()}
+    return rows | run_all(writes, at_once)
 
 
 def store_latest(filings: DataFrame, path: str) -> DataFrame:
@@ -78,13 +81,20 @@ def store_all_sections(latest: DataFrame, path: str) -> None:
 
 
 def derive_all(
-    latest: DataFrame, out: str, cross_section: str, version: str, names: Iterable[str] = STORED_OBJECTS
+    latest: DataFrame,
+    out: str,
+    cross_section: str,
+    version: str,
+    names: Iterable[str] = STORED_OBJECTS,
+    at_once: int = JOBS_AT_ONCE,
 ) -> dict[str, str]:
     """Derive and store the form objects; returns the path of each."""
-    paths = {}
-    for name in names:
-        paths[name] = object_path(out, cross_section, version, name)
-        write_counted(objects.derive(latest, name), paths[name], mode="overwrite")
+    paths = {name: object_path(out, cross_section, version, name) for name in names}
+    writes = {
+        name: partial(write_counted, objects.derive(latest, name), path, mode="overwrite")
+        for name, path in paths.items()
+    }
+    run_all(writes, at_once)
     return paths
 
 

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlift.operators import layouts
 from ledgerlift.operators.latest import latest_filings
 from ledgerlift.plans.catalog import POST_LISTS
-from ledgerlift.session import configure, scratch_path
+from ledgerlift.session import configure, data_version, scratch_path
 from ledgerlift.sources import orders
 from ledgerlift.sources.deliveries import as_delivery
 from ledgerlift.sources.tables import scan
 
-_paths: dict[tuple[str, str, str], str] = {}
+_paths: dict[tuple, str] = {}
+_SOURCES = ("orders", "customer", "lineitem", "supplier")
 
 
 class Workspace:
@@ -27,9 +28,10 @@ class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        self._version = data_version(spark, [f"{self.sf_dir}/{name}.parquet" for name in _SOURCES])
 
-    def _key(self, name: str) -> tuple[str, str, str]:
-        return (self.spark.sparkContext.applicationId, self.sf_dir, name)
+    def _key(self, name: str) -> tuple:
+        return (self.spark.sparkContext.applicationId, self.sf_dir, self._version, name)
 
     def _path(self, name: str, write: Callable[[str], None]) -> str:
         key = self._key(name)

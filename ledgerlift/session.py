@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -35,3 +36,15 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used before."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def data_version(spark: SparkSession, paths: Iterable[str]) -> tuple[tuple[int, int, int], ...]:
+    """Bytes, files and time of change of each path: differs when the data was replaced."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    versions = []
+    for path in paths:
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(conf)
+        size = fs.getContentSummary(at)
+        versions.append((size.getLength(), size.getFileCount(), fs.getFileStatus(at).getModificationTime()))
+    return tuple(versions)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def register(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Scan a Parquet table and give it a name in SQL."""
-    spark.read.parquet(path).createOrReplaceTempView(name)
+    scan(spark, path).createOrReplaceTempView(name)
     return spark.table(name)
 
 
