@@ -15,8 +15,10 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.operators.latest import latest_filings
+from ledgerlift.operators.layouts import wide_layout
 from ledgerlift.plans import registry
 from ledgerlift.plans.workspace import Workspace
+from ledgerlift.sources.deliveries import parse_delivery, read_delivery
 from ledgerlift.sources.orders import order_filings
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -93,7 +95,12 @@ def main() -> None:
     times = {
         # what the shared tables cost, apart from the queries that read them
         "build_filings": timed("build_filings", lambda: run(order_filings(spark, SF_DIR))),
+        "parse_delivery": timed(
+            "parse_delivery", lambda: run(parse_delivery(read_delivery(spark, ws.delivery(), "parquet")))
+        ),
         "latest_filing": timed("latest_filing", lambda: run(latest_filings(ws.filings()))),
+        "build_long": timed("build_long", lambda: run(ws.long_source())),
+        "build_wide": timed("build_wide", lambda: run(wide_layout(ws.long(), ws.wide_fields()))),
     }
     for name in HEADLINE:
         times[name] = timed(name, lambda name=name: run(queries[name](spark, SF_DIR)))

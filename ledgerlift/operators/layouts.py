@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerlift.functions.amounts import number, sum_amount, to_major, to_minor
 from ledgerlift.operators.latest import FILER
 from ledgerlift.operators.sections import branch, has_amount
+from ledgerlift.operators.sinks import run_all
 from ledgerlift.plans.catalog import POST_LISTS, list_codes
 from ledgerlift.sources.tables import scan
 
@@ -125,9 +127,8 @@ def write_partitioned(long: DataFrame, path: str) -> None:
 
 
 def write_wide(wide: DataFrame, path: str) -> None:
-    # one row per filer, so a range of filers cannot be skewed
-    rows = wide.repartitionByRange("norskIdentifikator").sortWithinPartitions("norskIdentifikator")
-    _for_lookup(rows).parquet(path)
+    # one row per filer, and the pivot has already spread the filers: only the order is missing
+    _for_lookup(wide.sortWithinPartitions("norskIdentifikator")).parquet(path)
 
 
 def theme_path(root: str, gruppe: str) -> str:
@@ -135,10 +136,13 @@ def theme_path(root: str, gruppe: str) -> str:
     return f"{root}/{spec.hovedtema}/{spec.undertema}/{gruppe}"
 
 
-def write_wide_themes(long: DataFrame, root: str, groups: Mapping[str, Iterable[str]]) -> None:
+def write_wide_themes(long: DataFrame, root: str, groups: Mapping[str, Iterable[str]], at_once: int = 4) -> None:
     """Wide subsets in a theme directory tree; ``groups`` maps a group to codes beyond the form's."""
-    for gruppe, extra in groups.items():
-        write_wide(wide_theme(long, gruppe, extra), theme_path(root, gruppe))
+    writes = {
+        gruppe: partial(write_wide, wide_theme(long, gruppe, extra), theme_path(root, gruppe))
+        for gruppe, extra in groups.items()
+    }
+    run_all(writes, at_once)
 
 
 def read_wide_themes(spark: SparkSession, root: str, groups: Iterable[str]) -> DataFrame:

@@ -18,7 +18,7 @@ from ledgerlift.plans.catalog import OBJECTS, SECTIONS, STORED_OBJECTS
 from ledgerlift.plans.workspace import Workspace
 from ledgerlift.session import configure, scratch_path
 from ledgerlift.sources import orders
-from ledgerlift.sources.deliveries import as_delivery, parse_delivery, parse_payload, read_delivery
+from ledgerlift.sources.deliveries import parse_payload
 from ledgerlift.sources.tables import drop_view, filtered_view, scan, scan_partitions, scan_tree
 
 FILER = "00000000007"
@@ -74,8 +74,7 @@ def _event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ingest_filings(ws: Workspace) -> DataFrame:
-    raw = read_delivery(ws.spark, ws.delivery(), "parquet")
-    return sections.section(latest.latest_filings(parse_delivery(raw)), "naering")
+    return sections.section(latest.latest_filings(ws.snapshot()), "naering")
 
 
 def _pipeline_roundtrip(ws: Workspace) -> DataFrame:
@@ -127,7 +126,7 @@ def _wide_to_long(ws: Workspace) -> DataFrame:
 
 
 def _statistics(ws: Workspace, name: str) -> DataFrame:
-    out = pipeline.statistics(objects.derive(ws.latest(), name), name)
+    out = pipeline.statistics(ws.derived(name), name)
     if "mean" in out.columns:
         out = out.withColumns({"mean": F.round("mean", 4), "std": F.round("std", 2)})
     return out

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.operators import layouts
 from ledgerlift.operators.latest import latest_filings
+from ledgerlift.operators.objects import derive
 from ledgerlift.plans.catalog import POST_LISTS
 from ledgerlift.session import configure, data_version, scratch_path
 from ledgerlift.sources import orders
-from ledgerlift.sources.deliveries import as_delivery
+from ledgerlift.sources.deliveries import as_delivery, parse_delivery, read_delivery
 from ledgerlift.sources.tables import scan
 
 _paths: dict[tuple, str] = {}
@@ -61,6 +62,20 @@ class Workspace:
         """The filings as a raw delivery: event records with JSON payloads."""
         return self._path("delivery", lambda path: as_delivery(self.filings()).write.parquet(path))
 
+    def snapshot(self) -> DataFrame:
+        """That delivery collected: the JSON is parsed once, into nested columns."""
+
+        def write(path: str) -> None:
+            parse_delivery(read_delivery(self.spark, self.delivery(), "parquet")).write.parquet(path)
+
+        return self.spark.read.parquet(self._path("snapshot", write))
+
+    def derived(self, name: str) -> DataFrame:
+        """A derived object as it is stored."""
+        return self.spark.read.parquet(
+            self._path(f"derived-{name}", lambda path: derive(self.latest(), name).write.parquet(path))
+        )
+
     def long_source(self) -> DataFrame:
         return orders.garble_small_amounts(layouts.long_layout(self.latest()))
 

@@ -27,7 +27,11 @@ def parse_payload(payload: Column, ddl: str) -> Column:
 
 
 def parse_delivery(raw: DataFrame, body: str | None = None) -> DataFrame:
-    """Raw events to filings: ``hendelse`` and ``naeringsspesifikasjon`` structs."""
+    """Raw events to filings: ``hendelse`` and ``naeringsspesifikasjon`` structs.
+
+    Store the result before querying it: a filter on a parsed field would be pushed
+    below the projection and parse the text a second time.
+    """
     header = raw.select(
         parse_payload(F.col("data.hendelse"), schema.EVENT_HEADER_JSON).alias("h"),
         parse_payload(F.col("data.naeringsspesifikasjon"), body or schema.filing_body()).alias(

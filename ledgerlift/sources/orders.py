@@ -46,18 +46,19 @@ def extra_codes(gruppe: str) -> list[str]:
 
 
 def _post_code() -> Column:
-    position = F.expr("l_partkey div 13 + l_linenumber - 1")
-    code = F.lit(None).cast("string")
+    """The code of a line: one of its list's codes, by position."""
+    position = "l_partkey div 13 + l_linenumber - 1"
+    cases = []
     for number, name in enumerate(LISTS):
         codes = list_codes(name)
-        if codes:
-            of_list = F.element_at(
-                F.array(*[F.lit(c) for c in codes]), F.pmod(position, F.lit(len(codes))).cast("int") + 1
-            )
-        else:
-            of_list = (F.lit(2700) + F.col("l_linenumber")).cast("string")
-        code = F.when(F.col("liste") == number, of_list).otherwise(code)
-    return F.when(F.col("l_linenumber") == 7, F.lit(UNKNOWN_CODE)).otherwise(code)
+        listed = ", ".join(f"'{code}'" for code in codes)
+        code = (
+            f"element_at(array({listed}), cast(pmod({position}, {len(codes)}) as int) + 1)"
+            if codes
+            else "cast(2700 + l_linenumber as string)"
+        )
+        cases.append(f"when liste = {number} then {code}")
+    return F.expr(f"case when l_linenumber = 7 then '{UNKNOWN_CODE}' {' '.join(cases)} end")
 
 
 def order_lines(lineitem: DataFrame, max_posts: int = MAX_POSTS) -> tuple[DataFrame, bool]:
@@ -116,10 +117,13 @@ def _post_lists(lines: DataFrame, fragmented: bool) -> DataFrame:
         for n, name in enumerate(INVENTORY_AMOUNTS[:-1], start=1)
     ]
     stock.append(F.sum(price).alias(INVENTORY_AMOUNTS[-1]))
-    keys = ["l_orderkey", "fragment"] if fragmented else ["l_orderkey"]
-    parts = lines.repartition(*keys).groupBy("l_orderkey", "fragment").agg(*posts, *sums, *stock)
-    names = [*LIST_SUMS, *INVENTORY_AMOUNTS]
-    return _totals_first(parts, ["l_orderkey"], names) if fragmented else parts
+    if not fragmented:
+        by_order = lines.repartition("l_orderkey").groupBy("l_orderkey", "fragment")
+        return by_order.agg(*posts).join(by_order.agg(*sums, *stock), ["l_orderkey", "fragment"])
+    # the sums are fixed in width and added before the shuffle, so a long order does not weigh on them
+    lists = lines.repartition("l_orderkey", "fragment").groupBy("l_orderkey", "fragment").agg(*posts)
+    totals = lines.groupBy("l_orderkey").agg(*sums, *stock).withColumn("fragment", F.lit(0).cast("bigint"))
+    return lists.join(totals, ["l_orderkey", "fragment"], "full")
 
 
 def _accounts(lines: DataFrame, supplier: DataFrame, fragmented: bool) -> DataFrame:
