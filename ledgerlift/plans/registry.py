@@ -42,6 +42,11 @@ def _headers(filings: DataFrame) -> DataFrame:
     return latest.whole(filings).select(*sections.header())
 
 
+def _account_headers(accounts: DataFrame) -> DataFrame:
+    whole = accounts.where("fragment = 0")  # where every account of a filing has its amounts
+    return whole.select(*forestry.HEADER, F.col("account.id").alias("skogOgToemmerkontoId"))
+
+
 def _ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     events = orders.event_delivery(spark, sf_dir).select(
@@ -144,14 +149,10 @@ def build() -> dict[str, Query]:
         "latest_filing": _on(lambda ws: _headers(ws.latest())),
         "latest_filing_with_accounts": _on(lambda ws: _headers(latest.latest_with_accounts(ws.filings()))),
         "latest_after_explode": _on(
-            lambda ws: latest.latest_account(ws.filings()).select(
-                *forestry.HEADER, F.col("account.id").alias("skogOgToemmerkontoId")
-            )
+            lambda ws: _account_headers(latest.latest_account(ws.filings()))
         ),
         "latest_accounts_all": _on(
-            lambda ws: latest.latest_account(ws.filings(), per_account=True).select(
-                *forestry.HEADER, F.col("account.id").alias("skogOgToemmerkontoId")
-            )
+            lambda ws: _account_headers(latest.latest_account(ws.filings(), per_account=True))
         ),
     }
     for name in SECTIONS:

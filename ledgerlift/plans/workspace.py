@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,13 @@ from ledgerlift.operators import layouts
 from ledgerlift.operators.latest import latest_filings
 from ledgerlift.operators.objects import derive
 from ledgerlift.plans.catalog import POST_LISTS
-from ledgerlift.session import configure, data_version, scratch_path
+from ledgerlift.session import configure, data_version, is_written, scratch_path
 from ledgerlift.sources import orders
 from ledgerlift.sources.deliveries import as_delivery, parse_delivery, read_delivery
 from ledgerlift.sources.tables import scan
 
 _paths: dict[tuple, str] = {}
+_building = threading.RLock()
 _SOURCES = ("orders", "customer", "lineitem", "supplier")
 
 
@@ -36,12 +38,18 @@ class Workspace:
 
     def _path(self, name: str, write: Callable[[str], None]) -> str:
         key = self._key(name)
-        if key not in _paths:
-            path = scratch_path(self.spark, name)
-            write(path)
-            _paths[key] = path
+        with _building:
+            if key not in _paths or not self._is_there(_paths[key]):
+                path = scratch_path(self.spark, name)
+                write(path)
+                _paths[key] = path
         return _paths[key]
 
+    def _is_there(self, path: str) -> bool:
+        # the folder of wide subsets holds tables, it is none itself
+        probe = layouts.theme_path(path, "egenkapital") if "/wide_themes-" in path else path
+        return is_written(self.spark, probe)
+
     def path(self, name: str) -> str:
         """Where a table that was already asked for is stored."""
         return _paths[self._key(name)]

@@ -38,13 +38,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to the end and is still there."""
+    fs, at = _file_system(spark, f"{path}/_SUCCESS")
+    return fs.exists(at)
+
+
 def data_version(spark: SparkSession, paths: Iterable[str]) -> tuple[tuple[int, int, int], ...]:
     """Bytes, files and time of change of each path: differs when the data was replaced."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     versions = []
     for path in paths:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        fs = at.getFileSystem(conf)
+        fs, at = _file_system(spark, path)
         size = fs.getContentSummary(at)
         versions.append((size.getLength(), size.getFileCount(), fs.getFileStatus(at).getModificationTime()))
     return tuple(versions)

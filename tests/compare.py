@@ -19,8 +19,10 @@ TABLES = (
 def connect(sf_dir: str):
     con = duckdb.connect()
     for table in TABLES:
-        if Path(f"{sf_dir}/{table}.parquet").exists():
-            con.execute(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
+        path = Path(f"{sf_dir}/{table}.parquet")
+        if path.exists():
+            files = f"{path}/*.parquet" if path.is_dir() else path
+            con.execute(f"create view {table} as select * from '{files}'")
     return con
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from ledgerlift.operators import forestry, layouts, objects, sections
-from ledgerlift.operators.latest import is_fragmented, latest_filings, whole
+from ledgerlift.operators.latest import is_fragmented, latest_account, latest_filings, whole
 from ledgerlift.plans.catalog import OBJECTS
 from ledgerlift.sources.orders import order_filings
 from pyspark.sql import functions as F
@@ -44,6 +44,14 @@ def test_forestry(pieces, workspace):
     assert same(forestry.fund(pieces, True), forestry.fund(workspace.filings(), True))
 
 
+def test_account_headers(pieces, workspace):
+    for every in (False, True):
+        cut, plain = latest_account(pieces, every), latest_account(workspace.filings(), every)
+        columns = [*forestry.HEADER, F.col("account.id")]
+        assert cut.count() > plain.count()
+        assert same(cut.where("fragment = 0").select(*columns), plain.select(*columns))
+
+
 @pytest.mark.parametrize("name", OBJECTS)
 def test_objects(latest_pieces, workspace, name):
     assert same(objects.derive(latest_pieces, name), objects.derive(workspace.latest(), name))
