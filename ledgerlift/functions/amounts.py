@@ -31,6 +31,17 @@ def sum_amount(amount: Column, decimals: int | None = DECIMALS) -> Column:
     return to_major(F.sum(to_minor(amount, decimals)), decimals)
 
 
+def sum_sql(amount: str, decimals: int | None = DECIMALS) -> str:
+    """``sum_amount`` as SQL text, for wide selects where building columns one by one is slow."""
+    if decimals is None:
+        return f"sum({amount})"
+    return major_sql(f"sum(cast(rint(({amount}) * {10**decimals}.0D) as bigint))", decimals)
+
+
+def major_sql(minor: str, decimals: int | None = DECIMALS) -> str:
+    return minor if decimals is None else f"{minor} / {10**decimals}.0D"
+
+
 def number(text: Column, strict: bool = False) -> Column:
     """Number in a text; anything else is NULL, or an error when ``strict``."""
     return text.cast("double") if strict else text.try_cast("double")

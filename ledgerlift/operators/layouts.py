@@ -8,9 +8,9 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.functions.amounts import number, sum_amount, to_major, to_minor
+from ledgerlift.functions.amounts import major_sql, number, sum_amount, sum_sql, to_minor
 from ledgerlift.operators.latest import FILER
-from ledgerlift.operators.sections import branch, has_amount
+from ledgerlift.operators.sections import branch_sql, has_amount
 from ledgerlift.operators.sinks import run_all
 from ledgerlift.plans.catalog import POST_LISTS, list_codes
 from ledgerlift.sources.tables import scan
@@ -22,15 +22,13 @@ LONG = ("norskIdentifikator", "felt_id", "felt_verdi", *THEMES)
 def long_layout(latest: DataFrame) -> DataFrame:
     """One row per post: filer, ``p`` and post code, amount as text, and themes."""
     lists = [
-        F.struct(
-            F.lit(spec.hovedtema).alias("hovedtema"),
-            F.lit(spec.undertema).alias("undertema"),
-            F.lit(name).alias("gruppe"),
-            branch(name).alias("posts"),
-        )
+        f"named_struct('hovedtema', '{spec.hovedtema}', 'undertema', '{spec.undertema}', 'gruppe', '{name}', "
+        f"'posts', {branch_sql(name)})"
         for name, spec in POST_LISTS.items()
     ]
-    rows = latest.select(F.col(FILER).alias("norskIdentifikator"), F.explode(F.array(*lists)).alias("t"))
+    rows = latest.select(
+        F.col(FILER).alias("norskIdentifikator"), F.expr(f"explode(array({', '.join(lists)}))").alias("t")
+    )
     rows = rows.select(
         "norskIdentifikator", *[F.col(f"t.{c}").alias(c) for c in THEMES], F.inline("t.posts").alias("type", "beloep")
     )
@@ -50,7 +48,7 @@ def wide_layout(long: DataFrame, fields: Sequence[str]) -> DataFrame:
     """
     cents = long.select("norskIdentifikator", "felt_id", to_minor(number(F.col("felt_verdi"))).alias("v"))
     wide = cents.groupBy("norskIdentifikator").pivot("felt_id", list(fields)).agg(F.sum("v"))
-    return wide.select("norskIdentifikator", *[to_major(F.col(f)).alias(f) for f in fields])
+    return wide.selectExpr("norskIdentifikator", *[f"{major_sql(f)} as {f}" for f in fields])
 
 
 def theme_fields(gruppe: str, extra: Iterable[str] = ()) -> list[str]:
@@ -92,7 +90,7 @@ def _of(df: DataFrame, filer: str | None) -> DataFrame:
 def wide_prefix_sum(wide: DataFrame, prefix: str, filer: str | None = None) -> DataFrame:
     """Sum of every column whose name starts with ``prefix``."""
     fields = [c for c in wide.columns if c.startswith(prefix)]
-    return _of(wide, filer).agg(*[sum_amount(F.col(c)).alias(c) for c in fields])
+    return _of(wide, filer).agg(*[F.expr(f"{sum_sql(c)} as {c}") for c in fields])
 
 
 def long_prefix_sum(long: DataFrame, prefix: str, filer: str | None = None, strict: bool = False) -> DataFrame:

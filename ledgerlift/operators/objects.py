@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.functions.amounts import DECIMALS, sum_amount, to_major, to_minor
+from ledgerlift.functions.amounts import DECIMALS, major_sql, sum_sql, to_minor
 from ledgerlift.functions.blanks import fill_blanks
 from ledgerlift.operators.latest import whole
 from ledgerlift.plans.catalog import (
@@ -69,18 +69,18 @@ def derive(latest: DataFrame, name: str, decimals: int | None = DECIMALS) -> Dat
     if name in KEY_OBJECTS:
         return rows.select("orgnr").distinct()
     if name in AMOUNT_VARIABLES:
-        return rows.groupBy("orgnr").agg(
-            *[
-                sum_amount(F.col(a) - F.col(minus) if minus else F.col(a), decimals).alias(v)
-                for v, (a, minus) in AMOUNT_VARIABLES[name].items()
-            ]
-        )
-    amount = F.col("beloep") if decimals is None else to_minor(F.col("beloep"), decimals)
-    rows = rows.select("orgnr", "type", amount.alias("amount"))
-    sums = {
-        v: F.sum(F.when(F.col("type").isin(*codes), F.col("amount")).otherwise(F.lit(0)))
-        for v, codes in POST_VARIABLES[name].items()
-    }
-    return rows.groupBy("orgnr").agg(
-        *[(s if decimals is None else to_major(s, decimals)).alias(v) for v, s in sums.items()]
-    )
+        sums = {
+            v: sum_sql(f"{a} - {minus}" if minus else a, decimals) for v, (a, minus) in AMOUNT_VARIABLES[name].items()
+        }
+    else:
+        amount = F.col("beloep") if decimals is None else to_minor(F.col("beloep"), decimals)
+        rows = rows.select("orgnr", "type", amount.alias("amount"))
+        sums = {
+            v: major_sql(f"sum(case when type in ({_quoted(codes)}) then amount else 0 end)", decimals)
+            for v, codes in POST_VARIABLES[name].items()
+        }
+    return rows.groupBy("orgnr").agg(*[F.expr(f"{total} as {v}") for v, total in sums.items()])
+
+
+def _quoted(codes: tuple[str, ...]) -> str:
+    return ", ".join(f"'{code}'" for code in codes)

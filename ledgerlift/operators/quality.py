@@ -21,7 +21,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std, min, quartiles and max, one row per numeric column."""
     columns = list(columns or numeric_columns(df))
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+    values = df.selectExpr(*[f"cast(`{c}` as double) as `{c}`" for c in columns]).unpivot(
         [], columns, "variable", "value"
     )
     present = values.where(F.col("value").isNotNull())
@@ -102,7 +102,7 @@ def _first_rank(df: DataFrame, keys: list[str], order: str, base: Column) -> Dat
 def describe_values(df: DataFrame) -> DataFrame:
     """count, unique, top and freq, one row per column; for frames without numbers."""
     columns = df.columns
-    values = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot(
+    values = df.selectExpr(*[f"cast(`{c}` as string) as `{c}`" for c in columns]).unpivot(
         [], columns, "variable", "value"
     )
     counts = values.where(F.col("value").isNotNull()).groupBy("variable", "value").agg(F.count("*").alias("n"))

@@ -13,11 +13,11 @@ from ledgerlift.plans.catalog import MAIN, POST_LISTS, SECTIONS, SUMS
 BODY = "naeringsspesifikasjon"
 
 
-def branch(name: str) -> Column:
-    """A branch as a list of posts. A scalar sum is a list of one."""
+def branch_sql(name: str) -> str:
+    """A branch as a list of posts, in SQL. A scalar sum is a list of one."""
     if name in POST_LISTS:
-        return F.col(f"{BODY}.{POST_LISTS[name].path}")
-    return F.array(F.struct(F.lit(name).alias("type"), F.col(f"{BODY}.{SUMS[name]}").alias("beloep")))
+        return f"{BODY}.{POST_LISTS[name].path}"
+    return f"array(named_struct('type', '{name}', 'beloep', {BODY}.{SUMS[name]}))"
 
 
 def header() -> list[Column]:
@@ -40,11 +40,9 @@ def posts(latest: DataFrame, branches: Iterable[str]) -> DataFrame:
     The branches are exploded first and their posts second, so a branch that a
     filing does not have gives no rows and takes no other branch with it.
     """
-    lists = [branch(name) for name in branches]
-    if len(lists) == 1:
-        rows = latest.select(*header(), lists[0].alias("posts"))
-    else:
-        rows = latest.select(*header(), F.explode(F.array(*lists)).alias("posts"))
+    lists = [branch_sql(name) for name in branches]
+    one_or_all = lists[0] if len(lists) == 1 else f"explode(array({', '.join(lists)}))"
+    rows = latest.select(*header(), F.expr(one_or_all).alias("posts"))
     names = [c for c in rows.columns if c != "posts"]
     return rows.select(*names, F.inline("posts").alias("felt", "beloep"))
 
@@ -63,10 +61,10 @@ def all_sections(latest: DataFrame, names: Iterable[str] | None = None) -> DataF
         for part in SECTIONS[name].branches:
             members.setdefault(part, []).append(name)
     tagged = [
-        F.struct(F.array(*[F.lit(s) for s in sections]).alias("sections"), branch(part).alias("posts"))
+        f"named_struct('sections', array({', '.join(repr(s) for s in sections)}), 'posts', {branch_sql(part)})"
         for part, sections in members.items()
     ]
-    rows = latest.select(*header(), F.explode(F.array(*tagged)).alias("b"))
+    rows = latest.select(*header(), F.expr(f"explode(array({', '.join(tagged)}))").alias("b"))
     keys = ["inntektsaar", "id", "registreringstidspunkt", "sekvensnummer"]
     rows = rows.select(*keys, "b.sections", F.inline("b.posts").alias("felt", "beloep")).where(has_amount())
     return rows.select(F.explode("sections").alias("section"), *MAIN)

@@ -17,12 +17,13 @@ from ledgerlift.plans.catalog import (
     FORESTRY_ACCOUNTS_PREFIX,
     FORESTRY_FUND_PREFIX,
     KEY_OBJECTS,
+    MAIN,
     SECTIONS,
     SNAPSHOT_PREFIX,
     STORED_OBJECTS,
 )
 from ledgerlift.schema import filing_body
-from ledgerlift.session import configure, scratch_path
+from ledgerlift.session import configure, data_version, scratch_path, size_shuffles
 from ledgerlift.sources.deliveries import discover_forestry_amounts, parse_delivery, read_delivery
 
 log = logging.getLogger(__name__)
@@ -47,6 +48,7 @@ def collect(
     Returns rows per written table; empty when the delivery is.
     """
     configure(spark)
+    size_shuffles(spark, data_version(spark, [delivery])[0][0])
     at = at or datetime.now()
     raw = read_delivery(spark, delivery, source)
     if raw.isEmpty():
@@ -62,12 +64,19 @@ def collect(
     outputs = {
         FORESTRY_ACCOUNTS_PREFIX: forestry.accounts(filings),
         FORESTRY_FUND_PREFIX: forestry.fund(filings),
-        **{name: sections.section(latest, name) for name, spec in SECTIONS.items() if spec.scheduled},
+        **{name: _to_store(latest, name) for name, spec in SECTIONS.items() if spec.scheduled},
     }
     writes = {prefix: partial(write_counted, df, stamped_path(out, prefix, at)) for prefix, df in outputs.items()}
     return rows | run_all(writes, at_once)
 
 
+def _to_store(latest: DataFrame, name: str) -> DataFrame:
+    """A section for writing. A theme subset is a sliver of every input split, so it is
+    merged into files of full size; a main table is about as large as its input."""
+    rows = sections.section(latest, name)
+    return rows if SECTIONS[name].columns == MAIN else rows.hint("rebalance")
+
+
 def store_latest(filings: DataFrame, path: str) -> DataFrame:
     """The latest filings as a table of their own."""
     latest_filings(filings).write.mode("errorifexists").parquet(path)

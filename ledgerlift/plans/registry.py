@@ -42,9 +42,12 @@ def _headers(filings: DataFrame) -> DataFrame:
     return latest.whole(filings).select(*sections.header())
 
 
-def _account_headers(accounts: DataFrame) -> DataFrame:
-    whole = accounts.where("fragment = 0")  # where every account of a filing has its amounts
-    return whole.select(*forestry.HEADER, F.col("account.id").alias("skogOgToemmerkontoId"))
+def _account_headers(filings: DataFrame, per_account: bool = False) -> DataFrame:
+    rows = latest.latest_account(filings, per_account).select(
+        *forestry.HEADER, F.col("account.id").alias("skogOgToemmerkontoId")
+    )
+    # in fragments, an account is in every record that holds some of its entries
+    return rows.distinct() if latest.is_fragmented(filings) else rows
 
 
 def _ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,10 +152,10 @@ def build() -> dict[str, Query]:
         "latest_filing": _on(lambda ws: _headers(ws.latest())),
         "latest_filing_with_accounts": _on(lambda ws: _headers(latest.latest_with_accounts(ws.filings()))),
         "latest_after_explode": _on(
-            lambda ws: _account_headers(latest.latest_account(ws.filings()))
+            lambda ws: _account_headers(ws.filings())
         ),
         "latest_accounts_all": _on(
-            lambda ws: _account_headers(latest.latest_account(ws.filings(), per_account=True))
+            lambda ws: _account_headers(ws.filings(), per_account=True)
         ),
     }
     for name in SECTIONS:

@@ -11,12 +11,13 @@ from ledgerlift.operators import layouts
 from ledgerlift.operators.latest import latest_filings
 from ledgerlift.operators.objects import derive
 from ledgerlift.plans.catalog import POST_LISTS
-from ledgerlift.session import configure, data_version, is_written, scratch_path
+from ledgerlift.session import configure, data_version, is_written, scratch_path, size_shuffles
 from ledgerlift.sources import orders
 from ledgerlift.sources.deliveries import as_delivery, parse_delivery, read_delivery
 from ledgerlift.sources.tables import scan
 
 _paths: dict[tuple, str] = {}
+_frames: dict[tuple[SparkSession, str], DataFrame] = {}
 _building = threading.RLock()
 _SOURCES = ("orders", "customer", "lineitem", "supplier")
 
@@ -32,6 +33,7 @@ class Workspace:
         self.spark = configure(spark)
         self.sf_dir = sf_dir.rstrip("/")
         self._version = data_version(spark, [f"{self.sf_dir}/{name}.parquet" for name in _SOURCES])
+        size_shuffles(spark, sum(size for size, _, _ in self._version))
 
     def _key(self, name: str) -> tuple:
         return (self.spark.sparkContext.applicationId, self.sf_dir, self._version, name)
@@ -45,6 +47,12 @@ class Workspace:
                 _paths[key] = path
         return _paths[key]
 
+    def _table(self, name: str, write: Callable[[str], None]) -> DataFrame:
+        key = (self.spark, self._path(name, write))
+        if key not in _frames:
+            _frames[key] = scan(self.spark, key[1])  # the schema is read once, not per query
+        return _frames[key]
+
     def _is_there(self, path: str) -> bool:
         # the folder of wide subsets holds tables, it is none itself
         probe = layouts.theme_path(path, "egenkapital") if "/wide_themes-" in path else path
@@ -55,16 +63,10 @@ class Workspace:
         return _paths[self._key(name)]
 
     def filings(self) -> DataFrame:
-        return self.spark.read.parquet(
-            self._path(
-                "filings", lambda path: orders.order_filings(self.spark, self.sf_dir).write.parquet(path)
-            )
-        )
+        return self._table("filings", lambda path: orders.order_filings(self.spark, self.sf_dir).write.parquet(path))
 
     def latest(self) -> DataFrame:
-        return self.spark.read.parquet(
-            self._path("latest", lambda path: latest_filings(self.filings()).write.parquet(path))
-        )
+        return self._table("latest", lambda path: latest_filings(self.filings()).write.parquet(path))
 
     def delivery(self) -> str:
         """The filings as a raw delivery: event records with JSON payloads."""
@@ -76,19 +78,17 @@ class Workspace:
         def write(path: str) -> None:
             parse_delivery(read_delivery(self.spark, self.delivery(), "parquet")).write.parquet(path)
 
-        return self.spark.read.parquet(self._path("snapshot", write))
+        return self._table("snapshot", write)
 
     def derived(self, name: str) -> DataFrame:
         """A derived object as it is stored."""
-        return self.spark.read.parquet(
-            self._path(f"derived-{name}", lambda path: derive(self.latest(), name).write.parquet(path))
-        )
+        return self._table(f"derived-{name}", lambda path: derive(self.latest(), name).write.parquet(path))
 
     def long_source(self) -> DataFrame:
         return orders.garble_small_amounts(layouts.long_layout(self.latest()))
 
     def long(self) -> DataFrame:
-        return scan(self.spark, self._path("long", lambda path: layouts.write_long(self.long_source(), path)))
+        return self._table("long", lambda path: layouts.write_long(self.long_source(), path))
 
     def long_partitioned(self) -> str:
         return self._path("long_partitioned", lambda path: layouts.write_partitioned(self.long(), path))
@@ -100,7 +100,7 @@ class Workspace:
         def write(path: str) -> None:
             layouts.write_wide(layouts.wide_layout(self.long(), self.wide_fields()), path)
 
-        return scan(self.spark, self._path("wide", write))
+        return self._table("wide", write)
 
     def wide_themes(self) -> str:
         """Root of the wide subsets; each is made from its own partition of the long table."""

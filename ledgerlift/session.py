@@ -8,6 +8,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
+PARTITION_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 50_000
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -18,6 +21,17 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, data_bytes: int) -> None:
+    """Enough shuffle partitions for the data; adaptive execution merges what is too small.
+
+    Never fewer than the session asks for, and no more than keeps the map-output
+    bookkeeping in proportion: past that, sorts and aggregates spill instead.
+    """
+    wanted = min(-(-data_bytes // PARTITION_BYTES), MOST_PARTITIONS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, from ``spark.checkpoint.dir``.
 
@@ -50,10 +64,19 @@ def is_written(spark: SparkSession, path: str) -> bool:
 
 
 def data_version(spark: SparkSession, paths: Iterable[str]) -> tuple[tuple[int, int, int], ...]:
-    """Bytes, files and time of change of each path: differs when the data was replaced."""
+    """Bytes, files and time of change of each path or glob: differs when the data was replaced."""
     versions = []
     for path in paths:
         fs, at = _file_system(spark, path)
-        size = fs.getContentSummary(at)
-        versions.append((size.getLength(), size.getFileCount(), fs.getFileStatus(at).getModificationTime()))
+        found = list(fs.globStatus(at) or [])
+        if not found:
+            raise FileNotFoundError(path)
+        sizes = [fs.getContentSummary(status.getPath()) for status in found]
+        versions.append(
+            (
+                sum(size.getLength() for size in sizes),
+                sum(size.getFileCount() for size in sizes),
+                max(status.getModificationTime() for status in found),
+            )
+        )
     return tuple(versions)

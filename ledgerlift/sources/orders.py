@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.functions.amounts import to_major, to_minor
+from ledgerlift.functions.amounts import major_sql, to_major, to_minor
 from ledgerlift.plans.catalog import INVENTORY_AMOUNTS, POST_LISTS, list_codes
 from ledgerlift.session import scratch_path
 
@@ -65,7 +65,7 @@ def order_lines(lineitem: DataFrame, max_posts: int = MAX_POSTS) -> tuple[DataFr
     """Lines with list, code, amount and fragment; and whether any order has several fragments.
 
     Only orders with more lines than a record takes get fragments. Their lines are
-    dealt out by position in the scan, so that equal lines spread as well.
+    dealt out by their position in the scan, so that equal lines spread as well.
     """
     spark = lineitem.sparkSession
     lineitem = lineitem.select(
@@ -91,7 +91,7 @@ def order_lines(lineitem: DataFrame, max_posts: int = MAX_POSTS) -> tuple[DataFr
     dealt = (
         lines.withColumn("_position", F.monotonically_increasing_id())
         .join(long_orders, "l_orderkey", "left")
-        .withColumn("fragment", F.coalesce(F.pmod("_position", "fragments"), F.lit(0)))
+        .withColumn("fragment", F.coalesce(F.pmod(F.xxhash64("_position"), "fragments"), F.lit(0)))
         .drop("_position", "fragments")
     )
     path = scratch_path(spark, "lines")  # one fixed deal, whatever is recomputed later
@@ -99,24 +99,29 @@ def order_lines(lineitem: DataFrame, max_posts: int = MAX_POSTS) -> tuple[DataFr
     return spark.read.parquet(path), True
 
 
-def _totals_first(parts: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
-    """Sums over all fragments of a group, moved to its fragment 0."""
-    totals = parts.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
-    return parts.drop(*sums).join(totals.withColumn("fragment", F.lit(0).cast("bigint")), [*keys, "fragment"], "full")
+def _totals_once(parts: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    """Sums over all fragments of a group, in the first of its fragments and nowhere else."""
+    totals = parts.groupBy(*keys).agg(F.min("fragment").alias("fragment"), *[F.sum(s).alias(s) for s in sums])
+    return parts.drop(*sums).join(totals, [*keys, "fragment"], "left")
 
 
 def _post_lists(lines: DataFrame, fragmented: bool) -> DataFrame:
+    lines = lines.withColumns(
+        {"amount": to_minor(F.col("beloep")), "price": to_minor(F.col("l_extendedprice"))}
+    )
     posts = [
-        F.collect_list(F.when(F.col("liste") == n, F.struct("type", "beloep"))).alias(f"list{n}")
+        F.expr(f"collect_list(case when liste = {n} then struct(type, beloep) end) as list{n}")
         for n in range(len(LISTS))
     ]
-    amount, price = to_minor(F.col("beloep")), to_minor(F.col("l_extendedprice"))
-    sums = [F.sum(F.when(F.col("liste").isin(*ls), amount)).alias(name) for name, ls in LIST_SUMS.items()]
+    sums = [
+        F.expr(f"sum(case when liste in ({', '.join(map(str, lists))}) then amount end) as {name}")
+        for name, lists in LIST_SUMS.items()
+    ]
     stock = [
-        F.sum(F.when(F.col("l_linenumber") == n, price)).alias(name)
+        F.expr(f"sum(case when l_linenumber = {n} then price end) as {name}")
         for n, name in enumerate(INVENTORY_AMOUNTS[:-1], start=1)
     ]
-    stock.append(F.sum(price).alias(INVENTORY_AMOUNTS[-1]))
+    stock.append(F.sum("price").alias(INVENTORY_AMOUNTS[-1]))
     if not fragmented:
         by_order = lines.repartition("l_orderkey").groupBy("l_orderkey", "fragment")
         return by_order.agg(*posts).join(by_order.agg(*sums, *stock), ["l_orderkey", "fragment"])
@@ -142,7 +147,7 @@ def _accounts(lines: DataFrame, supplier: DataFrame, fragmented: bool) -> DataFr
         )
     )
     if fragmented:
-        parts = _totals_first(parts, ["l_orderkey", "l_suppkey"], ["verdi", "antall"])
+        parts = _totals_once(parts, ["l_orderkey", "l_suppkey"], ["verdi", "antall"])
     parts = parts.join(owners, F.col("l_suppkey") == F.col("s_suppkey"), "left")
     account = F.struct(
         F.col("l_suppkey").cast("string").alias("id"),
@@ -186,19 +191,16 @@ def order_filings(spark: SparkSession, sf_dir: str, max_posts: int = MAX_POSTS)
         "left",
     )
 
-    first = F.col("fragment") == 0
-    sums = {name: to_major(F.col(name)) for name in LIST_SUMS}
-    sums["aarsresultat"] = F.when(
-        first, to_major(F.coalesce("inntekter", F.lit(0)) - F.coalesce("kostnader", F.lit(0)))
-    )
-    sums["sumGjeldOgEgenkapital"] = F.when(first, F.col("o_totalprice"))
+    sums = {name: major_sql(name) for name in LIST_SUMS}
+    sums["aarsresultat"] = f"case when fragment = 0 then {major_sql('(coalesce(inntekter, 0) - coalesce(kostnader, 0))')} end"
+    sums["sumGjeldOgEgenkapital"] = "case when fragment = 0 then o_totalprice end"
 
     def lists(name: str, element: str) -> Column:
-        posts = F.col(f"list{LISTS.index(name)}")
-        return F.struct(F.when(F.size(posts) > 0, posts).alias(element)).alias(name)
+        posts = f"list{LISTS.index(name)}"
+        return F.expr(f"named_struct('{element}', case when size({posts}) > 0 then {posts} end) as {name}")
 
     def scalar(name: str) -> Column:
-        return sums[name].alias(name)
+        return F.expr(f"{sums[name]} as {name}")
 
     header = [
         F.col("o_orderdate").cast("timestamp").alias("registreringstidspunkt"),
@@ -261,7 +263,7 @@ def order_filings(spark: SparkSession, sf_dir: str, max_posts: int = MAX_POSTS)
             scalar("sumBalanseverdiForEiendel"),
             scalar("sumGjeldOgEgenkapital"),
         ).alias("balanseregnskap"),
-        F.struct(*[to_major(F.col(a)).alias(a) for a in INVENTORY_AMOUNTS]).alias("spesifikasjonAvVarelager"),
+        F.struct(*[F.expr(f"{major_sql(a)} as {a}") for a in INVENTORY_AMOUNTS]).alias("spesifikasjonAvVarelager"),
         F.struct(F.col("accounts").alias("skogOgToemmerkonto")).alias("skogbruk"),
     )
     return filings.select(F.struct(*header).alias("hendelse"), body.alias("naeringsspesifikasjon"))
