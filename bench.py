@@ -105,11 +105,8 @@ def main() -> None:
     for name in HEADLINE:
         times[name] = timed(name, lambda name=name: run(queries[name](spark, SF_DIR)))
     total = round(sum(times.values()), 3)
-    print(
-        json.dumps(
-            {"metric": "headline queries, total of medians", "value": total, "unit": "sec", "queries": times, "sf": SF_DIR.rsplit("/sf", 1)[-1]}
-        )
-    )
+    result = {"metric": "headline queries, total of medians", "value": total, "unit": "sec", "queries": times}
+    print(json.dumps(result | {"sf": SF_DIR.rsplit("/sf", 1)[-1]}))
     spark.stop()
 
 

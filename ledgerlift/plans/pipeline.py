@@ -38,6 +38,7 @@ def collect(
     source: str = "avro",
     at: datetime | None = None,
     discover: bool = False,
+    fragmented: bool = False,
     at_once: int = JOBS_AT_ONCE,
 ) -> dict[str, int]:
     """Collect one delivery: snapshot, forestry, main tables and theme subsets.
@@ -57,7 +58,7 @@ def collect(
     body = filing_body(**discover_forestry_amounts(raw)) if discover else None
 
     snapshot = stamped_path(out, SNAPSHOT_PREFIX, at)
-    rows = {SNAPSHOT_PREFIX: write_counted(parse_delivery(raw, body), snapshot)}
+    rows = {SNAPSHOT_PREFIX: write_counted(parse_delivery(raw, body, fragmented), snapshot)}
     filings = spark.read.parquet(snapshot)
     latest = store_latest(filings, scratch_path(spark, "latest"))
 

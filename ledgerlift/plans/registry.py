@@ -14,7 +14,7 @@ from ledgerlift.functions.amounts import number, sum_amount
 from ledgerlift.functions.times import event_time
 from ledgerlift.operators import forestry, latest, layouts, objects, quality, sections
 from ledgerlift.plans import pipeline
-from ledgerlift.plans.catalog import OBJECTS, SECTIONS, STORED_OBJECTS
+from ledgerlift.plans.catalog import OBJECTS, SECTIONS, SNAPSHOT_PREFIX
 from ledgerlift.plans.workspace import Workspace
 from ledgerlift.session import configure, scratch_path
 from ledgerlift.sources import orders
@@ -29,8 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _naive(df: DataFrame) -> DataFrame:
-    """Times as UTC wall-clock times, whatever zone the reader is in."""
-    times = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
+    """Times and dates as UTC wall-clock times, whatever zone the reader is in."""
+    times = [f.name for f in df.schema if isinstance(f.dataType, (T.TimestampType, T.DateType))]
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times}) if times else df
 
 
@@ -87,13 +87,17 @@ def _ingest_filings(ws: Workspace) -> DataFrame:
 
 def _pipeline_roundtrip(ws: Workspace) -> DataFrame:
     out = scratch_path(ws.spark, "run")
-    collected = pipeline.collect(ws.spark, ws.delivery(), f"{out}/collected", "parquet", RUN_TIME)
+    fragmented = latest.is_fragmented(ws.filings())
+    collected = pipeline.collect(
+        ws.spark, ws.delivery(), f"{out}/collected", "parquet", RUN_TIME, fragmented=fragmented
+    )
     paths = {name: pipeline.stamped_path(f"{out}/collected", name, RUN_TIME) for name in collected}
     derived = pipeline.derive_all(ws.latest(), f"{out}/derived", "g2022", "v1")
     paths.update({f"RF1175/{name}": path for name, path in derived.items()})
+    stored = {name: scan(ws.spark, path) for name, path in paths.items()}
+    stored[SNAPSHOT_PREFIX] = latest.whole(stored[SNAPSHOT_PREFIX])
     counts = [
-        scan(ws.spark, path).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stored"), "n_rows")
-        for name, path in paths.items()
+        df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stored"), "n_rows") for name, df in stored.items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
@@ -201,5 +205,3 @@ def build() -> dict[str, Query]:
     }
     return named
 
-
-__all__ = ["FILER", "STORED_OBJECTS", "build"]

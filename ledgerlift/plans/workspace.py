@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.operators import layouts
-from ledgerlift.operators.latest import latest_filings
+from ledgerlift.operators.latest import is_fragmented, latest_filings
 from ledgerlift.operators.objects import derive
 from ledgerlift.plans.catalog import POST_LISTS
 from ledgerlift.session import configure, data_version, is_written, scratch_path, size_shuffles
@@ -76,7 +76,8 @@ class Workspace:
         """That delivery collected: the JSON is parsed once, into nested columns."""
 
         def write(path: str) -> None:
-            parse_delivery(read_delivery(self.spark, self.delivery(), "parquet")).write.parquet(path)
+            raw = read_delivery(self.spark, self.delivery(), "parquet")
+            parse_delivery(raw, fragmented=is_fragmented(self.filings())).write.parquet(path)
 
         return self._table("snapshot", write)
 

@@ -26,14 +26,17 @@ def parse_payload(payload: Column, ddl: str) -> Column:
     return F.from_json(present, ddl, FAILFAST)
 
 
-def parse_delivery(raw: DataFrame, body: str | None = None) -> DataFrame:
+def parse_delivery(raw: DataFrame, body: str | None = None, fragmented: bool = False) -> DataFrame:
     """Raw events to filings: ``hendelse`` and ``naeringsspesifikasjon`` structs.
 
+    ``fragmented`` deliveries number the records of a long filing in their header.
+
     Store the result before querying it: a filter on a parsed field would be pushed
     below the projection and parse the text a second time.
     """
+    header_ddl = schema.EVENT_HEADER_JSON + (", fragment int" if fragmented else "")
     header = raw.select(
-        parse_payload(F.col("data.hendelse"), schema.EVENT_HEADER_JSON).alias("h"),
+        parse_payload(F.col("data.hendelse"), header_ddl).alias("h"),
         parse_payload(F.col("data.naeringsspesifikasjon"), body or schema.filing_body()).alias(
             "naeringsspesifikasjon"
         ),
@@ -42,6 +45,7 @@ def parse_delivery(raw: DataFrame, body: str | None = None) -> DataFrame:
         F.struct(
             event_time(F.col("h.registreringstidspunkt")).alias("registreringstidspunkt"),
             F.col("h.sekvensnummer").alias("sekvensnummer"),
+            *([F.col("h.fragment").alias("fragment")] if fragmented else []),
         ).alias("hendelse"),
         "naeringsspesifikasjon",
     )
@@ -93,11 +97,10 @@ def discover_forestry_amounts(raw: DataFrame) -> dict[str, list[str]]:
 def as_delivery(filings: DataFrame) -> DataFrame:
     """Filings back to raw events with JSON payloads."""
     stamp = F.date_format("hendelse.registreringstidspunkt", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    rest = [F.col(f"hendelse.{n}") for n in filings.schema["hendelse"].dataType.names if n != "registreringstidspunkt"]
     return filings.select(
         F.struct(
-            F.to_json(
-                F.struct(stamp.alias("registreringstidspunkt"), F.col("hendelse.sekvensnummer").alias("sekvensnummer"))
-            ).alias("hendelse"),
+            F.to_json(F.struct(stamp.alias("registreringstidspunkt"), *rest)).alias("hendelse"),
             F.to_json("naeringsspesifikasjon").alias("naeringsspesifikasjon"),
         ).alias("data")
     )

@@ -17,11 +17,12 @@ from ledgerlift.plans.catalog import (
     POST_LISTS,
     POST_VARIABLES,
     SECTIONS,
+    STORED_OBJECTS,
     SUMS,
     list_codes,
     object_list,
 )
-from ledgerlift.plans.registry import FILER, STORED_OBJECTS
+from ledgerlift.plans.registry import FILER
 
 LISTS = list(POST_LISTS)
 
@@ -198,7 +199,8 @@ _OF_BUSINESS = f"trade in ({_quoted(BUSINESS_TYPES)}) and duty in ({_quoted(ACCO
 def _derive(name: str) -> str:
     if name == "virksomhet":
         return f"""with {BASE}
-select orgnr, make_date(aar, 1, 1) as O_15805, make_date(aar, 12, 31) as O_15806 from latest where {_OF_BUSINESS}"""
+select orgnr, cast(make_date(aar, 1, 1) as timestamp) as O_15805, cast(make_date(aar, 12, 31) as timestamp) as O_15806
+from latest where {_OF_BUSINESS}"""
     if name in KEY_OBJECTS:
         return f"with {BASE} select distinct orgnr from latest where {_OF_BUSINESS} and orgnr is not null"
     if name in AMOUNT_VARIABLES:
@@ -222,9 +224,12 @@ select orgnr, make_date(aar, 1, 1) as O_15805, make_date(aar, 12, 31) as O_15806
 
 def _describe(name: str) -> str:
     if name == "virksomhet" or name in KEY_OBJECTS:
-        columns = ["orgnr"] + (["O_15805", "O_15806"] if name == "virksomhet" else [])
+        columns = {"orgnr": "orgnr"}
+        if name == "virksomhet":
+            columns |= {c: f"cast({c} as date)" for c in ("O_15805", "O_15806")}
         values = " union all ".join(
-            f"select '{c}' as variable, cast({c} as varchar) as value from d where {c} is not null" for c in columns
+            f"select '{c}' as variable, cast({value} as varchar) as value from d where {c} is not null"
+            for c, value in columns.items()
         )
         return f"""
 with d as ({_derive(name)}),
