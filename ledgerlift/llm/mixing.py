@@ -107,8 +107,9 @@ def decide(units: DataFrame, seed: int = 7, block_rows: int = 4096) -> DataFrame
 
     def fly(level: int):
         def run(block: pa.Table) -> pa.Table:
-            # Blocks and order come from hashes, so that a second attempt at a task gives the same.
-            block = block.sort_by([("turn", "ascending"), ("size", "ascending")])
+            # Long documents first, so that those left open at the end are short. The rest of the order comes
+            # from hashes, as the blocks do, so that a second attempt at a task gives the same.
+            block = block.sort_by([("size", "descending"), ("turn", "ascending")])
             land = block["blocks"][0].as_py() == 1
             draw = random.Random(f"{seed} {level} {block['source'][0].as_py()!r} {block['block'][0].as_py()}")
             p = flight(block["p"].to_pylist(), block["size"].to_pylist(), draw, land)
@@ -138,7 +139,7 @@ def decide(units: DataFrame, seed: int = 7, block_rows: int = 4096) -> DataFrame
 
 
 def copies(docs: DataFrame, key: str = "doc_id", source: str = "source", size: Column | None = None, most: float = 3.0, seed: int = 7) -> DataFrame:
-    """(id, source, n, source_size, target): how often each document is taken. `size` defaults to the words of `text`."""
+    """(id, source, size, n, source_size, target): how often each document is taken. `size` defaults to the words of `text`."""
     size = count_words(F.col("text")) if size is None else size
     units = stored(
         docs.select(F.col(key).alias("id"), F.col(source).alias("source"), size.alias("size")).groupBy("id", "source").agg(F.sum("size").alias("size")),
@@ -151,7 +152,7 @@ def copies(docs: DataFrame, key: str = "doc_id", source: str = "source", size: C
         "id", "source", "size", F.greatest(share - whole, F.lit(0.0)).alias("p"), whole.cast("int").alias("times"), "source_size", "target"
     )
     decided = decide(units, seed)
-    return decided.select("id", "source", (F.col("times") + F.col("p").cast("int")).alias("n"), "source_size", "target")
+    return decided.select("id", "source", "size", (F.col("times") + F.col("p").cast("int")).alias("n"), "source_size", "target")
 
 
 def with_copies(docs: DataFrame, taken: DataFrame, key: str = "doc_id", source: str = "source") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import block_topk, byte_bpe
+from ledgerlift.llm import block_topk, byte_bpe, mixing, quality_rules, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.copies(_table(spark, sf_dir, "documents"))
+    taken = (F.col("n") * F.col("size")).cast("long").alias("taken")
+    return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target", taken)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -24,6 +30,16 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(tokens, ranks))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    table = secrets.train(secrets.samples(docs, _table(spark, sf_dir, "labels")))
+    return secrets.digests(secrets.find(docs, table))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents")).drop("clean_text")
+
+
 def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = block_topk.whole_vectors(_table(spark, sf_dir, "embeddings"))
     return block_topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
@@ -47,7 +63,10 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_cube_mix": op2_cube_mix,
         "op3_byte_bpe": op3_byte_bpe,
+        "op4_secrets": op4_secrets,
+        "op5_quality_rules": op5_quality_rules,
         "op10_block_topk": op10_block_topk,
     }
 
