@@ -6,7 +6,8 @@ once more with probability t - floor(t). These probabilities are moved by the cu
 direction in the null space of the balancing equations (words taken, documents taken) until some probability
 becomes 0 or 1, with expectations kept. A window of three documents has such a direction, so a block of any
 length ends with at most two open documents; the open ones of all blocks of a source form the next, far
-smaller level. The last two of a source land by giving up the document count, then the word count.
+smaller level. The last two of a source land by giving up the document count, then the word count; the
+last block then flips documents while that brings its words nearer to the target.
 
 A source is cut into blocks by hash, so one that holds a third of all rows is as many tasks.
 
@@ -66,7 +67,7 @@ def targets(sizes: DataFrame, weights: Sequence[int] = (1, 2, 3), most: float =
 
 def flight(p: list[float], size: list[int], draw: random.Random, land: bool) -> list[float]:
     """Move probabilities to 0 or 1, keeping the sums of p and of p * size; at most two stay open, none if `land`."""
-    p = list(p)
+    goal, p = p, list(p)
     window: list[int] = []
 
     def step(u: tuple[float, ...]) -> None:
@@ -97,6 +98,17 @@ def flight(p: list[float], size: list[int], draw: random.Random, land: bool) ->
             step((1.0, -1.0) if a == b or not a or not b else (1.0, -a / b))
         while window:
             step((1.0,) + (0.0,) * (len(window) - 1))
+        # A long document may be among the last: flip others while that brings the words nearer.
+        start, weight, now = np.array(goal), np.array(size, dtype=float), np.array(p)
+        free = (start > 0) & (start < 1)
+        while free.any():
+            error = float(((now - start) * weight).sum())
+            after = np.where(free, np.abs(error + weight * (1 - 2 * now)), np.inf)
+            best = int(after.argmin())
+            if after[best] >= abs(error) - 1e-9:
+                break
+            now[best] = 1 - now[best]
+        p = now.tolist()
     return p
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import block_topk, byte_bpe, mixing, quality_rules, secrets
+from ledgerlift.llm import block_topk, byte_bpe, line_dedup, minhash, mixing, quality_rules, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.groups(_table(spark, sf_dir, "documents"), width=2)
+    kept = (F.col("id") == F.col("component")).alias("kept")
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept)
+
+
 def op2_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.copies(_table(spark, sf_dir, "documents"))
     taken = (F.col("n") * F.col("size")).cast("long").alias("taken")
@@ -40,6 +46,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.with_lines_left(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("line_dedup.left", F.lit("")), 256).alias("kept_sha256")
+    return cut.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", digest)
+
+
 def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = block_topk.whole_vectors(_table(spark, sf_dir, "embeddings"))
     return block_topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
@@ -63,10 +75,12 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_minhash": op1_minhash,
         "op2_cube_mix": op2_cube_mix,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_secrets": op4_secrets,
         "op5_quality_rules": op5_quality_rules,
+        "op9_line_dedup": op9_line_dedup,
         "op10_block_topk": op10_block_topk,
     }
 
