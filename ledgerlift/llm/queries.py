@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import block_topk, byte_bpe, line_dedup, minhash, mixing, quality_rules, secrets
+from ledgerlift.llm import block_topk, byte_bpe, kneser_ney, line_dedup, minhash, mixing, quality_rules, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return kneser_ney.judge(_table(spark, sf_dir, "documents"), trusted).withColumnRenamed("id", "doc_id")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.with_lines_left(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce("line_dedup.left", F.lit("")), 256).alias("kept_sha256")
@@ -80,6 +85,7 @@ def queries() -> dict[str, Query]:
         "op3_byte_bpe": op3_byte_bpe,
         "op4_secrets": op4_secrets,
         "op5_quality_rules": op5_quality_rules,
+        "op8_kneser_ney": op8_kneser_ney,
         "op9_line_dedup": op9_line_dedup,
         "op10_block_topk": op10_block_topk,
     }
