@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import block_topk, byte_bpe, kneser_ney, line_dedup, minhash, mixing, passages, quality_rules, secrets
+from ledgerlift.llm import block_topk, byte_bpe, kneser_ney, licenses, line_dedup, minhash, mixing, passages, quality_rules, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +50,11 @@ def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id").cast("string"))
+    return licenses.scan(_table(spark, sf_dir, "documents"), path).withColumnRenamed("id", "doc_id")
+
+
 def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return kneser_ney.judge(_table(spark, sf_dir, "documents"), trusted).withColumnRenamed("id", "doc_id")
@@ -90,6 +95,7 @@ def queries() -> dict[str, Query]:
         "op4_secrets": op4_secrets,
         "op5_quality_rules": op5_quality_rules,
         "op6_passages": op6_passages,
+        "op7_licenses": op7_licenses,
         "op8_kneser_ney": op8_kneser_ney,
         "op9_line_dedup": op9_line_dedup,
         "op10_block_topk": op10_block_topk,
