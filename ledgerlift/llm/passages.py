@@ -138,7 +138,7 @@ def strings(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFram
                         ["id", "anchor", "string", "start"],
                     )
 
-    joined = docs.join(wanted, F.col(key) == F.col("its")).select(F.col(key).cast("long"), text, "spans")
+    joined = docs.select(key, text).join(wanted, F.col(key) == F.col("its")).select(F.col(key).cast("long"), text, "spans")
     return joined.mapInArrow(run, "id long, anchor long, string long, start int")
 
 
