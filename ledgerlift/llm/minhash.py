@@ -35,7 +35,7 @@ from ledgerlift.llm.common import stored
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ROWS_OUT = 128
-PIECE = 8192
+PIECE = 256
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
@@ -60,44 +60,24 @@ def signature(hashes: np.ndarray, n: int) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(x), PIECE):
-        piece = x[start : start + PIECE]
-        for k in range(n):
-            least[k] = min(least[k], (piece * a[k] + b[k]).min())
+        np.minimum(least, (x[start : start + PIECE, None] * a + b).min(axis=0), out=least)
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def sets(docs: DataFrame, key: str, text: str, width: int, n: int) -> DataFrame:
-    """(id, n, print, hashes): a row's set, its size and a 128-bit fingerprint."""
+def sets(docs: DataFrame, key: str, text: str, width: int, n: int = 0) -> DataFrame:
+    """(id, n, print, what): a row's set size, its 128-bit fingerprint, and n MinHashes, or the set itself where n is 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(start, ROWS_OUT)
                 found = [shingle_set(t, width) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).cast(pa.int64()),
-                        pa.array([len(x) for x in found], pa.int64()),
-                        pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary()),
-                        pa.array(found, pa.list_(pa.int64())),
-                    ],
-                    ["id", "n", "print", "hashes"],
-                )
+                what = pa.array([signature(x, n).tobytes() for x in found], pa.binary()) if n else pa.array(found, pa.list_(pa.int64()))
+                sizes = pa.array([len(x) for x in found], pa.int64())
+                prints = pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), sizes, prints, what], ["id", "n", "print", "what"])
 
-    return docs.select(key, text).mapInArrow(run, "id long, n long, print binary, hashes array<long>")
-
-
-def signed(classes: DataFrame, n: int) -> DataFrame:
-    """Adds sig: the signature as binary, 4 bytes a MinHash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_OUT):
-                part = batch.slice(start, ROWS_OUT)
-                sigs = [signature(np.asarray(x, np.int64), n).tobytes() for x in part.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sigs, pa.binary())], ["rep", "n", "hashes", "sig"])
-
-    return classes.select("rep", "n", "hashes").mapInArrow(run, "rep long, n long, hashes array<long>, sig binary")
+    return docs.select(key, text).mapInArrow(run, f"id long, n long, print binary, what {'binary' if n else 'array<long>'}")
 
 
 def least_equal(n: int, threshold: float, miss: float) -> int:
@@ -149,21 +129,23 @@ def components(edges: DataFrame) -> DataFrame:
             return links.select(F.col("v").alias("id"), F.col("u").alias("component"))
 
 
-def links_of(classes: DataFrame, bands: int, band_rows: int, share: tuple[int, int], miss: float, rounds: int) -> DataFrame:
-    """(rep, component) for the linked classes (rep, n, hashes, sig)."""
+def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_rows: int, share: tuple[int, int], miss: float, rounds: int) -> DataFrame:
+    """(rep, component) for the linked classes (rep, n, sig); `texts` (id, text) gives the full sets of what survives."""
     over, under = share
-    spark = classes.sparkSession
     cuts = [F.xxhash64(F.lit(k), F.substring("sig", 4 * band_rows * k + 1, 4 * band_rows)) for k in range(bands)]
     buckets = classes.select("rep", "n", F.explode(F.array(*cuts)).alias("bucket"))
     many = buckets.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
     buckets = stored(buckets.join(many, "bucket"), "buckets")
     sizes_fit = F.lit(over) * F.greatest("n_a", "n_b") <= F.lit(under) * F.least("n_a", "n_b")
-    sigs, full = classes.select("rep", "sig"), classes.select("rep", "hashes", "n")
+    sigs = classes.select("rep", "sig")
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = pairs.where(sizes_fit).select("a", "b").distinct()
         signed_pairs = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
-        left = plausible(signed_pairs, bands * band_rows, over / under, miss)
+        left = stored(plausible(signed_pairs, bands * band_rows, over / under, miss), "plausible")
+        named = left.select(F.col("a").alias("its")).unionAll(left.select("b")).distinct()
+        full = sets(texts.join(named, F.col("id") == F.col("its"), "left_semi"), "id", "text", width)
+        full = stored(full.dropDuplicates(["id", "print"]).select("id", "what", "n"), "full")
         both = left.join(full.toDF("a", "x", "p"), "a").join(full.toDF("b", "y", "q"), "b")
         inter = F.size(F.array_intersect("x", "y"))
         return both.select("a", "b", "p", "q", inter.alias("i")).where(under * F.col("i") >= over * (F.col("p") + F.col("q") - F.col("i"))).select("a", "b")
@@ -204,11 +186,12 @@ def groups(
     rounds: int = 3,
 ) -> DataFrame:
     """(id, n_shingles, component): every distinct id with its set size and the smallest id of its group."""
-    rows = stored(sets(docs.where(F.col(key).isNotNull()), key, text, width, bands * band_rows), "sets")
+    texts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = stored(sets(texts, "id", "text", width, bands * band_rows), "sets")
     least = rows.where("n > 0").groupBy("print").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
-    alone = least.join(rows.select(F.col("id").alias("rep"), F.col("print").alias("its"), "hashes"), "rep").where("print = its")
-    classes = stored(signed(alone.select("rep", "n", "hashes").dropDuplicates(["rep", "n", "hashes"]), bands * band_rows), "classes")
-    found = links_of(classes, bands, band_rows, share, miss, rounds)
+    signed = least.join(rows.select(F.col("id").alias("rep"), F.col("print").alias("its"), F.col("what").alias("sig")), "rep").where("print = its")
+    classes = stored(signed.select("rep", "n", "sig").dropDuplicates(["rep", "sig"]), "classes")
+    found = links_of(classes, texts, width, bands, band_rows, share, miss, rounds)
     ids = rows.select("id", "n", "print").join(least.select("print", "rep"), "print", "left")
     return (
         ids.join(found, "rep", "left")
