@@ -1,9 +1,9 @@
 """Removal of bytes covered by 50-byte strings that also start in an earlier document.
 
 A sparse suffix index: of the suffixes of a text only those at anchors are kept. A 50-byte string's anchor is
-the start of the 32-byte string in it with the least hash (the leftmost of equals), so equal strings have their
-anchor at the same place, and each string belongs to one anchor, about one in ten bytes. An anchor's context is
-all that its strings can see: the bytes from 18 before it to 50 after. First whole contexts are compared: a
+the start of the 16-byte string in it with the least hash (the leftmost of equals), so equal strings have their
+anchor at the same place, and each string belongs to one anchor, about one in eighteen bytes. An anchor's context is
+all that its strings can see: the bytes from 34 before it to 50 after. First whole contexts are compared: a
 context that an earlier document has makes all strings of the anchor repeats, and costs a row whatever the size
 of a group of copies. Only where one anchor string occurs in different contexts are the 50-byte strings of each
 context's first document compared one by one. Both are aggregates with partial sums and joins, so no group of
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import stored
 
-LENGTH, ANCHOR = 50, 32
+LENGTH, ANCHOR = 50, 16
 BEFORE = LENGTH - ANCHOR
 ROWS_OUT = 64
 _BASE = 0x9E3779B97F4A7C15
