@@ -20,8 +20,8 @@ Defined cases
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import lru_cache
 from math import comb
 
 import numpy as np
@@ -31,37 +31,66 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import stored
+from ledgerlift.llm.quality_rules import words_of
 
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ROWS_OUT = 128
 PIECE = 256
+#: Word hashes that a task keeps; a cache only, emptied when full.
+WORDS_KEPT = 1 << 19
+
+
+class WordHashes(dict):
+    """64-bit hashes of lower-cased words."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word.translate(LOWER).encode("utf-8", "surrogatepass"))
+        return found
+
+
+_hashes = WordHashes()
+
+
+def scrambled(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's shingles."""
-    words = WORDS.findall((text or "").translate(LOWER))
+    """Sorted distinct 64-bit hashes of a text's shingles, each made from its words' hashes in turn."""
+    words = words_of(text or "")
     if not words:
         return np.zeros(0, np.int64)
-    if len(words) < width:
-        whole = {" ".join(words)}
-    else:
-        whole = set(map(" ".join, zip(*(words[k:] for k in range(width)))))
-    digest = xxhash.xxh3_64_intdigest
-    return np.unique(np.fromiter((digest(s.encode("utf-8", "surrogatepass")) for s in whole), np.uint64, len(whole)).view(np.int64))
+    width = min(width, len(words))
+    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    n = len(words) - width + 1
+    made = scrambled(h[:n])
+    for k in range(1, width):
+        made = scrambled(made * np.uint64(0xD6E8FEB86659FD93) + h[k : k + n])
+    return np.unique(made.view(np.int64))
+
+
+@lru_cache(8)
+def _functions(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and offsets of n hash functions of 32 bits."""
+    rng = np.random.RandomState(20240)
+    factors = rng.randint(0, 1 << 31, size=n, dtype=np.int64).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+    return factors, rng.randint(0, 1 << 32, size=n, dtype=np.int64).astype(np.uint32)
 
 
 def signature(hashes: np.ndarray, n: int) -> np.ndarray:
     """n MinHashes of 32 bits."""
-    rng = np.random.RandomState(20240)
-    a = rng.randint(1, 1 << 62, size=n, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    b = rng.randint(0, 1 << 62, size=n, dtype=np.int64).astype(np.uint64)
-    x = hashes.view(np.uint64)
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    least = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    factors, offsets = _functions(n)
+    x = (scrambled(hashes.view(np.uint64)) >> np.uint64(32)).astype(np.uint32)
+    least, room = np.full(n, np.iinfo(np.uint32).max, np.uint32), np.empty((PIECE, n), np.uint32)
     for start in range(0, len(x), PIECE):
-        np.minimum(least, (x[start : start + PIECE, None] * a + b).min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype(np.uint32)
+        piece = x[start : start + PIECE]
+        made = np.multiply(piece[:, None], factors, out=room[: len(piece)])
+        made += offsets
+        np.minimum(least, made.min(axis=0), out=least)
+    return least
 
 
 def sets(docs: DataFrame, key: str, text: str, width: int, n: int = 0) -> DataFrame:
@@ -134,7 +163,7 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
     over, under = share
     cuts = [F.xxhash64(F.lit(k), F.substring("sig", 4 * band_rows * k + 1, 4 * band_rows)) for k in range(bands)]
     buckets = classes.select("rep", "n", F.explode(F.array(*cuts)).alias("bucket"))
-    many = buckets.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
+    many = buckets.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
     buckets = stored(buckets.join(many, "bucket"), "buckets")
     sizes_fit = F.lit(over) * F.greatest("n_a", "n_b") <= F.lit(under) * F.least("n_a", "n_b")
     sigs = classes.select("rep", "sig")
@@ -152,9 +181,10 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
 
     edges, labels = None, None
     for turn in range(rounds + 1):
-        members = buckets.withColumn("comp", F.col("rep"))
+        # After turn t, buckets of t + 2 members have had each pair compared or linked.
+        members = buckets.where(F.col("c") > turn + 1).select("bucket", "rep", "n", F.col("rep").alias("comp"))
         if labels is not None:
-            members = buckets.join(labels, buckets["rep"] == labels["id"], "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+            members = members.join(labels, members["rep"] == labels["id"], "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("comp"))
         mixed = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct("comp", "rep", "n")).alias("first"), F.max(F.struct("comp", "rep", "n")).alias("last"))
         mixed = stored(mixed.where("low < high"), "mixed")
         if edges is not None and mixed.isEmpty():
