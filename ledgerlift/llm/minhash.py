@@ -143,6 +143,11 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in the edges (a, b): the smallest id reachable, by large-star and small-star steps."""
     links = stored(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u < v").distinct(), "links")
     while True:
+        # Done when every id names one smaller id, and that names none.
+        ends = links.select("v", F.lit(1).alias("up")).unionAll(links.select(F.col("u").alias("v"), F.lit(0).alias("up")))
+        degrees = ends.groupBy("v").agg(F.sum("up").alias("up"), F.count("*").alias("all"))
+        if degrees.where("up > 1 OR (up = 1 AND all > 1)").isEmpty():
+            return links.select(F.col("v").alias("id"), F.col("u").alias("component"))
         # Large star: larger neighbours move to the smallest neighbour.
         both = links.unionAll(links.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("m"))
@@ -151,11 +156,7 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: smaller neighbours, and the node itself, move to the smallest one.
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u < v").unionAll(least.select("v", F.col("m").alias("u")))
-        nxt = stored(small.distinct(), "links")
-        sums = [x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (links, nxt)]
-        links = nxt
-        if sums[0] == sums[1]:
-            return links.select(F.col("v").alias("id"), F.col("u").alias("component"))
+        links = stored(small.distinct(), "links")
 
 
 def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_rows: int, share: tuple[int, int], miss: float, rounds: int) -> DataFrame:
@@ -199,6 +200,8 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
             x, y = open_.toDF("bucket", "a", "n_a", "c_a"), open_.toDF("bucket", "b", "n_b", "c_b")
             pairs = x.join(y, "bucket").where("a < b AND c_a <> c_b")
         found = stored(verify(pairs), "edges")
+        if edges is not None and found.isEmpty():
+            continue
         edges = found if edges is None else edges.unionAll(found)
         labels = components(edges)
     return labels.select(F.col("id").alias("rep"), "component")
