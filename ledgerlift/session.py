@@ -44,7 +44,9 @@ def scratch_root(spark: SparkSession) -> str:
         return f"{shared.rstrip('/')}/ledgerlift/{app}"
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_scratch.setdefault(app, tempfile.mkdtemp(prefix="ledgerlift-"))
+    if app not in _local_scratch:
+        _local_scratch[app] = tempfile.mkdtemp(prefix="ledgerlift-")
+    return _local_scratch[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
