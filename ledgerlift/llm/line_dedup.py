@@ -1,11 +1,14 @@
 """Line dedup by pairwise alignment: common blocks of lines go from the later document.
 
-Overlaps are found through line hashes. A line with `min_words` words or more links a document to the first
-document (smallest id) that holds it, so a line costs one link a document however frequent it is, and no line
-is too common to use. What is rare is decided in the pair: patience diff anchors on lines that occur once in
-each of the two documents, keeps the longest run of anchors in rising order, and extends each anchor over equal
-neighbouring lines, repeated ones too. A block is deleted from the later document if it holds `block_words`
-words or more. Blocks are judged on the input, not on what is left.
+Overlaps are found through hashes of runs of lines. A run links a document to the first document (smallest id)
+that holds it, so a run costs one link a document however frequent it is, and none is too common to use. Runs are
+each line, pair and triple of lines with `min_words` words or more, as long as the lines before the last are short
+of `block_words`; and from each line on, and back from each line, the shortest run that reaches `block_words`.
+Every line of a common block is in such a shortest run inside the block, so it meets a document that holds that run
+whole, even if the lines were each seen first in other documents. What is rare is decided in the pair: patience
+diff anchors on lines that occur once in each of the two documents, keeps the longest run of anchors in rising
+order, and extends each anchor over equal neighbouring lines, repeated ones too. A block is deleted from the later
+document if it holds `block_words` words or more. Blocks are judged on the input, not on what is left.
 
 Documents with the same lines form one class first, aligned once, so large groups of copies add no alignments.
 
@@ -22,6 +25,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +33,45 @@ from pyspark.sql import functions as F
 from ledgerlift.llm.common import count_words, stored
 
 ROWS_OUT = 256
+_ODD = 0xD6E8FEB86659FD93
+_BACK = pow(_ODD, -1, 1 << 64)
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def heavy_runs(words: np.ndarray, block_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends): from each line on, and back from each line, the shortest run with `block_words` words."""
+    total = np.concatenate([[0], np.cumsum(words)])
+    ends = np.searchsorted(total, total[:-1] + block_words, "left")
+    starts = np.flatnonzero(ends < len(total))
+    upto = np.flatnonzero(total >= block_words)
+    back = np.searchsorted(total, total[upto] - block_words, "right") - 1
+    return np.concatenate([starts, back]), np.concatenate([ends[starts], upto])
+
+
+def short_runs(words: np.ndarray, min_words: int, block_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends): one to three lines with `min_words` words, while those before the last are short of a block."""
+    total = np.concatenate([[0], np.cumsum(words)])
+    starts, ends = [], []
+    for n in (1, 2, 3):
+        at = np.arange(max(len(words) - n + 1, 0))
+        at = at[(total[at + n] - total[at] >= min_words) & (total[at + n - 1] - total[at] < block_words)]
+        starts.append(at)
+        ends.append(at + n)
+    return np.concatenate(starts), np.concatenate(ends)
+
+
+def run_hashes(lines: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs, equal for equal lines wherever they stand."""
+    n = len(lines)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lines * powers(_ODD, n), dtype=np.uint64)])
+    found = (sums[ends] - sums[starts]) * powers(_BACK, n + 1)[starts]
+    found = (found ^ (found >> np.uint64(31))) * np.uint64(_ODD) + (ends - starts).astype(np.uint64)
+    return (found ^ (found >> np.uint64(29))).view(np.int64)
 
 
 def patience(later: list[int], first: list[int]) -> list[tuple[int, int]]:
@@ -83,10 +126,23 @@ def cuts(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: in
     texts = rows.join(classes, (rows["digest"] == classes["digest"]) & (rows["id"] == classes["low"]), "left_semi").dropDuplicates(["digest"])
     words = F.transform(F.split("t", "\n", -1), lambda x: count_words(x).cast("int"))
     lines = stored(texts.select("id", "digest", line_hashes(F.col("t")).alias("h"), words.alias("w")), "lines")
-    seen = lines.select("id", "digest", F.explode(F.arrays_zip("h", "w")).alias("x")).where(F.col("x.w") >= min_words)
-    seen = seen.select("id", "digest", F.col("x.h").alias("line")).distinct()
-    firsts = seen.groupBy("line").agg(F.min(F.struct("id", "digest")).alias("f"), F.count("*").alias("c")).where("c > 1")
-    pairs = seen.join(firsts.select("line", "f"), "line").where("f.id < id").select("digest", F.col("f.digest").alias("first")).distinct()
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_OUT):
+                part = batch.slice(start, ROWS_OUT)
+                rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for k, (h, w) in enumerate(zip(part.column(2), part.column(3))):
+                    h, w = (x.values.to_numpy(zero_copy_only=False) for x in (h, w))
+                    starts, ends = (np.concatenate(x) for x in zip(short_runs(w, min_words, block_words), heavy_runs(w, block_words)))
+                    found.append(np.unique(run_hashes(h.view(np.uint64), starts, ends)))
+                    rows.append(np.full(len(found[-1]), k))
+                at = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(np.concatenate(found))], ["id", "digest", "run"])
+
+    kind = lines.schema["id"].dataType.simpleString()
+    seen = lines.select("id", "digest", "h", "w").mapInArrow(link, f"id {kind}, digest string, run long")
+    firsts = seen.groupBy("run").agg(F.min(F.struct("id", "digest")).alias("f"), F.count("*").alias("c")).where("c > 1")
+    pairs = seen.join(firsts.select("run", "f"), "run").where("f.id < id").select("digest", F.col("f.digest").alias("first")).distinct()
     sides = pairs.join(lines.select(F.col("digest").alias("first"), F.col("h").alias("fh")), "first").join(lines.select("digest", "h", "w"), "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
