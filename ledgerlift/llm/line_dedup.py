@@ -7,8 +7,12 @@ of `block_words`; and from each line on, and back from each line, the shortest r
 Every line of a common block is in such a shortest run inside the block, so it meets a document that holds that run
 whole, even if the lines were each seen first in other documents. What is rare is decided in the pair: patience
 diff anchors on lines that occur once in each of the two documents, keeps the longest run of anchors in rising
-order, and extends each anchor over equal neighbouring lines, repeated ones too. A block is deleted from the later
-document if it holds `block_words` words or more. Blocks are judged on the input, not on what is left.
+order, extends each anchor over equal neighbouring lines, and searches each gap between anchors again, with
+occurrences counted inside the gap, by runs of 2, 4, 8 ... lines where no line occurs once. An alignment uses each
+line of the first document once and in order; blocks that come again or elsewhere are found in the pair by the
+shortest runs. A block is deleted from the later document if it holds `block_words` words or more. Blocks are judged
+on the input, not on what is left. So a line goes if it is in a run of lines with `block_words` words that some
+earlier document holds; beyond that, aligned lines that only the earlier document interrupts count as one block.
 
 Documents with the same lines form one class first, aligned once, so large groups of copies add no alignments.
 
@@ -74,12 +78,8 @@ def run_hashes(lines: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return (found ^ (found >> np.uint64(29))).view(np.int64)
 
 
-def patience(later: list[int], first: list[int]) -> list[tuple[int, int]]:
-    """Blocks (start, end) of lines of `later` that align with `first`."""
-    once_a, once_b = Counter(later), Counter(first)
-    at = {h: j for j, h in enumerate(first) if once_b[h] == 1}
-    anchors = [(i, at[h]) for i, h in enumerate(later) if once_a[h] == 1 and h in at]
-    # Longest rising run by patience piles.
+def rising(anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of anchors that rises on both sides, by patience piles."""
     tops: list[int] = []
     heads: list[int] = []
     back = [-1] * len(anchors)
@@ -95,23 +95,81 @@ def patience(later: list[int], first: list[int]) -> list[tuple[int, int]]:
     while k >= 0:
         chain.append(anchors[k])
         k = back[k]
-    blocks: list[tuple[int, int]] = []
-    for i, j in reversed(chain):
-        if blocks and i < blocks[-1][1]:
+    return chain[::-1]
+
+
+def anchors_in(later: list[int], first: list[int]) -> list[tuple[int, int]]:
+    """Where lines stand that occur once in each; if there are none, runs of 2, 4, 8 ... lines that do."""
+    k = 1
+    while k <= min(len(later), len(first)):
+        runs_a, runs_b = (list(zip(*(x[n:] for n in range(k)))) for x in (later, first))
+        once_a, once_b = Counter(runs_a), Counter(runs_b)
+        if not once_a.keys() & once_b.keys():
+            break
+        at = {h: j for j, h in enumerate(runs_b) if once_b[h] == 1}
+        found = [(i, at[h]) for i, h in enumerate(runs_a) if once_a[h] == 1 and h in at]
+        if found:
+            return rising(found)
+        k *= 2
+    return []
+
+
+def patience(later: list[int], first: list[int]) -> list[tuple[int, int]]:
+    """Blocks (start, end) of lines of `later` that align with `first`; gaps between anchors are searched again."""
+    aligned: list[tuple[int, int]] = []
+    gaps = [(0, len(later), 0, len(first))]
+    while gaps:
+        a, b, c, d = gaps.pop()
+        low = a
+        while low < b and c < d and later[low] == first[c]:
+            low, c = low + 1, c + 1
+        high = b
+        while high > low and d > c and later[high - 1] == first[d - 1]:
+            high, d = high - 1, d - 1
+        aligned += [(a, low), (high, b)]
+        if low == high or c == d:
             continue
-        low, x = i, j
-        floor = blocks[-1][1] if blocks else 0
-        while low > floor and x > 0 and later[low - 1] == first[x - 1]:
-            low, x = low - 1, x - 1
-        high, x = i + 1, j + 1
-        while high < len(later) and x < len(first) and later[high] == first[x]:
-            high, x = high + 1, x + 1
+        i0, j0 = low, c
+        for i, j in anchors_in(later[low:high], first[c:d]):
+            i, j = i + low, j + c
+            if i < i0 or j < j0:
+                continue
+            # The prefix of what follows extends the anchor to the right, the suffix of this gap to the left.
+            end = i
+            while end < high and j < d and later[end] == first[j]:
+                end, j = end + 1, j + 1
+            gaps.append((i0, i, j0, j - (end - i)))
+            aligned.append((i, end))
+            i0, j0 = end, j
+        if i0 > low:
+            gaps.append((i0, high, j0, d))
+    blocks: list[tuple[int, int]] = []
+    for low, high in sorted(x for x in aligned if x[0] < x[1]):
         if blocks and low == blocks[-1][1]:
             low = blocks.pop()[0]
         blocks.append((low, high))
     return blocks
 
 
+def common_lines(later: list[int], words: list[int], first: list[int], block_words: int) -> list[int]:
+    """Lines of `later` in blocks with `block_words` words: aligned ones, and those that an alignment passes over
+    since they come again or in another order."""
+    gone = np.zeros(len(later), dtype=bool)
+    for a, b in patience(later, first):
+        gone[a:b] = sum(words[a:b]) >= block_words
+    # Lines that `later` lacks are in no common run, so their words do not matter.
+    weight = dict(zip(later, words))
+    runs = [(later, np.array(words, np.int64)), (first, np.array([weight.get(x, block_words) for x in first], np.int64))]
+    (mine, starts, ends), (theirs, _, _) = (
+        (run_hashes(np.array(h, np.int64).view(np.uint64), *heavy_runs(w, block_words)), *heavy_runs(w, block_words)) for h, w in runs
+    )
+    edge = np.zeros(len(later) + 1, dtype=np.int64)
+    shared = np.isin(mine, theirs)
+    np.add.at(edge, starts[shared], 1)
+    np.add.at(edge, ends[shared], -1)
+    return np.flatnonzero(gone | (np.cumsum(edge)[:-1] > 0)).tolist()
+
+
 def line_hashes(text: Column) -> Column:
     return F.transform(F.split(text, "\n", -1), lambda x: F.xxhash64(x))
 
@@ -151,7 +209,7 @@ def cuts(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: in
                 part = batch.slice(start, ROWS_OUT)
                 digests, gone = [], []
                 for d, fh, h, w in zip(*(c.to_pylist() for c in part.columns)):
-                    found = [i for a, b in patience(h, fh) if sum(w[a:b]) >= block_words for i in range(a, b)]
+                    found = common_lines(h, w, fh, block_words)
                     if found:
                         digests.append(d)
                         gone.append(found)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 
 from ledgerlift.llm import line_dedup
@@ -20,6 +22,54 @@ def test_block_whose_lines_were_each_seen_before(spark):
     assert left(spark, texts) == [*texts[:5], "a late start\na late end"]
 
 
+def held(texts: list[list[str]], k: int, block_words: int) -> set:
+    """Lines of text k in any run with enough words that an earlier text holds as a run."""
+    own, gone = texts[k], set()
+    for a in range(len(own)):
+        for b in range(a + 1, len(own) + 1):
+            if sum(len(x.split()) for x in own[a:b]) >= block_words:
+                if any(t[i : i + b - a] == own[a:b] for t in texts[:k] for i in range(len(t))):
+                    gone.update(range(a, b))
+    return gone
+
+
+def test_passages_repeated_in_a_document(spark):
+    """Short texts of few lines, so lines and passages come again; blocks in order of the first are only more."""
+    draw = random.Random(5)
+    lines = ["", "one", "two words", "three words here", "four words stand here", "and five words stand here"]
+    texts = [[draw.choice(lines) for _ in range(draw.randint(1, 9))] for _ in range(60)]
+    texts[1:1] = [["a b c d", "e f g h", "i j k l"], ["a b c d", "e f g h", "i j k l", "other", "a b c d", "e f g h", "i j k l"]]
+    unique = [t for k, t in enumerate(texts) if t not in texts[:k] and t != [""]]
+    rows = spark.createDataFrame([(k, "\n".join(t)) for k, t in enumerate(unique)], "doc_id long, text string")
+    got = {r["id"]: set(r["gone"]) for r in line_dedup.cuts(rows).collect()}
+    assert got[2] == {0, 1, 2, 4, 5, 6}
+    for k, t in enumerate(unique):
+        sure = held(unique, k, 10)
+        more = {i for f in unique[:k] for a, b in line_dedup.patience(t, f) if sum(len(x.split()) for x in t[a:b]) >= 10 for i in range(a, b)}
+        assert sure <= got.get(k, set()) <= sure | more
+
+
+def test_gaps_are_searched_again():
+    assert line_dedup.patience([1, 2, 3, 9, 1, 2, 3], [1, 2, 3]) == [(0, 3)]
+    # 7 anchors; 5 and 6 occur twice in each document, but once on each side of it.
+    assert line_dedup.patience([0, 5, 6, 8, 7, 8, 5, 6, 0], [1, 5, 6, 2, 7, 3, 5, 6, 1]) == [(1, 3), (4, 5), (6, 8)]
+    # No line occurs once in the gap, but the pair does.
+    assert line_dedup.patience([8, 1, 2, 2, 1, 8, 8], [9, 2, 2, 9, 1, 2, 9, 1]) != []
+    draw = random.Random(2)
+    for _ in range(500):
+        later, first = ([draw.randint(0, 4) for _ in range(draw.randint(0, 9))] for _ in range(2))
+        rest = iter(first)
+        assert all(x in rest for a, b in line_dedup.patience(later, first) for x in later[a:b])
+
+
+def test_in_a_pair_every_common_block_goes():
+    draw = random.Random(3)
+    for _ in range(500):
+        later, first = ([draw.randint(0, 4) for _ in range(draw.randint(1, 9))] for _ in range(2))
+        texts = [[" ".join([str(x)] * x) for x in t] for t in (first, later)]
+        assert held(texts, 1, 6) <= set(line_dedup.common_lines(later, later, first, 6))
+
+
 def test_run_hashes_follow_the_lines():
     draw = np.random.RandomState(1)
     lines, words = draw.randint(0, 4, 60).astype(np.uint64), draw.randint(0, 5, 60)
