@@ -1,11 +1,12 @@
-"""Line-first cleaning: rules judge each line, failing lines go, and a document that loses too much text goes.
+"""Line-first cleaning: rules judge each line, failing lines go, and a document that fails in too much text goes.
 
 Rules for a line with words
     navigation   separators standing as words: at least three, and a fifth of the words
     symbols      at least three of ``#*$%&|<>``, and at least a third as many as words
     shouting     at least four words, more than half of them ending in ``!!``, or nearly all letters capital
     boilerplate  at most twelve words that hold a stock phrase of sites
-    punctuation  at least thirty words without any sentence mark
+    punctuation  at least thirty words without any sentence mark of Unicode, where Thai and Lao letters are at most half;
+                 such a line counts as failing, but stays in a document that is kept: it may be a list or verse
 A document is rejected if failing lines hold more than `most_lost` of its word characters, or if it fails the
 base rules: under 20 words, or over 30 % of its words in 8-word windows that occur twice or more.
 
@@ -30,7 +31,20 @@ WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 INNER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = {"|", ">", "»", "·", "•", "/", "::", "<", "«"}
-MARKS = re.compile("[.!?…。！？]")
+#: Sentence_Terminal of Unicode, and marks beside it: Armenian, Greek, Tibetan, the ellipsis.
+MARKS = re.compile(
+    "[!.?\u0589\u061d-\u061f\u06d4\u0700-\u0702\u07f9\u0837\u0839\u083d\u083e\u0964\u0965\u104a\u104b\u1362\u1367\u1368\u166e\u1735\u1736"
+    "\u17d4\u17d5\u1803\u1809\u1944\u1945\u1aa8-\u1aab\u1b4e\u1b4f\u1b5a\u1b5b\u1b5e\u1b5f\u1b7d-\u1b7f\u1c3b\u1c3c\u1c7e\u1c7f\u2024\u203c\u203d"
+    "\u2047-\u2049\u2cf9-\u2cfb\u2e2e\u2e3c\u2e53\u2e54\u3002\ua4ff\ua60e\ua60f\ua6f3\ua6f7\ua876\ua877\ua8ce\ua8cf\ua92f\ua9c8\ua9c9"
+    "\uaa5d-\uaa5f\uaaf0\uaaf1\uabeb\ufe12\ufe15\ufe16\ufe52\ufe56\ufe57\uff01\uff0e\uff1f\uff61\U00010a56\U00010a57\U00010f55-\U00010f59"
+    "\U00010f86-\U00010f89\U00011047\U00011048\U000110be-\U000110c1\U00011141-\U00011143\U000111c5\U000111c6\U000111cd\U000111de\U000111df"
+    "\U00011238\U00011239\U0001123b\U0001123c\U000112a9\U0001144b\U0001144c\U000115c2\U000115c3\U000115c9-\U000115d7\U00011641\U00011642"
+    "\U0001173c-\U0001173e\U00011944\U00011946\U00011a42\U00011a43\U00011a9b\U00011a9c\U00011c41\U00011c42\U00011ef7\U00011ef8"
+    "\U00011f43\U00011f44\U00016a6e\U00016a6f\U00016af5\U00016b37\U00016b38\U00016b44\U00016e98\U0001bc9f\U0001da88"
+    "…\u055c\u055e\u037e\u0f0d\u0f0e]"
+)
+#: Scripts whose sentences need no mark: Thai, Lao.
+UNMARKED = re.compile("[\u0e00-\u0eff]")
 STOCK = (
     "all rights reserved",
     "click here",
@@ -103,7 +117,12 @@ def line_fails(line: str, words: list[str]) -> bool:
         low = line.lower()
         if any(phrase in low for phrase in STOCK):
             return True
-    return n >= 30 and not MARKS.search(line)
+    return False
+
+
+def unmarked(line: str, n: int) -> bool:
+    """A long line without any sentence mark, in a script that has such marks."""
+    return n >= 30 and not MARKS.search(line) and 2 * len(UNMARKED.findall(line)) <= sum(map(str.isalpha, line))
 
 
 def measure(text: str | None, most_lost: float) -> tuple:
@@ -122,6 +141,8 @@ def measure(text: str | None, most_lost: float) -> tuple:
             if line_fails(line, words):
                 lost += sum(map(len, words))
                 continue
+            if unmarked(line, len(words)):
+                lost += sum(map(len, words))
         kept.append(line)
     chars, n, repeats = sum(map(len, all_words)), len(all_words), repeat_words(all_words)
     failed = n < 20 or 100 * repeats > 30 * n
