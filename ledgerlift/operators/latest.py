@@ -20,6 +20,8 @@ one filing holds most of them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +32,14 @@ SEQUENCE = "hendelse.sekvensnummer"
 ACCOUNTS = "naeringsspesifikasjon.skogbruk.skogOgToemmerkonto"
 
 
+WINNER = ["_filer", "_year", "_time", "_sequence"]
+
+
+def _equal(left: list[str], right: list[str]) -> Column:
+    """A missing key, time or sequence number equals a missing one; sequence numbers may be shared by filers."""
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
+
+
 def is_fragmented(filings: DataFrame) -> bool:
     return "fragment" in filings.schema["hendelse"].dataType.names
 
@@ -45,20 +55,22 @@ def _last(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def _last_header(candidates: DataFrame) -> DataFrame:
-    """Sequence number of the last registration per filer and year."""
+    """Filer, year, time and sequence number of the last registration per filer and year."""
     header = candidates.select(
         F.col(FILER).alias("filer"),
         F.col(YEAR).alias("year"),
-        F.struct(F.col(TIME).alias("time"), F.col(SEQUENCE).alias("_sequence")).alias("registration"),
+        F.struct(F.col(TIME).alias("time"), F.col(SEQUENCE).alias("sequence")).alias("registration"),
     )
-    return header.groupBy("filer", "year").agg(F.max("registration").alias("r")).select("r._sequence")
+    last = header.groupBy("filer", "year").agg(F.max("registration").alias("r"))
+    return last.select("filer", "year", "r.time", "r.sequence").toDF(*WINNER)
 
 
 def _last_filings(candidates: DataFrame) -> DataFrame:
     if is_fragmented(candidates):
-        # the join key is a column of its own: nested fields in a join condition hinder pruning
-        keyed = candidates.withColumn("_sequence", F.col(SEQUENCE))
-        return keyed.join(_last_header(candidates), "_sequence", "left_semi").drop("_sequence")
+        # the join keys are columns of their own: nested fields in a join condition hinder pruning
+        own = [f"_own{name}" for name in WINNER]
+        keyed = candidates.withColumns(dict(zip(own, map(F.col, (FILER, YEAR, TIME, SEQUENCE)))))
+        return keyed.join(_last_header(candidates), _equal(own, WINNER), "left_semi").drop(*own)
     return _last(candidates, [FILER, YEAR], [F.col(TIME).desc(), F.col(SEQUENCE).desc()])
 
 
@@ -99,11 +111,12 @@ def latest_account(filings: DataFrame, per_account: bool = False) -> DataFrame:
         last = (
             last.groupBy(*keys)
             .agg(F.max(F.struct("registreringstidspunkt", "sekvensnummer", "accountId")).alias("w"))
-            .select(F.col("w.sekvensnummer").alias("_sequence"), F.col("w.accountId").alias("_account"))
+            .select(*keys, "w.registreringstidspunkt", "w.sekvensnummer", "w.accountId")
+            .toDF(*WINNER, "_account")
         )
         keyed = rows.withColumn("_accountId", F.col("account.id"))
-        same = (F.col("sekvensnummer") == F.col("_sequence")) & F.col("_accountId").eqNullSafe(F.col("_account"))
-        return keyed.join(last, same, "left_semi").drop("_accountId")
+        header_keys = [*keys, "registreringstidspunkt", "sekvensnummer", "_accountId"]
+        return keyed.join(last, _equal(header_keys, [*WINNER, "_account"]), "left_semi").drop("_accountId")
     return _last(
         rows,
         keys,
