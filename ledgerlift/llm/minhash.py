@@ -170,7 +170,6 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
     sigs = classes.select("rep", "sig")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.where(sizes_fit).select("a", "b").distinct()
         signed_pairs = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
         left = stored(plausible(signed_pairs, bands * band_rows, over / under, miss), "plausible")
         named = left.select(F.col("a").alias("its")).unionAll(left.select("b")).distinct()
@@ -180,10 +179,10 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
         inter = F.size(F.array_intersect("x", "y"))
         return both.select("a", "b", "p", "q", inter.alias("i")).where(under * F.col("i") >= over * (F.col("p") + F.col("q") - F.col("i"))).select("a", "b")
 
-    edges, labels = None, None
+    edges, labels, compared = None, None, None
     for turn in range(rounds + 1):
-        # After turn t, buckets of t + 2 members have had each pair compared or linked.
-        members = buckets.where(F.col("c") > turn + 1).select("bucket", "rep", "n", F.col("rep").alias("comp"))
+        # The first turn compares the only pair of a bucket of two. The last one takes every larger bucket that is not yet one component.
+        members = buckets.where(F.col("c") > (2 if turn else 1)).select("bucket", "rep", "n", F.col("rep").alias("comp"))
         if labels is not None:
             members = members.join(labels, members["rep"] == labels["id"], "left").select("bucket", "rep", "n", F.coalesce("component", "rep").alias("comp"))
         mixed = members.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(F.struct("comp", "rep", "n")).alias("first"), F.max(F.struct("comp", "rep", "n")).alias("last"))
@@ -199,6 +198,9 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
             open_ = stored(members.join(mixed.select("bucket"), "bucket"), "open")
             x, y = open_.toDF("bucket", "a", "n_a", "c_a"), open_.toDF("bucket", "b", "n_b", "c_b")
             pairs = x.join(y, "bucket").where("a < b AND c_a <> c_b")
+        pairs = pairs.where(sizes_fit).select("a", "b").distinct()
+        pairs = stored(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+        compared = pairs if compared is None else compared.unionAll(pairs)
         found = stored(verify(pairs), "edges")
         if edges is not None and found.isEmpty():
             continue
