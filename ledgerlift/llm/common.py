@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +33,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def renewed(df: DataFrame) -> DataFrame:
+    """The same columns as new ones, so that a frame can be cogrouped with another made from the same rows."""
+    return df.select(*[F.col(c).alias(c) for c in df.columns])
+
+
 def parts_for(spark: SparkSession, total: float, each: float) -> int:
     """Number of parts so that each holds about `each` of `total`; at least one a shuffle partition."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(-(-total // each)), 1)
+
+
+def text_slices(batch: pa.RecordBatch, column: str, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about `size` bytes of text, with one text at least, so that what is made of a slice stays small."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, before + size, side="right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop

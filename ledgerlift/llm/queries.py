@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlift.llm import block_topk, byte_bpe, kneser_ney, licenses, line_dedup, minhash, mixing, passages, quality_rules, secrets
+from ledgerlift.llm import (
+    block_topk,
+    byte_bpe,
+    divergence,
+    kneser_ney,
+    licenses,
+    line_dedup,
+    minhash,
+    mixing,
+    negatives,
+    packing,
+    passages,
+    quality_rules,
+    secrets,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +85,24 @@ def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.pack(packing.encode(_table(spark, sf_dir, "documents"), vocabulary), vocabulary, length=2048)
+    return pieces.drop("ids").withColumnRenamed("id", "doc_id")
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), min_docs=30, top_terms=50)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mislabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.whole_rows(_table(spark, sf_dir, "embeddings"), mislabelled)
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0, n_positives=5, n_negatives=10, low_percent=30, high_percent=90)
+
+
 OP10_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
@@ -86,6 +118,62 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 ) WHERE rank <= 5
 """
 
+OP12_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), occurrence AS (SELECT lang, source, unnest(terms) AS term FROM d
+), kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(terms)) AS term FROM d) GROUP BY lang, term HAVING count(*) >= 30
+), grp AS (SELECT DISTINCT lang, source FROM d
+), counts AS (SELECT lang, source, term, count(*) AS n FROM occurrence SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), cell AS (
+  SELECT grp.lang, grp.source, kept.term, coalesce(n, 0)::HUGEINT AS n
+  FROM grp JOIN kept ON kept.lang = grp.lang LEFT JOIN counts ON counts.lang = grp.lang AND counts.source = grp.source AND counts.term = kept.term
+), shares AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g) AS p FROM cell
+  WINDOW g AS (PARTITION BY lang, source)
+), whole AS (SELECT lang, term, sum(n) AS n FROM cell GROUP BY lang, term
+), lang_shares AS (
+  SELECT lang, term, 1 + (1000000000 * (n + 5)::HUGEINT) // (sum(n) OVER g + 5 * count(*) OVER g)::HUGEINT AS q FROM whole
+  WINDOW g AS (PARTITION BY lang)
+), distance AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN distance d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+), more AS (SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM shares JOIN lang_shares USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) FROM more
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same, list_inner_product(a.e, d.e)::BIGINT AS score
+  FROM v a JOIN v d ON a.vec_id <> d.vec_id WHERE a.vec_id % 100 = 0
+), near AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM scored WHERE same) WHERE r <= 5
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM near p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+) WHERE rank <= 10
+"""
+
 
 def queries() -> dict[str, Query]:
     return {
@@ -99,8 +187,11 @@ def queries() -> dict[str, Query]:
         "op8_kneser_ney": op8_kneser_ney,
         "op9_line_dedup": op9_line_dedup,
         "op10_block_topk": op10_block_topk,
+        "op11_curve_packing": op11_curve_packing,
+        "op12_source_audit": op12_source_audit,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_block_topk": OP10_SQL}
+    return {"op10_block_topk": OP10_SQL, "op12_source_audit": OP12_SQL, "op13_hard_negatives": OP13_SQL}
