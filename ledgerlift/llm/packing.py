@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,11 @@ ENCODERS: dict[str, "WordEncoder"] = {}  # of this worker
 MARK = r"!-&(-/:-@\[-`{-~"
 LETTER = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}"
 
+# byte-level vocabularies write a byte as a sign of its own: printable ones as they are, the others from U+0100 on, in order
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SIGNS = {b: chr(b) for b in _PRINTED} | {b: chr(0x100 + k) for k, b in enumerate(x for x in range(256) if x not in _PRINTED)}
+BYTE_SIGNS = {c: "".join(_SIGNS[b] for b in chr(c).encode()) for c in range(0x80, 0x250)}
+
 
 def split_marks(words: pa.Array) -> pa.Array:
     """Words as lists of smaller words, cut where no token of the vocabulary's pattern can go on."""
@@ -86,14 +92,23 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.words, self.parts = Runs(), Runs()
 
+    def _tokens(self, parts: list[str]) -> list[list[int]]:
+        """Ids of each part. One run of Latin letters or of marks is one word to the vocabulary's pattern, so its
+        merges alone are asked; all else goes through the whole tokenizer."""
+        plain = pc.match_substring_regex(pa.array(parts, pa.string()), f"^(?:[{LETTER}]+|[{MARK}]+)$").to_pylist()
+        merges = self.tokenizer.model.tokenize
+        others = [p for p, is_plain in zip(parts, plain) if not is_plain]
+        rest = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        return [[t.id for t in merges(p.lower().translate(BYTE_SIGNS))] if is_plain else next(rest).ids for p, is_plain in zip(parts, plain)]
+
     def _learn(self, words: list[str]) -> None:
         lists = split_marks(pa.array(words, pa.string()))
         flat = lists.flatten().dictionary_encode()
         parts = flat.dictionary.to_pylist()
         new = self.parts.missing(parts)
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.parts.add(new, np.fromiter((i for run in ids for i in run), np.uint32, int(lengths.sum())), lengths)
+        if new:
+            ids = self._tokens(new)
+            self.parts.add(new, np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
         starts, lengths = (x[flat.indices.to_numpy()] for x in self.parts.of(parts))
         edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         sums = np.concatenate([[0], np.cumsum(lengths)])[edges]
@@ -183,7 +198,7 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
         vocabulary = encoder.tokenizer.get_vocab_size()
         buckets, signs = hashed_signs(vocabulary)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", 8_000_000):
                 ids, sizes = encoder.encode(part.column("text"), end_id)
                 curve = hilbert_key(points(ids, sizes, buckets, signs))
                 packed = _binary(ids, sizes, _width(vocabulary)).cast(pa.binary())
