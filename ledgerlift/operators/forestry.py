@@ -1,40 +1,31 @@
-"""Forestry accounts and their funds: two list levels to (felt, beloep) rows."""
+"""Forestry accounts and their funds: two list levels to (felt, beloep) rows.
+
+The amounts of an account, and of an entry of its fund, go by names that change from year to year and may
+stand inside further structs. Accounts are VARIANT objects, so whatever a record holds becomes rows: no list
+of names, and no look at the delivery beforehand.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ledgerlift.functions.variants import amounts_sql, list_of, text_of
 from ledgerlift.operators.latest import ACCOUNTS, FILER, SEQUENCE, TIME, YEAR, latest_account, latest_with_accounts
 from ledgerlift.operators.sections import has_amount
 
 HEADER = ["norskIdentifikator", "inntektsaar", "registreringstidspunkt", "sekvensnummer"]
+ACCOUNT_ORDER = ["norskIdentifikator", "inntektsaar", "id", "felt"]
+FUND_ORDER = ["norskIdentifikator", "inntektsaar", "skogOgToemmerkontoId", "kommunenummer", "felt"]
 
 
-def open_struct(df: DataFrame, column: str) -> DataFrame:
-    """Fields of a struct column as columns, at every depth. Lists stay lists."""
-    rest = [c for c in df.columns if c != column]
-    df = df.select(*rest, f"{column}.*")
-    for field in df.schema:
-        if isinstance(field.dataType, T.StructType) and field.name not in rest:
-            df = open_struct(df, field.name)
-    return df
-
-
-def amounts_to_rows(df: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Every column but ``ids`` as a (felt, beloep) row; empty and zero amounts are left out."""
-    amounts = [field for field in df.schema if field.name not in ids]
-    wrong = [f"{f.name} ({f.dataType.simpleString()})" for f in amounts if not isinstance(f.dataType, T.NumericType)]
-    if wrong:
-        raise ValueError(f"amounts must be numbers: {', '.join(wrong)}")
-    if not amounts:  # a delivery without any: no rows, but the same columns
-        none = [F.lit(None).cast("string").alias("felt"), F.lit(None).cast("double").alias("beloep")]
-        return df.select(*ids, *none).where(F.lit(False))
-    df = df.select(*ids, *[F.col(f.name).cast("double").alias(f.name) for f in amounts])
-    return df.unpivot(list(ids), [f.name for f in amounts], "felt", "beloep").where(has_amount())
+def amounts_to_rows(df: DataFrame, record: str, without: Collection[str]) -> DataFrame:
+    """Every amount of a VARIANT record as a (felt, beloep) row; empty and zero amounts are left out."""
+    rest = [c for c in df.columns if c != record]
+    rows = df.select(*rest, F.inline(F.expr(amounts_sql(record, without))).alias("felt", "beloep"))
+    return rows.where(has_amount())
 
 
 def accounts(filings: DataFrame, ordered: bool = True) -> DataFrame:
@@ -46,26 +37,27 @@ def accounts(filings: DataFrame, ordered: bool = True) -> DataFrame:
         F.col(SEQUENCE).alias("sekvensnummer"),
         F.explode(ACCOUNTS).alias("account"),
     )
-    out = amounts_to_rows(open_struct(rows, "account").drop("skogfond"), [*HEADER, "id", "driftsenhet"])
-    return _in_order(out, "norskIdentifikator", "inntektsaar", "id", "felt") if ordered else out
+    ids = [text_of(F.col("account"), name).alias(name) for name in ("id", "driftsenhet")]
+    out = amounts_to_rows(rows.select(*HEADER, *ids, "account"), "account", ("id", "driftsenhet", "skogfond"))
+    return _in_order(out, *ACCOUNT_ORDER) if ordered else out
 
 
 def fund(filings: DataFrame, per_account: bool = False, ordered: bool = True) -> DataFrame:
     """Amounts of the forestry fund, of one account per filer and year or of all."""
     rows = latest_account(filings, per_account).select(
         *HEADER,
-        F.col("account.id").alias("skogOgToemmerkontoId"),
+        text_of(F.col("account"), "id").alias("skogOgToemmerkontoId"),
         F.col("fragment").alias("_fragment"),
-        F.posexplode("account.skogfond").alias("_place", "fund"),
+        F.posexplode(list_of(F.col("account"), "skogfond")).alias("_place", "entry"),
     )
     place = ["_fragment", "_place"]
-    ids = [*HEADER, "skogOgToemmerkontoId", "id", "kommunenummer", *place]
-    out = amounts_to_rows(open_struct(rows, "fund"), ids)
+    ids = [text_of(F.col("entry"), name).alias(name) for name in ("id", "kommunenummer")]
+    rows = rows.select(*HEADER, "skogOgToemmerkontoId", *ids, *place, "entry")
+    out = amounts_to_rows(rows, "entry", ("id", "kommunenummer"))
     if ordered:
         # the place in the filing makes the order total: an account with very many
         # equal entries is then sorted by several tasks
-        order = ("norskIdentifikator", "inntektsaar", "skogOgToemmerkontoId", "kommunenummer", "felt", "id")
-        out = _in_order(out, *order, *place)
+        out = _in_order(out, *FUND_ORDER, "id", *place)
     return out.drop(*place)
 
 

@@ -7,21 +7,21 @@ Three rules with different results:
   even when a later one has none.
 * ``latest_account``: after the accounts became rows, the single last row.
 
-Ties on time go to the highest sequence number. ``row_number() = 1`` becomes a
-``WindowGroupLimit`` on both sides of the exchange, so a filer and year that
-holds a large share of the rows sends one row per map task.
-
-A filing whose lists are too long for one record comes as several records with
-equal header and ``hendelse.fragment`` numbering them. All records of the
-winning registration must then survive, so the winners are found on the narrow
-header columns and the records are kept by a semi join, which Spark splits when
-one filing holds most of them.
+Every delivered registration has a number of its own, ``hendelse.ordinal``. A
+filing whose lists are too long for one record comes as several records with
+that number and ``hendelse.fragment`` counting them; most have the fragment 0
+alone. Ties on time go to the highest sequence number, then to the highest
+ordinal, so one registration wins, and all its records survive.
+
+There is one plan for short and long filings. Winners are chosen on the narrow
+header, one row a record, where ``rank() = 1`` becomes a ``WindowGroupLimit`` on
+both sides of the exchange: a filer and year that holds a large share of the
+records sends few rows per map task. The records are then kept by a join on
+(ordinal, fragment), which no two records share, so it cannot be skewed.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,101 +29,85 @@ FILER = "naeringsspesifikasjon.norskIdentifikator"
 YEAR = "naeringsspesifikasjon.inntektsaar"
 TIME = "hendelse.registreringstidspunkt"
 SEQUENCE = "hendelse.sekvensnummer"
+ORDINAL = "hendelse.ordinal"
+FRAGMENT = "hendelse.fragment"
 ACCOUNTS = "naeringsspesifikasjon.skogbruk.skogOgToemmerkonto"
+NUMBERS = "naeringsspesifikasjon.skogbruk.kontonummer"
 
-
-WINNER = ["_filer", "_year", "_time", "_sequence"]
-
-
-def _equal(left: list[str], right: list[str]) -> Column:
-    """A missing key, time or sequence number equals a missing one; sequence numbers may be shared by filers."""
-    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
-
-
-def is_fragmented(filings: DataFrame) -> bool:
-    return "fragment" in filings.schema["hendelse"].dataType.names
+RECORD = ["_ordinal", "_fragment"]
 
 
 def whole(filings: DataFrame) -> DataFrame:
     """One record per filing: fragment 0 carries the scalars."""
-    return filings.where("hendelse.fragment = 0") if is_fragmented(filings) else filings
+    return filings.where(F.col(FRAGMENT) == 0)
 
 
-def _last(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return rows.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+def _winners(candidates: DataFrame, *then: Column) -> DataFrame:
+    """(_ordinal, _fragment, …): the records of the last registration per filer and year, by their headers.
 
-
-def _last_header(candidates: DataFrame) -> DataFrame:
-    """Filer, year, time and sequence number of the last registration per filer and year."""
+    ``then`` are further columns, of which the least among the records of the registration wins too.
+    """
     header = candidates.select(
-        F.col(FILER).alias("filer"),
-        F.col(YEAR).alias("year"),
-        F.struct(F.col(TIME).alias("time"), F.col(SEQUENCE).alias("sequence")).alias("registration"),
+        F.col(FILER).alias("_filer"),
+        F.col(YEAR).alias("_year"),
+        F.col(TIME).alias("_time"),
+        F.col(SEQUENCE).alias("_sequence"),
+        F.col(ORDINAL).alias("_ordinal"),
+        F.col(FRAGMENT).alias("_fragment"),
+        *then,
     )
-    last = header.groupBy("filer", "year").agg(F.max("registration").alias("r"))
-    return last.select("filer", "year", "r.time", "r.sequence").toDF(*WINNER)
+    more = header.columns[6:]
+    last = [F.desc("_time"), F.desc("_sequence"), F.desc("_ordinal"), *[F.asc(c) for c in more]]
+    rank = F.rank().over(Window.partitionBy("_filer", "_year").orderBy(*last))
+    return header.withColumn("_rank", rank).where("_rank = 1").select(*RECORD, *more)
 
 
-def _last_filings(candidates: DataFrame) -> DataFrame:
-    if is_fragmented(candidates):
-        # the join keys are columns of their own: nested fields in a join condition hinder pruning
-        own = [f"_own{name}" for name in WINNER]
-        keyed = candidates.withColumns(dict(zip(own, map(F.col, (FILER, YEAR, TIME, SEQUENCE)))))
-        return keyed.join(_last_header(candidates), _equal(own, WINNER), "left_semi").drop(*own)
-    return _last(candidates, [FILER, YEAR], [F.col(TIME).desc(), F.col(SEQUENCE).desc()])
+def _keep(candidates: DataFrame, winners: DataFrame, how: str = "left_semi") -> DataFrame:
+    # the join keys are columns of their own: nested fields in a join condition hinder pruning
+    keyed = candidates.withColumns(dict(zip(RECORD, map(F.col, (ORDINAL, FRAGMENT)))))
+    return keyed.join(winners, RECORD, how).drop(*RECORD)
 
 
 def latest_filings(filings: DataFrame) -> DataFrame:
     """Last registration per filer and year; filings without filer or year are dropped first."""
-    return _last_filings(filings.where(F.col(FILER).isNotNull() & F.col(YEAR).isNotNull()))
+    candidates = filings.where(F.col(FILER).isNotNull() & F.col(YEAR).isNotNull())
+    return _keep(candidates, _winners(candidates))
 
 
 def latest_with_accounts(filings: DataFrame) -> DataFrame:
     """Last registration that has forestry accounts. A missing filer or year counts as a value."""
-    return _last_filings(filings.where(F.size(ACCOUNTS) > 0))
+    candidates = filings.where(F.size(ACCOUNTS) > 0)
+    return _keep(candidates, _winners(candidates))
+
+
+def _number(place: str) -> str:
+    """Number of the account at a place of the list: the one delivered with it, else its place."""
+    return f"coalesce(get({NUMBERS}, {place}), cast({place} as bigint))"
 
 
 def latest_account(filings: DataFrame, per_account: bool = False) -> DataFrame:
-    """Forestry accounts as rows ``(header…, fragment, account)``, the last one per filer and year.
+    """Forestry accounts as rows ``(header…, ordinal, fragment, number, account)``, the last one per filer and year.
+
+    The lowest id counts among the accounts of a registration, then the lowest number. It is found inside
+    each record, so one row a record is shuffled, whatever its accounts hold. An account that is spread over
+    the records of a long filing gives a row for each of its pieces.
 
     ``per_account=True`` keeps every account of the last registration instead.
     """
-    fragmented = is_fragmented(filings)
     header = [
         F.col(FILER).alias("norskIdentifikator"),
         F.col(YEAR).cast("bigint").alias("inntektsaar"),
         F.col(TIME).alias("registreringstidspunkt"),
         F.col(SEQUENCE).alias("sekvensnummer"),
-        (F.col("hendelse.fragment") if fragmented else F.lit(0)).alias("fragment"),
+        F.col(ORDINAL).alias("ordinal"),
+        F.col(FRAGMENT).alias("fragment"),
     ]
+    candidates = filings.where(F.size(ACCOUNTS) > 0)
     if per_account:
-        return latest_with_accounts(filings).select(*header, F.explode(ACCOUNTS).alias("account"))
-    rows = filings.where(F.size(ACCOUNTS) > 0).select(*header, F.explode(ACCOUNTS).alias("account"))
-    keys = ["norskIdentifikator", "inntektsaar"]
-    if fragmented:
-        # one account may be spread over records: keep every piece of the winning account
-        last = (
-            rows.select(*keys, "registreringstidspunkt", "sekvensnummer", F.col("account.id").alias("accountId"))
-            .groupBy(*keys, "registreringstidspunkt", "sekvensnummer")
-            .agg(F.min("accountId").alias("accountId"))
-        )
-        last = (
-            last.groupBy(*keys)
-            .agg(F.max(F.struct("registreringstidspunkt", "sekvensnummer", "accountId")).alias("w"))
-            .select(*keys, "w.registreringstidspunkt", "w.sekvensnummer", "w.accountId")
-            .toDF(*WINNER, "_account")
-        )
-        keyed = rows.withColumn("_accountId", F.col("account.id"))
-        header_keys = [*keys, "registreringstidspunkt", "sekvensnummer", "_accountId"]
-        return keyed.join(last, _equal(header_keys, [*WINNER, "_account"]), "left_semi").drop("_accountId")
-    return _last(
-        rows,
-        keys,
-        [
-            F.col("registreringstidspunkt").desc(),
-            F.col("sekvensnummer").desc(),
-            F.col("account.id").asc_nulls_last(),
-            F.col("account").asc_nulls_last(),
-        ],
-    )
+        numbered = f"transform({ACCOUNTS}, (a, i) -> named_struct('number', {_number('i')}, 'account', a))"
+        return _keep(candidates, _winners(candidates)).select(*header, F.inline(F.expr(numbered)).alias("number", "account"))
+    keys = f"""transform({ACCOUNTS}, (a, i) -> named_struct(
+        'missing', variant_get(a, '$.id', 'string') is null, 'id', variant_get(a, '$.id', 'string'), 'number', {_number("i")}))"""
+    rows = _keep(candidates, _winners(candidates, F.expr(f"array_min({keys})").alias("_first")), "inner")
+    account = F.expr(f"element_at(filter({ACCOUNTS}, (a, i) -> {_number('i')} = _first.number), 1)")
+    return rows.select(*header, F.col("_first.number").alias("number"), account.alias("account"))

@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import floor
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlift.functions.amounts import sum_amount, to_major, to_minor
-
 QUARTILES = (1, 2, 3)
-BINS_PER_LOG_UNIT = 16_384
+DIGITS = (42, 21, 0)  # bits below the digit of each counting round: digits of 22, 21 and 21 bits
+STATISTICS = "variable string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double"
+
+# the bits of a double, turned so that they sort like the double; -0 counts as 0
+_BITS = "cast(reflect('java.lang.Double', 'doubleToLongBits', value + 0.0D) as bigint)"
+_KEY = f"(case when {_BITS} < 0 then {_BITS} ^ 9223372036854775807 else {_BITS} end)"
+# whole cents are added exactly, what is left of a value as a double
+_CENTS = "case when abs(value) < 1e15 then cast(rint(value * 100) as decimal(20, 0)) else 0 end"
+_REST = "value - case when abs(value) < 1e15 then rint(value * 100) / 100.0D else 0 end"
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -19,84 +26,114 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles and max, one row per numeric column."""
+    """count, mean, std, min, exact quartiles and max, one row per numeric column.
+
+    The quartiles are found by radix selection on the bits of the doubles: a round counts the values by the
+    next digit of their bits, below the digits already known, and keeps the bins that hold a wanted rank. A
+    round shuffles at most 2**22 counts for each bin kept, whatever the number of values, and a bin with one
+    value is done: amounts in øre take two rounds, and no double more than three. At most six bins per column
+    come to the driver.
+    """
     columns = list(columns or numeric_columns(df))
-    values = df.selectExpr(*[f"cast(`{c}` as double) as `{c}`" for c in columns]).unpivot(
-        [], columns, "variable", "value"
+    spark = df.sparkSession
+    if not columns:
+        return spark.createDataFrame([], STATISTICS)
+    values = df.selectExpr(*[f"cast(`{c}` as double) as `{c}`" for c in columns]).unpivot([], columns, "variable", "value")
+    present = values.where(F.col("value").isNotNull()).selectExpr("variable", "value", f"{_KEY} as key")
+    first = {row["variable"]: row for row in _first_round(present).collect()}
+    ranks = {name: {rank: hit for hit in row["hits"] for rank in hit["ranks"]} for name, row in first.items()}
+    for below, digit in zip(DIGITS, DIGITS[1:]):
+        wanted = {(name, hit["low"] >> below): hit for name, hits in ranks.items() for hit in hits.values() if hit["low"] != hit["high"]}
+        if not wanted:
+            break
+        for row in _next_round(present, wanted, below, digit).collect():
+            for hit in row["hits"]:
+                for rank in hit["ranks"]:
+                    ranks[row["variable"]][rank] = hit
+    out = [(name, *_statistics(first.get(name), ranks.get(name))) for name in columns]
+    return spark.createDataFrame(out, STATISTICS)
+
+
+def _first_round(present: DataFrame):
+    """One row per variable: its moments, and the bins of the first digit that hold its quartiles."""
+    bins = present.groupBy("variable", F.expr(f"shiftright(key, {DIGITS[0]})").alias("bin")).agg(
+        F.count("*").alias("n"),
+        F.min("key").alias("low"),
+        F.max("key").alias("high"),
+        F.expr(f"sum({_CENTS})").alias("cents"),
+        F.expr(f"sum({_REST})").alias("rest"),
+        F.avg("value").alias("average"),
+        (F.var_pop("value") * F.count("*")).alias("spread"),
+        F.min("value").alias("least"),
+        F.max("value").alias("most"),
     )
-    present = values.where(F.col("value").isNotNull())
-    moments = values.groupBy("variable").agg(
-        F.count("value").alias("count"),
-        (sum_amount(F.col("value")) / F.count("value")).alias("mean"),
-        F.stddev("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    whole, before = _windows("variable")
+    bins = bins.withColumns({"total": F.sum("n").over(whole), "start": F.coalesce(F.sum("n").over(before), F.lit(0))})
+    mean = F.expr("cast(sum(cents) over (partition by variable) as double) / 100 + sum(rest) over (partition by variable)") / F.col("total")
+    bins = bins.withColumns({"mean": mean, "ranks": _ranks_held(_wanted_ranks())})
+    squares = F.col("spread") + F.col("n") * (F.col("average") - F.col("mean")) ** 2
+    return bins.groupBy("variable").agg(
+        F.first("total").alias("count"),
+        F.first("mean").alias("mean"),
+        F.sqrt(F.sum(squares) / F.nullif(F.first("total") - 1, F.lit(0))).alias("std"),
+        F.min("least").alias("min"),
+        F.max("most").alias("max"),
+        _hits(),
     )
-    shape = ["variable", "count", "mean", "std", "min", "q25", "q50", "q75", "max"]
-    # one row per variable on both sides
-    return moments.join(F.broadcast(quartiles(present)), "variable", "left").select(*shape)
 
 
-def quartiles(values: DataFrame) -> DataFrame:
-    """Exact quartiles of ``(variable, value)`` rows, interpolated between neighbours.
-
-    An exact percentile aggregate keeps all distinct values of a variable in one
-    buffer. Here equal values are counted first, then a histogram of bounded size
-    finds the bins that hold the quartile ranks, and only the values of those bins
-    are ranked. Bins follow the logarithm of the value: there are at most 1.5 million
-    per variable, and one spans six hundred-thousandths of its value, which bounds
-    the distinct amounts that are ranked together.
-    """
-    counts = (
-        values.select("variable", to_minor(F.col("value")).alias("v"))
-        .groupBy("variable", "v")
-        .agg(F.count("*").alias("n"))
+def _next_round(present: DataFrame, wanted: dict[tuple[str, int], Row], below: int, digit: int) -> DataFrame:
+    """The bins of the next digit that hold the wanted ranks, for bins whose first digits are known."""
+    rows = [(name, bin, hit["start"], hit["ranks"]) for (name, bin), hit in wanted.items()]
+    known = present.sparkSession.createDataFrame(rows, "variable string, parent long, base long, asked array<long>")
+    inside = present.withColumn("parent", F.expr(f"shiftright(key, {below})")).join(F.broadcast(known), ["variable", "parent"])
+    bins = inside.groupBy("variable", "parent", F.expr(f"shiftright(key, {digit})").alias("bin")).agg(
+        F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"), F.first("base").alias("base"), F.first("asked").alias("asked")
     )
-    size = F.floor(F.log1p(F.abs("v").cast("double")) * BINS_PER_LOG_UNIT)
-    counts = counts.withColumn("bin", (F.signum("v") * size).cast("bigint"))
+    _, before = _windows("variable", "parent")
+    bins = bins.withColumn("start", F.col("base") + F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return bins.withColumn("ranks", _ranks_held(F.col("asked"))).groupBy("variable", "parent").agg(_hits())
 
-    bins = _first_rank(counts.groupBy("variable", "bin").agg(F.sum("n").alias("n")), ["variable"], "bin", F.lit(0))
-    bins = bins.withColumn("total", F.sum("n").over(Window.partitionBy("variable")))
-    wanted = bins.withColumn("ranks", _quartile_ranks()).where(F.size(_ranks_held()) > 0)
-    wanted = wanted.select("variable", "bin", F.col("start").alias("bin_start"), "ranks", "total")
 
-    inside = counts.join(F.broadcast(wanted), ["variable", "bin"])  # at most six bins per variable
-    ranked = _first_rank(inside, ["variable", "bin"], "v", F.col("bin_start"))
-    hits = ranked.select("variable", "v", "total", F.explode(F.array_distinct(_ranks_held())).alias("rank"))
-    at_rank = hits.groupBy("variable").agg(
-        F.first("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("at")
-    )  # at most six ranks per variable
+def _windows(*keys: str):
+    whole = Window.partitionBy(*keys)
+    return whole, whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
 
-    def between(q: int) -> Column:
-        low, high, rest = _rank_of(q)
-        lo, hi = F.col("at")[low], F.col("at")[high]
-        # whole numbers up to the last step, so the result is the nearest double
-        return to_major(F.lit(4) * lo + rest * (hi - lo)) / F.lit(4.0)
 
-    return at_rank.select("variable", *[between(q).alias(f"q{25 * q}") for q in QUARTILES])
+def _hits():
+    """The bins that hold a wanted rank; the others give nothing to the list."""
+    hit = F.struct("ranks", "start", "low", "high", F.expr("cast(low as string)").alias("text"))
+    return F.collect_list(F.when(F.size("ranks") > 0, hit)).alias("hits")
 
 
-def _rank_of(q: int) -> tuple[Column, Column, Column]:
-    """Zero-based ranks on both sides of quartile q, and the quarters between them."""
-    position = (F.col("total") - 1) * F.lit(q)
-    low = F.floor(position / F.lit(4)).cast("bigint")
-    rest = F.pmod(position, F.lit(4))
-    return low, F.when(rest > 0, low + 1).otherwise(low), rest
+def _wanted_ranks():
+    """Zero-based ranks on both sides of each quartile."""
+    position = [f"(total - 1) * {q}" for q in QUARTILES]
+    return F.expr(f"array_distinct(array({', '.join(f'({p}) div 4, ({p} + 3) div 4' for p in position)}))")
 
 
-def _quartile_ranks() -> Column:
-    return F.array(*[rank for q in QUARTILES for rank in _rank_of(q)[:2]])
+def _ranks_held(ranks):
+    end = F.col("start") + F.col("n")
+    return F.filter(ranks, lambda r: (r >= F.col("start")) & (r < end))
 
 
-def _ranks_held() -> Column:
-    """The wanted ranks that a row with ``n`` equal values, or a bin, covers."""
-    end = F.col("start") + F.col("n")
-    return F.filter("ranks", lambda r: (r >= F.col("start")) & (r < end))
+def _statistics(first: Row | None, ranks: dict[int, Row] | None) -> tuple:
+    if first is None:
+        return (0, *[None] * 7)
+    quartiles = []
+    for q in QUARTILES:
+        position = (first["count"] - 1) * q
+        low, high, rest = floor(position / 4), -(-position // 4), position % 4
+        at_low, at_high = (_double(ranks[r]["low"]) for r in (low, high))
+        quartiles.append(at_low if at_low == at_high else at_low + (at_high - at_low) * (rest / 4))
+    return (first["count"], first["mean"], first["std"], first["min"], *quartiles, first["max"])
+
 
+def _double(key: int) -> float:
+    """The double whose turned bits these are."""
+    from struct import pack, unpack
 
-def _first_rank(df: DataFrame, keys: list[str], order: str, base: Column) -> DataFrame:
-    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("start", base + F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return unpack(">d", pack(">q", key if key >= 0 else key ^ 0x7FFFFFFFFFFFFFFF))[0]
 
 
 def describe_values(df: DataFrame) -> DataFrame:

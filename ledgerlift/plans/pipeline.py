@@ -22,9 +22,8 @@ from ledgerlift.plans.catalog import (
     SNAPSHOT_PREFIX,
     STORED_OBJECTS,
 )
-from ledgerlift.schema import filing_body
 from ledgerlift.session import configure, data_version, scratch_path, size_shuffles
-from ledgerlift.sources.deliveries import discover_forestry_amounts, parse_delivery, read_delivery
+from ledgerlift.sources.deliveries import parse_delivery, read_delivery
 
 log = logging.getLogger(__name__)
 
@@ -37,8 +36,6 @@ def collect(
     out: str,
     source: str = "avro",
     at: datetime | None = None,
-    discover: bool = False,
-    fragmented: bool = False,
     at_once: int = JOBS_AT_ONCE,
 ) -> dict[str, int]:
     """Collect one delivery: snapshot, forestry, main tables and theme subsets.
@@ -55,10 +52,9 @@ def collect(
     if raw.isEmpty():
         log.warning("no records in %s", delivery)
         return {}
-    body = filing_body(**discover_forestry_amounts(raw)) if discover else None
 
     snapshot = stamped_path(out, SNAPSHOT_PREFIX, at)
-    rows = {SNAPSHOT_PREFIX: write_counted(parse_delivery(raw, body, fragmented), snapshot)}
+    rows = {SNAPSHOT_PREFIX: write_counted(parse_delivery(raw), snapshot)}
     filings = spark.read.parquet(snapshot)
     latest = store_latest(filings, scratch_path(spark, "latest"))
 

@@ -12,13 +12,15 @@ from pyspark.sql import types as T
 
 from ledgerlift.functions.amounts import number, sum_amount
 from ledgerlift.functions.times import event_time
+from ledgerlift.functions.variants import text_of
 from ledgerlift.operators import forestry, latest, layouts, objects, quality, sections
+from ledgerlift.operators.ordering import with_position
 from ledgerlift.plans import pipeline
 from ledgerlift.plans.catalog import OBJECTS, SECTIONS, SNAPSHOT_PREFIX
 from ledgerlift.plans.workspace import Workspace
 from ledgerlift.session import configure, scratch_path
 from ledgerlift.sources import orders
-from ledgerlift.sources.deliveries import parse_payload
+from ledgerlift.sources.deliveries import delivered, parse_payload
 from ledgerlift.sources.tables import drop_view, filtered_view, scan, scan_partitions, scan_tree
 
 FILER = "00000000007"
@@ -44,10 +46,10 @@ def _headers(filings: DataFrame) -> DataFrame:
 
 def _account_headers(filings: DataFrame, per_account: bool = False) -> DataFrame:
     rows = latest.latest_account(filings, per_account).select(
-        *forestry.HEADER, F.col("account.id").alias("skogOgToemmerkontoId")
+        *forestry.HEADER, text_of(F.col("account"), "id").alias("skogOgToemmerkontoId"), "ordinal", "number"
     )
-    # in fragments, an account is in every record that holds some of its entries
-    return rows.distinct() if latest.is_fragmented(filings) else rows
+    # an account is in every record that holds some of its entries
+    return rows.dropDuplicates(["ordinal", "number"]).drop("ordinal", "number")
 
 
 def _ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,12 +87,21 @@ def _ingest_filings(ws: Workspace) -> DataFrame:
     return sections.section(latest.latest_filings(ws.snapshot()), "naering")
 
 
+def _snapshot_undeclared(ws: Workspace) -> DataFrame:
+    snapshot = latest.whole(ws.snapshot())
+    body = "naeringsspesifikasjon"
+    return snapshot.select(
+        F.col(latest.SEQUENCE).alias("sekvensnummer"),
+        delivered(snapshot, "hendelse", "$.hendelsetype", "string").alias("hendelsetype"),
+        delivered(snapshot, body, "$.merknad.tekst", "string").alias("tekst"),
+        delivered(snapshot, body, "$.merknad.sum.o_totalprice", "double").alias("total"),
+        delivered(snapshot, body, "$.norskIdentifikator", "string").alias("norskIdentifikator"),
+    )
+
+
 def _pipeline_roundtrip(ws: Workspace) -> DataFrame:
     out = scratch_path(ws.spark, "run")
-    fragmented = latest.is_fragmented(ws.filings())
-    collected = pipeline.collect(
-        ws.spark, ws.delivery(), f"{out}/collected", "parquet", RUN_TIME, fragmented=fragmented
-    )
+    collected = pipeline.collect(ws.spark, ws.delivery(), f"{out}/collected", "parquet", RUN_TIME)
     paths = {name: pipeline.stamped_path(f"{out}/collected", name, RUN_TIME) for name in collected}
     derived = pipeline.derive_all(ws.latest(), f"{out}/derived", "g2022", "v1")
     paths.update({f"RF1175/{name}": path for name, path in derived.items()})
@@ -138,10 +149,20 @@ def _wide_to_long(ws: Workspace) -> DataFrame:
 
 
 def _statistics(ws: Workspace, name: str) -> DataFrame:
-    out = pipeline.statistics(ws.derived(name), name)
-    if "mean" in out.columns:
-        out = out.withColumns({"mean": F.round("mean", 4), "std": F.round("std", 2)})
-    return out
+    return _rounded(pipeline.statistics(ws.derived(name), name))
+
+
+def _rounded(statistics: DataFrame, digits: int = 4) -> DataFrame:
+    if "mean" not in statistics.columns:
+        return statistics
+    fine = {c: F.round(c, digits) for c in ("mean", "q25", "q50", "q75")}
+    return statistics.withColumns(fine | {"std": F.round("std", 2)})
+
+
+def _describe_line_rates(ws: Workspace) -> DataFrame:
+    lines = ws.spark.read.parquet(f"{ws.sf_dir}/lineitem.parquet")
+    rates = lines.selectExpr("l_extendedprice * l_tax as tax", "-l_extendedprice / l_quantity as price", "l_discount / 3 as third")
+    return _rounded(quality.describe(rates), 6)
 
 
 def _balance(ws: Workspace) -> DataFrame:
@@ -177,11 +198,23 @@ def build() -> dict[str, Query]:
         "forestry_accounts": _on(lambda ws: forestry.accounts(ws.filings())),
         "forestry_fund": _on(lambda ws: forestry.fund(ws.filings())),
         "forestry_fund_per_account": _on(lambda ws: forestry.fund(ws.filings(), per_account=True)),
+        "forestry_open_accounts": _on(lambda ws: forestry.accounts(ws.open_snapshot())),
+        "forestry_open_fund": _on(lambda ws: forestry.fund(ws.open_snapshot(), per_account=True)),
+        "forestry_accounts_ordered": _on(
+            lambda ws: with_position(forestry.accounts(ws.filings(), ordered=False), forestry.ACCOUNT_ORDER)
+        ),
+        "forestry_fund_ordered": _on(
+            lambda ws: with_position(
+                forestry.fund(ws.filings(), per_account=True, ordered=False), [*forestry.FUND_ORDER, "id", "beloep"]
+            )
+        ),
+        "snapshot_undeclared": _on(_snapshot_undeclared),
     }
     for name in OBJECTS:
         named[f"derive_{name}"] = _on(lambda ws, name=name: objects.derive(ws.latest(), name))
         named[f"describe_{name}"] = _on(lambda ws, name=name: _statistics(ws, name))
     named |= {
+        "describe_line_rates": _on(_describe_line_rates),
         "operating_result": _on(
             lambda ws: objects.derive(ws.latest(), "sum_resultatregnskap").select("orgnr", "O_15799", "O_7286", "O_6686")
         ),

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.operators import layouts
-from ledgerlift.operators.latest import is_fragmented, latest_filings
+from ledgerlift.operators.latest import latest_filings
 from ledgerlift.operators.objects import derive
 from ledgerlift.plans.catalog import POST_LISTS
 from ledgerlift.session import configure, data_version, is_written, scratch_path, size_shuffles
@@ -77,10 +77,21 @@ class Workspace:
 
         def write(path: str) -> None:
             raw = read_delivery(self.spark, self.delivery(), "parquet")
-            parse_delivery(raw, fragmented=is_fragmented(self.filings())).write.parquet(path)
+            parse_delivery(raw).write.parquet(path)
 
         return self._table("snapshot", write)
 
+    def open_snapshot(self) -> DataFrame:
+        """A delivery whose forestry amounts go by names of the data, collected."""
+
+        def deliver(path: str) -> None:
+            as_delivery(orders.order_filings(self.spark, self.sf_dir, open_amounts=True)).write.parquet(path)
+
+        def write(path: str) -> None:
+            parse_delivery(read_delivery(self.spark, self._path("open_delivery", deliver), "parquet")).write.parquet(path)
+
+        return self._table("open_snapshot", write)
+
     def derived(self, name: str) -> DataFrame:
         """A derived object as it is stored."""
         return self._table(f"derived-{name}", lambda path: derive(self.latest(), name).write.parquet(path))

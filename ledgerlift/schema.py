@@ -2,34 +2,24 @@
 
 The schema is declared rather than inferred per delivery, so a field that no
 filing of a delivery carries reads as NULL instead of breaking the queries.
+What it does not declare is not lost: forestry accounts are open records, and
+the whole payloads stay in the snapshot beside the typed columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from ledgerlift.plans.catalog import INVENTORY_AMOUNTS
 
 POSTS = "array<struct<type: string, beloep: double>>"
-ACCOUNT_AMOUNTS = ("verdi", "antall")
-FUND_AMOUNTS = ("innskudd", "avgift")
 
 RAW_EVENT = "data struct<hendelse: string, naeringsspesifikasjon: string>"
-EVENT_HEADER_JSON = "registreringstidspunkt string, sekvensnummer bigint"
-
+# a delivery may number its registrations, and the records of a long one
+EVENT_HEADER_JSON = "registreringstidspunkt string, sekvensnummer bigint, ordinal bigint, fragment int"
 
-def _amounts(names: Sequence[str]) -> str:
-    return "".join(f", `{name}`: double" for name in names)
+_INVENTORY = ", ".join(f"{name}: double" for name in INVENTORY_AMOUNTS)
 
-
-def filing_body(
-    account_amounts: Sequence[str] = ACCOUNT_AMOUNTS, fund_amounts: Sequence[str] = FUND_AMOUNTS
-) -> str:
-    """DDL of the filing itself; the forestry amount names vary from year to year."""
-    fund = f"array<struct<id: string, kommunenummer: string{_amounts(fund_amounts)}>>"
-    account = f"array<struct<id: string, driftsenhet: string{_amounts(account_amounts)}, skogfond: {fund}>>"
-    inventory = ", ".join(f"{name}: double" for name in INVENTORY_AMOUNTS)
-    return f"""struct<
+# kontonummer numbers the accounts where a filing is cut into records; else an account's place is its number
+FILING_BODY = f"""struct<
     norskIdentifikator: string,
     inntektsaar: string,
     virksomhet: struct<
@@ -67,14 +57,12 @@ def filing_body(
         sumGjeldInnenBankOgForsikring: double>,
       sumBalanseverdiForEiendel: double,
       sumGjeldOgEgenkapital: double>,
-    spesifikasjonAvVarelager: struct<{inventory}>,
-    skogbruk: struct<skogOgToemmerkonto: {account}>>
+    spesifikasjonAvVarelager: struct<{_INVENTORY}>,
+    skogbruk: struct<skogOgToemmerkonto: array<variant>, kontonummer: array<bigint>>>
     """
 
-
-def filing(**forestry: Sequence[str]) -> str:
-    """DDL of a parsed filing: event header and body."""
-    return (
-        "hendelse struct<registreringstidspunkt: timestamp, sekvensnummer: bigint>, "
-        f"naeringsspesifikasjon {filing_body(**forestry)}"
-    )
+#: A parsed filing: event header and body.
+FILING = (
+    "hendelse struct<registreringstidspunkt: timestamp, sekvensnummer: bigint, ordinal: bigint, fragment: int>, "
+    f"naeringsspesifikasjon {FILING_BODY}"
+)

@@ -9,6 +9,7 @@ from ledgerlift import schema
 from ledgerlift.functions.times import event_time
 
 FAILFAST = {"mode": "FAILFAST"}
+PAYLOADS = ("hendelse", "naeringsspesifikasjon")
 
 
 def read_delivery(spark: SparkSession, path: str, source: str = "avro") -> DataFrame:
@@ -20,87 +21,55 @@ def read_delivery(spark: SparkSession, path: str, source: str = "avro") -> DataF
     return reader.load(path)
 
 
+def _present(payload: Column) -> Column:
+    return F.coalesce(payload, F.raise_error("an event record has no payload"))
+
+
 def parse_payload(payload: Column, ddl: str) -> Column:
     """JSON text to typed nested columns. Bad or missing JSON stops the run."""
-    present = F.coalesce(payload, F.raise_error("an event record has no payload"))
-    return F.from_json(present, ddl, FAILFAST)
-
+    return F.from_json(_present(payload), ddl, FAILFAST)
 
-def parse_delivery(raw: DataFrame, body: str | None = None, fragmented: bool = False) -> DataFrame:
-    """Raw events to filings: ``hendelse`` and ``naeringsspesifikasjon`` structs.
 
-    ``fragmented`` deliveries number the records of a long filing in their header.
+def parse_delivery(raw: DataFrame) -> DataFrame:
+    """Raw events to filings: typed ``hendelse`` and ``naeringsspesifikasjon``, and all that was delivered as ``original``.
 
-    Store the result before querying it: a filter on a parsed field would be pushed
-    below the projection and parse the text a second time.
+    A registration gets an ordinal of its own unless the delivery numbers them, below zero so that the two
+    kinds never meet. Store the result before querying it: ordinals are fixed by that, and a filter on a
+    parsed field would be pushed below the projection and parse the text a second time.
     """
-    header_ddl = schema.EVENT_HEADER_JSON + (", fragment int" if fragmented else "")
-    header = raw.select(
-        parse_payload(F.col("data.hendelse"), header_ddl).alias("h"),
-        parse_payload(F.col("data.naeringsspesifikasjon"), body or schema.filing_body()).alias(
-            "naeringsspesifikasjon"
-        ),
+    parsed = raw.select(
+        parse_payload(F.col("data.hendelse"), schema.EVENT_HEADER_JSON).alias("h"),
+        parse_payload(F.col("data.naeringsspesifikasjon"), schema.FILING_BODY).alias("naeringsspesifikasjon"),
+        F.struct(*[F.parse_json(_present(F.col(f"data.{p}"))).alias(p) for p in PAYLOADS]).alias("original"),
+        (F.lit(-1) - F.monotonically_increasing_id()).alias("place"),
     )
-    return header.select(
+    return parsed.select(
         F.struct(
             event_time(F.col("h.registreringstidspunkt")).alias("registreringstidspunkt"),
             F.col("h.sekvensnummer").alias("sekvensnummer"),
-            *([F.col("h.fragment").alias("fragment")] if fragmented else []),
+            F.coalesce("h.ordinal", "place").alias("ordinal"),
+            F.coalesce("h.fragment", F.lit(0)).alias("fragment"),
         ).alias("hendelse"),
         "naeringsspesifikasjon",
+        "original",
     )
 
 
-def discover_forestry_amounts(raw: DataFrame) -> dict[str, list[str]]:
-    """Amount names that occur in the forestry part of a delivery.
-
-    The names differ between years, so they are read from the data: each account
-    is parsed as a map and only the distinct keys come to the driver. Their number
-    is bounded by the fields of the form, not by the rows of the delivery.
-    """
-    accounts = raw.select(
-        F.explode(
-            F.from_json(
-                "data.naeringsspesifikasjon",
-                "skogbruk struct<skogOgToemmerkonto: array<map<string, string>>>",
-                FAILFAST,
-            )["skogbruk"]["skogOgToemmerkonto"]
-        ).alias("account")
-    )
-    fund = F.from_json(F.col("account")["skogfond"], "array<map<string, string>>", FAILFAST)
-    names = accounts.select(
-        F.explode(
-            F.concat(
-                F.transform(F.map_keys("account"), lambda k: F.struct(F.lit("account").alias("part"), k.alias("name"))),
-                F.flatten(
-                    F.coalesce(
-                        F.transform(
-                            fund,
-                            lambda f: F.transform(
-                                F.map_keys(f), lambda k: F.struct(F.lit("fund").alias("part"), k.alias("name"))
-                            ),
-                        ),
-                        F.array(),
-                    )
-                ),
-            )
-        ).alias("n")
-    ).select("n.*")
-    known = {"account": {"id", "driftsenhet", "skogfond"}, "fund": {"id", "kommunenummer"}}
-    rows = names.distinct().collect()
-    return {
-        f"{part}_amounts": sorted(r.name for r in rows if r.part == part and r.name not in known[part])
-        for part in ("account", "fund")
-    }
+def delivered(snapshot: DataFrame, payload: str, path: str, kind: str) -> Column:
+    """What was delivered at a path of one payload, whether the schema knows it or not; NULL where it was not."""
+    if payload not in PAYLOADS:
+        raise ValueError(f"payloads are {', '.join(PAYLOADS)}")
+    return F.variant_get(snapshot[f"original.{payload}"], path, kind)
 
 
 def as_delivery(filings: DataFrame) -> DataFrame:
-    """Filings back to raw events with JSON payloads."""
+    """Filings back to raw events with JSON payloads; a column ``undeclared`` adds keys that the schema does not know."""
     stamp = F.date_format("hendelse.registreringstidspunkt", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    rest = [F.col(f"hendelse.{n}") for n in filings.schema["hendelse"].dataType.names if n != "registreringstidspunkt"]
-    return filings.select(
-        F.struct(
-            F.to_json(F.struct(stamp.alias("registreringstidspunkt"), *rest)).alias("hendelse"),
-            F.to_json("naeringsspesifikasjon").alias("naeringsspesifikasjon"),
-        ).alias("data")
-    )
+
+    def payload(name: str) -> Column:
+        fields = [F.col(f"{name}.{f}") for f in filings.schema[name].dataType.names if f != "registreringstidspunkt"]
+        first = [stamp.alias("registreringstidspunkt")] if name == "hendelse" else []
+        more = filings.schema["undeclared"].dataType[name].dataType.names if "undeclared" in filings.columns else []
+        return F.to_json(F.struct(*first, *fields, *[F.col(f"undeclared.{name}.{f}") for f in more])).alias(name)
+
+    return filings.select(F.struct(*map(payload, PAYLOADS)).alias("data"))

@@ -70,7 +70,7 @@ def order_lines(lineitem: DataFrame, max_posts: int = MAX_POSTS) -> tuple[DataFr
     spark = lineitem.sparkSession
     lineitem = lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
-        "l_tax", "l_returnflag", F.expr("cast(l_partkey % 13 as int)").alias("liste"),
+        "l_tax", "l_returnflag", "l_linestatus", F.expr("cast(l_partkey % 13 as int)").alias("liste"),
     )
     lines = lineitem.select(
         "*",
@@ -131,11 +131,13 @@ def _post_lists(lines: DataFrame, fragmented: bool) -> DataFrame:
     return lists.join(totals, ["l_orderkey", "fragment"], "full")
 
 
-def _accounts(lines: DataFrame, supplier: DataFrame, fragmented: bool) -> DataFrame:
+def _accounts(lines: DataFrame, supplier: DataFrame, fragmented: bool, open_amounts: bool) -> DataFrame:
+    """Forestry accounts as VARIANT objects, with their numbers. ``open_amounts`` adds amounts under names that come
+    from the data, in structs inside the account and inside the entries of its fund."""
     keys = ["l_orderkey", "fragment"] if fragmented else ["l_orderkey"]
     place = F.col("s_nationkey").cast("string")
     owners = supplier.select("s_suppkey", "s_name", place.alias("kommunenummer"))
-    entry = F.struct(F.col("l_partkey").cast("string").alias("id"), "beloep", "l_tax")
+    entry = F.struct(F.col("l_partkey").cast("string").alias("id"), "beloep", "l_tax", "l_extendedprice", "l_linestatus")
     parts = (
         lines.where("l_returnflag = 'R'")
         .repartition(*keys)
@@ -149,26 +151,41 @@ def _accounts(lines: DataFrame, supplier: DataFrame, fragmented: bool) -> DataFr
     if fragmented:
         parts = _totals_once(parts, ["l_orderkey", "l_suppkey"], ["verdi", "antall"])
     parts = parts.join(owners, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    saldo = F.create_map(F.concat(F.lit("inngaaendeSaldo"), F.coalesce("kommunenummer", F.lit("x"))), to_major(F.col("verdi")))
+
+    def fund_entry(e: Column) -> Column:
+        uttak = F.create_map(F.concat(F.lit("uttak"), e["l_linestatus"]), e["l_extendedprice"])
+        return F.struct(
+            e["id"].alias("id"),
+            F.col("kommunenummer"),
+            e["beloep"].alias("innskudd"),
+            e["l_tax"].alias("avgift"),
+            *([F.struct(uttak.alias("aarets")).alias("uttak")] if open_amounts else []),
+        )
+
     account = F.struct(
         F.col("l_suppkey").cast("string").alias("id"),
         F.col("s_name").alias("driftsenhet"),
         to_major(F.col("verdi")).alias("verdi"),
         to_major(F.col("antall")).alias("antall"),
-        F.transform(
-            "entries",
-            lambda e: F.struct(
-                e["id"].alias("id"),
-                F.col("kommunenummer"),
-                e["beloep"].alias("innskudd"),
-                e["l_tax"].alias("avgift"),
-            ),
-        ).alias("skogfond"),
+        F.transform("entries", fund_entry).alias("skogfond"),
+        *([F.struct(F.struct(saldo.alias("ved")).alias("aarets")).alias("saldo")] if open_amounts else []),
+    )
+    numbered = F.collect_list(F.struct(F.col("l_suppkey").alias("number"), account.alias("account")))
+    listed = parts.groupBy("l_orderkey", "fragment").agg(numbered.alias("a"))
+    return listed.select(
+        "l_orderkey",
+        "fragment",
+        F.transform("a", lambda a: F.to_variant_object(a["account"])).alias("accounts"),
+        F.col("a.number").alias("numbers"),
     )
-    return parts.groupBy("l_orderkey", "fragment").agg(F.collect_list(account).alias("accounts"))
 
 
-def order_filings(spark: SparkSession, sf_dir: str, max_posts: int = MAX_POSTS) -> DataFrame:
-    """All filings, with ``hendelse.fragment`` only when some filing needed it."""
+def order_filings(spark: SparkSession, sf_dir: str, max_posts: int = MAX_POSTS, open_amounts: bool = False) -> DataFrame:
+    """All filings, those with more than ``max_posts`` lines in several records.
+
+    The column ``undeclared`` has what a delivery carries besides the declared fields.
+    """
 
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -178,13 +195,14 @@ def order_filings(spark: SparkSession, sf_dir: str, max_posts: int = MAX_POSTS)
     customer = table("customer").select("c_custkey", "c_mktsegment")
     filings = (
         table("orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
+        .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice", "o_orderstatus")
+        .withColumn("ordinal", F.monotonically_increasing_id())
         .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(_post_lists(lines, fragmented), F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .drop("l_orderkey")
         .withColumn("fragment", F.coalesce("fragment", F.lit(0)))
     )
-    accounts = _accounts(lines, table("supplier"), fragmented).withColumnRenamed("fragment", "account_fragment")
+    accounts = _accounts(lines, table("supplier"), fragmented, open_amounts).withColumnRenamed("fragment", "account_fragment")
     filings = filings.join(
         accounts,
         (F.col("o_orderkey") == F.col("l_orderkey")) & (F.col("fragment") == F.col("account_fragment")),
@@ -205,9 +223,9 @@ def order_filings(spark: SparkSession, sf_dir: str, max_posts: int = MAX_POSTS)
     header = [
         F.col("o_orderdate").cast("timestamp").alias("registreringstidspunkt"),
         F.col("o_orderkey").alias("sekvensnummer"),
+        F.col("ordinal"),
+        F.col("fragment").cast("int").alias("fragment"),
     ]
-    if fragmented:
-        header.append(F.col("fragment").cast("int").alias("fragment"))
     trade = F.col("c_mktsegment")
     duty = F.col("o_orderpriority")
     body = F.struct(
@@ -264,9 +282,13 @@ def order_filings(spark: SparkSession, sf_dir: str, max_posts: int = MAX_POSTS)
             scalar("sumGjeldOgEgenkapital"),
         ).alias("balanseregnskap"),
         F.struct(*[F.expr(f"{major_sql(a)} as {a}") for a in INVENTORY_AMOUNTS]).alias("spesifikasjonAvVarelager"),
-        F.struct(F.col("accounts").alias("skogOgToemmerkonto")).alias("skogbruk"),
+        F.struct(F.col("accounts").alias("skogOgToemmerkonto"), F.col("numbers").alias("kontonummer")).alias("skogbruk"),
+    )
+    undeclared = F.struct(
+        F.struct(F.col("o_orderstatus").alias("hendelsetype")).alias("hendelse"),
+        F.struct(F.struct(F.col("o_orderpriority").alias("tekst"), F.struct("o_totalprice").alias("sum")).alias("merknad")).alias("naeringsspesifikasjon"),
     )
-    return filings.select(F.struct(*header).alias("hendelse"), body.alias("naeringsspesifikasjon"))
+    return filings.select(F.struct(*header).alias("hendelse"), body.alias("naeringsspesifikasjon"), undeclared.alias("undeclared"))
 
 
 def event_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,7 +57,7 @@ filing as (
   from orders left join customer on c_custkey = o_custkey
 ),
 line as (
-  select l_orderkey as seq, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_quantity, l_tax, l_returnflag,
+  select l_orderkey as seq, l_partkey, l_suppkey, l_linenumber, l_extendedprice, l_quantity, l_tax, l_returnflag, l_linestatus,
          l_partkey % 13 as liste, {_code_case()} as type,
          case when l_discount = 0 then 0.0 when l_tax = 0 then null else l_extendedprice end as beloep
   from lineitem
@@ -193,6 +193,46 @@ select * from (
   {_header("kept_account", ", account as id, driftsenhet, 'antall' as felt, antall as beloep")}
 ) where beloep <> 0"""
 
+_OPEN_ACCOUNTS = f"""
+with {BASE}, {FORESTRY},
+open_account as (
+  select a.*, 'inngaaendeSaldo' || coalesce(cast(s_nationkey as varchar), 'x') as saldo
+  from kept_account a left join supplier on cast(s_suppkey as varchar) = account
+)
+select * from (
+  {_header("open_account", ", account as id, driftsenhet, 'verdi' as felt, verdi as beloep")}
+  union all
+  {_header("open_account", ", account as id, driftsenhet, 'antall' as felt, antall as beloep")}
+  union all
+  {_header("open_account", ", account as id, driftsenhet, saldo as felt, verdi as beloep")}
+) where beloep <> 0"""
+
+
+def _open_fund() -> str:
+    row = ", account as skogOgToemmerkontoId, id, kommunenummer"
+    return f"""
+with {BASE}, {FORESTRY},
+entry as (
+  select a.*, cast(l_partkey as varchar) as id, cast(s_nationkey as varchar) as kommunenummer, beloep as innskudd, l_tax,
+         l_extendedprice, 'uttak' || l_linestatus as uttak
+  from kept_account a join line on line.seq = a.seq and cast(line.l_suppkey as varchar) = a.account
+    left join supplier on s_suppkey = line.l_suppkey
+  where l_returnflag = 'R'
+)
+select * from (
+  {_header("entry", f"{row}, 'innskudd' as felt, innskudd as beloep")}
+  union all
+  {_header("entry", f"{row}, 'avgift' as felt, l_tax as beloep")}
+  union all
+  {_header("entry", f"{row}, uttak as felt, l_extendedprice as beloep")}
+) where beloep <> 0"""
+
+
+def _ordered(sql: str, order: str) -> str:
+    columns = ", ".join(f"{c} nulls last" for c in order.split())
+    return f"select *, row_number() over (order by {columns}) as position from ({sql})"
+
+
 _OF_BUSINESS = f"trade in ({_quoted(BUSINESS_TYPES)}) and duty in ({_quoted(ACCOUNTING_DUTIES)})"
 
 
@@ -250,6 +290,15 @@ select variable, count(value) as "count",
 from v group by variable"""
 
 
+_LINE_RATES = """
+with d as (select l_extendedprice * l_tax as tax, -l_extendedprice / l_quantity as price, l_discount / 3 as third from lineitem),
+v as (select 'tax' as variable, tax as value from d union all select 'price', price from d union all select 'third', third from d)
+select variable, count(value) as "count", round(avg(value), 6) as mean, round(stddev_samp(value), 2) as std, min(value) as min,
+  round(quantile_cont(value, 0.25), 6) as q25, round(quantile_cont(value, 0.5), 6) as q50,
+  round(quantile_cont(value, 0.75), 6) as q75, max(value) as max
+from v group by variable"""
+
+
 _THEME_CASES = " ".join(
     f"when {n} then {{'hovedtema': '{s.hovedtema}', 'undertema': '{s.undertema}', 'gruppe': '{name}'}}"
     for n, (name, s) in enumerate(POST_LISTS.items())
@@ -347,6 +396,16 @@ select event_id, date_trunc('millisecond', ts) as from_micros, date_trunc('secon
         "forestry_accounts": _FORESTRY_ACCOUNTS,
         "forestry_fund": _fund("last_account"),
         "forestry_fund_per_account": _fund("kept_account"),
+        "forestry_open_accounts": _OPEN_ACCOUNTS,
+        "forestry_open_fund": _open_fund(),
+        "forestry_accounts_ordered": _ordered(_FORESTRY_ACCOUNTS, "norskIdentifikator inntektsaar id felt"),
+        "forestry_fund_ordered": _ordered(
+            _fund("kept_account"), "norskIdentifikator inntektsaar skogOgToemmerkontoId kommunenummer felt id beloep"
+        ),
+        "snapshot_undeclared": """
+select o_orderkey as sekvensnummer, o_orderstatus as hendelsetype, o_orderpriority as tekst, o_totalprice as total,
+       lpad(cast(o_custkey as varchar), 11, '0') as norskIdentifikator from orders""",
+        "describe_line_rates": _LINE_RATES,
         "operating_result": f"select orgnr, O_15799, O_7286, O_6686 from ({_derive('sum_resultatregnskap')})",
         "balance_control": f"select orgnr, kontroll from ({_derive('sum_balanseregnskap')})",
         "balance_control_topk": f"""

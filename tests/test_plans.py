@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from ledgerlift.operators import layouts, objects, sections
-from ledgerlift.operators.latest import latest_filings
+from ledgerlift.operators.latest import latest_account, latest_filings
 from ledgerlift.sources.tables import scan_partitions
 from toys import rows
 
@@ -21,12 +21,21 @@ def exchanges(text: str) -> int:
     return len(re.findall(r"Exchange \(", tree))
 
 
-def test_latest_is_limited_before_the_shuffle(workspace):
+def test_latest_is_chosen_on_headers(workspace):
     text = plan(sections.section(latest_filings(workspace.filings()), "driftsinntekt"))
     assert text.split("\n\n")[0].count("WindowGroupLimit") == 2
-    assert exchanges(text) == 1
-    schema = re.search(r"ReadSchema: (.*)", text).group(1)
-    assert "driftsinntekt" in schema and "balanseregnskap" not in schema and "skogbruk" not in schema
+    posts, header = re.findall(r"ReadSchema: (.*)", text)
+    assert "driftsinntekt" in posts and "balanseregnskap" not in posts and "skogbruk" not in posts
+    assert header.count("struct<") == 3 and "norskIdentifikator" in header  # the row, its header and two fields of the body
+
+
+def test_one_plan_for_long_and_short_filings(workspace):
+    """Accounts are compared inside their records: nothing is exploded before an exchange."""
+    text = plan(latest_account(workspace.filings()))
+    tree = text.split("\n\n")[0]
+    assert "Generate" not in tree and tree.count("WindowGroupLimit") == 2
+    window = re.search(r"Exchange\nInput \[\d+\]: \[_filer.*\]", text).group(0)
+    assert "skogOgToemmerkonto" not in window and "_first" in window
 
 
 def test_sections_of_the_latest_need_no_shuffle(workspace):

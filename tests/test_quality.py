@@ -34,6 +34,41 @@ def test_quartiles_of_many_values_in_one_bin(spark):
     check(spark, [10_000_000 + i / 100 for i in range(1001)])
 
 
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.floats(-1e300, 1e300) | st.sampled_from([0.0, -0.0, 5e-324, -5e-324, 1.0, 1 + 2**-52]), min_size=1, max_size=12))
+def test_quartiles_of_any_double(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    row = quality.describe(df).first()
+    for q in (25, 50, 75):
+        assert row[f"q{q}"] == pytest.approx(np.percentile(np.array(values), q), rel=1e-12, abs=1e-320)
+
+
+def test_small_values_are_not_rounded(spark):
+    df = spark.createDataFrame([(0.001,), (0.002,), (0.004,)], "a double")
+    row = quality.describe(df).first()
+    assert (row["q25"], row["q50"], row["q75"]) == (0.0015, 0.002, 0.003)
+    assert row["mean"] == pytest.approx(0.007 / 3) and row["std"] == pytest.approx(np.std([0.001, 0.002, 0.004], ddof=1))
+
+
+def test_columns_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0, "x")], "a double, b double, c string")
+    assert rows(quality.describe(df), "variable", "count", "q50", "std") == [("a", 0, None, None), ("b", 1, 1.0, None)]
+    assert quality.describe(df.select("c")).columns == quality.describe(df).columns
+
+
+def test_few_shuffles_and_scans(spark, tmp_path, monkeypatch):
+    """Amounts take two rounds: a scan and two exchanges each."""
+    from test_plans import exchanges, plan
+
+    spark.range(3000).selectExpr("100000 + id / 100 as a", "-id / 10000 as b").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    seen, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda df: seen.append(plan(df).split("\n\n")[0]) or collect(df))
+    quality.describe(df)
+    assert len(seen) == sum(tree.count("Scan parquet") for tree in seen) == 2
+    assert sum(exchanges(tree) - tree.count("BroadcastExchange (") for tree in seen) <= 5
+
+
 def test_missing_values_do_not_count(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "a double")
     row = quality.describe(df).first()

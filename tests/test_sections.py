@@ -82,19 +82,3 @@ def test_forestry_rows_and_order(spark):
         ("k2", "f2", "j", "avgift", 6.0),
         ("k2", "f1", "k", "innskudd", 5.0),
     ]
-
-
-def test_amounts_must_be_numbers(spark):
-    df = spark.createDataFrame([("a", 1, "x")], "id string, antall int, merknad string")
-    with pytest.raises(ValueError, match="merknad"):
-        forestry.amounts_to_rows(df, ["id"])
-    assert rows(forestry.amounts_to_rows(df.drop("merknad"), ["id"])) == [("a", "antall", 1.0)]
-
-
-def test_structs_open_at_every_depth_and_lists_stay(spark):
-    df = spark.sql(
-        "select 1 as k, named_struct('a', 2, 'b', named_struct('c', 3, 'd', array(named_struct('e', 4)))) as s"
-    )
-    out = forestry.open_struct(df, "s")
-    assert out.columns == ["k", "a", "c", "d"]
-    assert out.schema["d"].dataType.typeName() == "array"

@@ -11,12 +11,12 @@ WHO = ("naeringsspesifikasjon.norskIdentifikator", "hendelse.sekvensnummer", "he
 def test_shared_and_missing_numbers(spark):
     df = frame(
         spark,
-        filing("a", "2022", 1, 5, fragment=0, accounts=[account("k1")]),
-        filing("a", "2022", 2, 6, fragment=0, accounts=[account("k1")]),
-        filing("a", "2022", 2, 6, fragment=1, accounts=[account("k1")]),
-        filing("b", "2022", 1, 5, fragment=0, accounts=[account("k1")]),
-        filing("c", "2022", 1, None, fragment=0, accounts=[account("k1")]),
-        filing(None, "2022", 1, 6, fragment=0, accounts=[account("k1")]),
+        filing("a", "2022", 1, 5, accounts=[account("k1")]),
+        filing("a", "2022", 2, 6, ordinal=9, accounts=[account("k1")], numbers=[1]),
+        filing("a", "2022", 2, 6, ordinal=9, fragment=1, accounts=[account("k1")], numbers=[1]),
+        filing("b", "2022", 1, 5, accounts=[account("k1")]),
+        filing("c", "2022", 1, None, accounts=[account("k1")]),
+        filing(None, "2022", 1, 6, accounts=[account("k1")]),
     )
     assert set(rows(latest_filings(df), *WHO)) == {("a", 6, 0), ("a", 6, 1), ("b", 5, 0), ("c", None, 0)}
     kept = set(rows(latest_account(df), "norskIdentifikator", "sekvensnummer", "fragment"))
