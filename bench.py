@@ -15,7 +15,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlift.operators.latest import latest_filings
-from ledgerlift.operators.layouts import wide_layout
+from ledgerlift.operators.layouts import fields_in, wide_layout
 from ledgerlift.plans import registry
 from ledgerlift.plans.workspace import Workspace
 from ledgerlift.sources.deliveries import parse_delivery, read_delivery
@@ -100,7 +100,7 @@ def main() -> None:
         ),
         "latest_filing": timed("latest_filing", lambda: run(latest_filings(ws.filings()))),
         "build_long": timed("build_long", lambda: run(ws.long_source())),
-        "build_wide": timed("build_wide", lambda: run(wide_layout(ws.long(), ws.wide_fields()))),
+        "build_wide": timed("build_wide", lambda: run(wide_layout(ws.long(), fields_in(ws.codes())))),
     }
     for name in HEADLINE:
         times[name] = timed(name, lambda name=name: run(queries[name](spark, SF_DIR)))

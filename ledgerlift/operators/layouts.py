@@ -16,6 +16,7 @@ from ledgerlift.plans.catalog import POST_LISTS, list_codes
 from ledgerlift.sources.tables import scan
 
 THEMES = ("hovedtema", "undertema", "gruppe")
+MOST_FIELDS = 5_000
 LONG = ("norskIdentifikator", "felt_id", "felt_verdi", *THEMES)
 
 
@@ -40,15 +41,53 @@ def long_layout(latest: DataFrame) -> DataFrame:
     )
 
 
+def code_dictionary(long: DataFrame) -> DataFrame:
+    """The fields that occur, with their themes and number of rows: one row each, however long the table is."""
+    return long.groupBy(*THEMES, "felt_id").agg(F.count("*").alias("n_rows"))
+
+
+def codes_path(root: str, version: str) -> str:
+    return f"{root}/version={version}"
+
+
+def write_codes(long: DataFrame, root: str, version: str) -> None:
+    """Store the dictionary of a table under a version, so that wide tables made later have the columns of that time."""
+    code_dictionary(long).coalesce(1).write.mode("errorifexists").parquet(codes_path(root, version))
+
+
+def read_codes(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    """The dictionary of a version; the last one, in the order of their names, when none is given."""
+    codes = spark.read.option("basePath", root).schema(f"{', '.join(f'{c} string' for c in (*THEMES, 'felt_id'))}, n_rows long, version string")
+    codes = codes.parquet(root)
+    wanted = version or codes.agg(F.max("version")).first()[0]
+    return codes.where(F.col("version") == wanted)
+
+
+def fields_in(codes: DataFrame, gruppe: str | None = None, most: int = MOST_FIELDS) -> list[str]:
+    """The columns of a wide table: the form's fields first, then whatever else occurs, in order.
+
+    Columns are part of the plan, so they come to the driver; more than ``most`` are no form's codes and stop the run.
+    """
+    groups = [gruppe] if gruppe else list(POST_LISTS)
+    found = codes.where(F.col("gruppe").isin(*groups) & F.col("felt_id").isNotNull()).select("felt_id").distinct()
+    occurring = sorted(r["felt_id"] for r in found.limit(most + 1).collect())
+    if len(occurring) > most:
+        raise ValueError(f"more than {most} fields occur: this table is not made of post codes")
+    known = fields_of(code for g in groups for code in list_codes(g))
+    return list(dict.fromkeys([*known, *occurring]))
+
+
 def wide_layout(long: DataFrame, fields: Sequence[str]) -> DataFrame:
     """One row per filer and one column per field; texts that are no number count as missing.
 
-    ``fields`` is the full list of columns: a pivot that first has to look for
-    its columns would read the data twice and give a schema that follows the data.
+    ``fields`` is the full list of columns. Sums are conditional, one for each field, so rows are added up
+    before they are shuffled, and shuffled once: a filer with a third of all rows sends one row a task.
     """
-    cents = long.select("norskIdentifikator", "felt_id", to_minor(number(F.col("felt_verdi"))).alias("v"))
-    wide = cents.groupBy("norskIdentifikator").pivot("felt_id", list(fields)).agg(F.sum("v"))
-    return wide.selectExpr("norskIdentifikator", *[f"{major_sql(f)} as {f}" for f in fields])
+    place = F.broadcast(long.sparkSession.range(1).select(F.posexplode(F.lit(list(fields))).alias("_place", "felt_id")))
+    cents = long.select("norskIdentifikator", "felt_id", to_minor(number(F.col("felt_verdi"))).alias("_v"))
+    cents = cents.join(place, "felt_id", "left")  # as many rows as the wide table has columns
+    sums = [F.expr(f"{major_sql(f'sum(case when _place = {k} then _v end)')} as `{f}`") for k, f in enumerate(fields)]
+    return cents.groupBy("norskIdentifikator").agg(*sums)
 
 
 def theme_fields(gruppe: str, extra: Iterable[str] = ()) -> list[str]:
@@ -90,7 +129,7 @@ def _of(df: DataFrame, filer: str | None) -> DataFrame:
 def wide_prefix_sum(wide: DataFrame, prefix: str, filer: str | None = None) -> DataFrame:
     """Sum of every column whose name starts with ``prefix``."""
     fields = [c for c in wide.columns if c.startswith(prefix)]
-    return _of(wide, filer).agg(*[F.expr(f"{sum_sql(c)} as {c}") for c in fields])
+    return _of(wide, filer).agg(*[F.expr(f"{sum_sql(f'`{c}`')} as `{c}`") for c in fields])
 
 
 def long_prefix_sum(long: DataFrame, prefix: str, filer: str | None = None, strict: bool = False) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,5 +84,50 @@ def derive(latest: DataFrame, name: str, decimals: int | None = DECIMALS) -> Dat
     return rows.groupBy("orgnr").agg(*[F.expr(f"{total} as {v}") for v, total in sums.items()])
 
 
+SUMMED = (*POST_VARIABLES, *AMOUNT_VARIABLES)
+
+
+def derive_together(latest: DataFrame, names: Sequence[str] = SUMMED, decimals: int = DECIMALS) -> DataFrame:
+    """Several summed objects at once: one row per organisation, with ``<object>_n`` rows and the variables of each.
+
+    One scan reads the lists of all objects, their posts are exploded side by side, and one exchange on
+    ``orgnr`` moves partial sums. ``one_of`` takes a single object from the result.
+    """
+    parts, sums = [], []
+    for name in names:
+        number = len(parts)
+        mine = f"_object = {number}"
+        if name in POST_VARIABLES:
+            parts.append(f"named_struct('object', {number}, 'posts', {BODY}.{POST_LISTS[object_list(name)].path})")
+            wanted = {v: f"type in ({_quoted(codes)})" for v, codes in POST_VARIABLES[name].items()}
+            counted = mine
+        else:
+            used = AMOUNT_VARIABLES[name]
+            scalars = ", ".join(f"named_struct('type', '{v}', 'beloep', {_amount(a)} - {_amount(minus)})" for v, (a, minus) in used.items())
+            # the scalars of a filing stand in its first record
+            parts.append(f"named_struct('object', {number}, 'posts', if(hendelse.fragment = 0, array({scalars}), null))")
+            wanted = {v: f"type = '{v}'" for v in used}
+            counted = f"{mine} and type = '{next(iter(used))}'"
+        sums.append(f"count_if({counted}) as `{name}_n`")
+        sums += [f"{major_sql(f'sum(case when {mine} then case when {w} then amount else 0 end end)', decimals)} as `{name}_{v}`" for v, w in wanted.items()]
+    rows = of_business(latest.select(*_business(), F.expr(f"array({', '.join(parts)})").alias("parts")))
+    rows = rows.where(F.col("orgnr").isNotNull()).select("orgnr", F.explode("parts").alias("p"))
+    rows = rows.select("orgnr", F.col("p.object").alias("_object"), F.inline("p.posts").alias("type", "beloep"))
+    rows = rows.select("orgnr", "_object", "type", to_minor(F.coalesce("beloep", F.lit(0.0)), decimals).alias("amount"))
+    return rows.groupBy("orgnr").agg(*[F.expr(total) for total in sums])
+
+
+def one_of(together: DataFrame, name: str) -> DataFrame:
+    """An object as ``derive`` gives it, from the row of all objects."""
+    variables = POST_VARIABLES.get(name) or AMOUNT_VARIABLES[name]
+    return together.where(F.col(f"{name}_n") > 0).select("orgnr", *[F.col(f"{name}_{v}").alias(v) for v in variables])
+
+
+def _amount(name: str | None) -> str:
+    if name is None:
+        return "0.0D"
+    return f"coalesce({BODY}.{SUMS.get(name, f'spesifikasjonAvVarelager.{name}')}, 0.0D)"
+
+
 def _quoted(codes: tuple[str, ...]) -> str:
     return ", ".join(f"'{code}'" for code in codes)

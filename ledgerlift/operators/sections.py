@@ -11,6 +11,7 @@ from ledgerlift.operators.latest import FILER, SEQUENCE, TIME, YEAR
 from ledgerlift.plans.catalog import MAIN, POST_LISTS, SECTIONS, SUMS
 
 BODY = "naeringsspesifikasjon"
+MAIN_DDL = "inntektsaar bigint, id string, felt string, beloep double, registreringstidspunkt timestamp, sekvensnummer bigint"
 
 
 def branch_sql(name: str) -> str:
@@ -76,5 +77,26 @@ def section_row_counts(latest: DataFrame) -> DataFrame:
 
 def relink(subset: DataFrame, main: DataFrame) -> DataFrame:
     """A theme subset with filer, year and time back from its main table."""
-    keys = main.select("sekvensnummer", "inntektsaar", "id", "registreringstidspunkt").distinct()
-    return subset.join(keys, "sekvensnummer").select(*MAIN)
+    return subset.join(_headers(main), "sekvensnummer").select(*MAIN)
+
+
+def _headers(main: DataFrame) -> DataFrame:
+    return main.select("sekvensnummer", "inntektsaar", "id", "registreringstidspunkt").distinct()
+
+
+def store_headers(main: DataFrame, table: str, path: str, buckets: int | None = None) -> None:
+    """The registrations of a main table, once each, as a table bucketed and sorted by sequence number.
+
+    Posts are reduced to registrations before they are shuffled, here and once; every subset linked later
+    finds the main side in place.
+    """
+    spark = main.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = _headers(main).repartition(buckets, "sekvensnummer")
+    writer = rows.write.mode("overwrite").bucketBy(buckets, "sekvensnummer").sortBy("sekvensnummer")
+    writer.option("path", path).saveAsTable(table)
+
+
+def relink_stored(subset: DataFrame, table: str) -> DataFrame:
+    """``relink`` against the stored registrations: only the subset is shuffled."""
+    return subset.join(subset.sparkSession.table(table), "sekvensnummer").select(*MAIN)

@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from datetime import datetime
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlift.operators import forestry, objects, quality, sections
 from ledgerlift.operators.latest import latest_filings
@@ -28,6 +29,8 @@ from ledgerlift.sources.deliveries import parse_delivery, read_delivery
 log = logging.getLogger(__name__)
 
 JOBS_AT_ONCE = 4
+SECTIONS_PREFIX = "seksjoner"
+SCHEDULED = tuple(name for name, spec in SECTIONS.items() if spec.scheduled)
 
 
 def collect(
@@ -37,9 +40,13 @@ def collect(
     source: str = "avro",
     at: datetime | None = None,
     at_once: int = JOBS_AT_ONCE,
+    together: bool = False,
 ) -> dict[str, int]:
     """Collect one delivery: snapshot, forestry, main tables and theme subsets.
 
+    Every section gets a file of its own. ``together`` writes all of them in one job instead, as partitions of
+    one table: the latest filings are read once, however many sections there are (``read_section``).
+
     The JSON is parsed once, into the snapshot. The latest filings are found once
     and written to the shared folder, so that every section is a scan of its own
     columns without a shuffle, and a lost executor costs no more than its tasks.
@@ -61,8 +68,11 @@ def collect(
     outputs = {
         FORESTRY_ACCOUNTS_PREFIX: forestry.accounts(filings),
         FORESTRY_FUND_PREFIX: forestry.fund(filings),
-        **{name: _to_store(latest, name) for name, spec in SECTIONS.items() if spec.scheduled},
     }
+    if together:
+        rows |= store_all_sections(latest, stamped_path(out, SECTIONS_PREFIX, at), SCHEDULED)
+    else:
+        outputs |= {name: _to_store(latest, name) for name in SCHEDULED}
     writes = {prefix: partial(write_counted, df, stamped_path(out, prefix, at)) for prefix, df in outputs.items()}
     return rows | run_all(writes, at_once)
 
@@ -80,10 +90,20 @@ def store_latest(filings: DataFrame, path: str) -> DataFrame:
     return filings.sparkSession.read.parquet(path)
 
 
-def store_all_sections(latest: DataFrame, path: str) -> None:
-    """All sections from one scan, in folders by section."""
-    rows = sections.all_sections(latest).hint("rebalance", "section")
+def store_all_sections(latest: DataFrame, path: str, names: Iterable[str] = tuple(SECTIONS)) -> dict[str, int]:
+    """Sections from one scan, in folders by section; returns the rows of each, counted while they are written."""
+    names = list(names)
+    seen = Observation()
+    counts = [F.count_if(F.col("section") == name).alias(name) for name in names]
+    rows = sections.all_sections(latest, names).observe(seen, *counts).hint("rebalance", "section")
     rows.write.mode("errorifexists").partitionBy("section").parquet(path)
+    return {name: int(seen.get[name]) for name in names}
+
+
+def read_section(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One section of a table of all sections, with its own columns; empty when it has no rows."""
+    stored = spark.read.schema(f"{sections.MAIN_DDL}, section string").parquet(path)
+    return stored.where(F.col("section") == name).select(*SECTIONS[name].columns)
 
 
 def derive_all(
@@ -95,11 +115,20 @@ def derive_all(
     at_once: int = JOBS_AT_ONCE,
 ) -> dict[str, str]:
     """Derive and store the form objects; returns the path of each."""
+    names = list(names)
     paths = {name: object_path(out, cross_section, version, name) for name in names}
-    writes = {
-        name: partial(write_counted, objects.derive(latest, name), path, mode="overwrite")
-        for name, path in paths.items()
-    }
+    summed = [name for name in names if name in objects.SUMMED]
+    together = None
+    if len(summed) > 1:  # their sums are found in one pass, and each object is then a few columns of that
+        spark = latest.sparkSession
+        wide = scratch_path(spark, "objects")
+        objects.derive_together(latest, summed).write.parquet(wide)
+        together = spark.read.parquet(wide)
+
+    def derived(name: str) -> DataFrame:
+        return objects.one_of(together, name) if together and name in summed else objects.derive(latest, name)
+
+    writes = {name: partial(write_counted, derived(name), path, mode="overwrite") for name, path in paths.items()}
     run_all(writes, at_once)
     return paths
 

@@ -101,11 +101,13 @@ def _snapshot_undeclared(ws: Workspace) -> DataFrame:
 
 def _pipeline_roundtrip(ws: Workspace) -> DataFrame:
     out = scratch_path(ws.spark, "run")
-    collected = pipeline.collect(ws.spark, ws.delivery(), f"{out}/collected", "parquet", RUN_TIME)
-    paths = {name: pipeline.stamped_path(f"{out}/collected", name, RUN_TIME) for name in collected}
+    collected = pipeline.collect(ws.spark, ws.delivery(), f"{out}/collected", "parquet", RUN_TIME, together=True)
+    paths = {name: pipeline.stamped_path(f"{out}/collected", name, RUN_TIME) for name in collected if name not in SECTIONS}
     derived = pipeline.derive_all(ws.latest(), f"{out}/derived", "g2022", "v1")
     paths.update({f"RF1175/{name}": path for name, path in derived.items()})
     stored = {name: scan(ws.spark, path) for name, path in paths.items()}
+    together = pipeline.stamped_path(f"{out}/collected", pipeline.SECTIONS_PREFIX, RUN_TIME)
+    stored |= {name: pipeline.read_section(ws.spark, together, name) for name in pipeline.SCHEDULED}
     stored[SNAPSHOT_PREFIX] = latest.whole(stored[SNAPSHOT_PREFIX])
     counts = [
         df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("stored"), "n_rows") for name, df in stored.items()
@@ -113,6 +115,38 @@ def _pipeline_roundtrip(ws: Workspace) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _stored_section_counts(ws: Workspace) -> DataFrame:
+    """The counts that the one write observes, beside what is read back."""
+    path = scratch_path(ws.spark, "sections")
+    counts = pipeline.store_all_sections(ws.latest(), path)
+    observed = ws.spark.createDataFrame(list(counts.items()), "section string, n_observed long")
+    read = ws.spark.read.parquet(path).groupBy("section").agg(F.count("*").alias("n_rows"))
+    return observed.join(read, "section", "left").select("section", "n_observed", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+def _derived_together(ws: Workspace) -> DataFrame:
+    path = scratch_path(ws.spark, "objects")
+    objects.derive_together(ws.latest()).write.parquet(path)
+    together = ws.spark.read.parquet(path)
+    parts = []
+    for name in objects.SUMMED:
+        one = objects.one_of(together, name)
+        rows = one.unpivot(["orgnr"], one.columns[1:], "variabel", "verdi")
+        parts.append(rows.select(F.lit(name).alias("objekt"), "orgnr", "variabel", "verdi"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _wide_against_long(ws: Workspace) -> DataFrame:
+    """Sums by prefix of the field, from the wide and from the long table."""
+    parts = []
+    for prefix in ("p", "p3", "p9", "p27"):
+        sums = layouts.wide_prefix_sum(ws.wide(), prefix)
+        wide = sums.select(F.expr(" + ".join(f"coalesce(cast(`{c}` as decimal(18, 2)), 0)" for c in sums.columns)).cast("double").alias("wide"))
+        long = layouts.long_prefix_sum(ws.long(), prefix).withColumnRenamed("total", "long")
+        parts.append(wide.join(long, F.lit(True)).select(F.lit(prefix).alias("prefix"), "wide", "long"))  # one row each
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _partitioned_sections(ws: Workspace) -> DataFrame:
     path = scratch_path(ws.spark, "sections")
     pipeline.store_all_sections(ws.latest(), path)
@@ -195,6 +229,11 @@ def build() -> dict[str, Query]:
                 sections.section(ws.latest(), "driftsinntekt"), sections.section(ws.latest(), "naering")
             )
         ),
+        "relink_bucketed": _on(lambda ws: sections.relink_stored(sections.section(ws.latest(), "driftsinntekt"), ws.headers())),
+        "stored_section_counts": _on(_stored_section_counts),
+        "derived_together": _on(_derived_together),
+        "code_dictionary": _on(lambda ws: ws.codes().drop("version")),
+        "wide_against_long": _on(_wide_against_long),
         "forestry_accounts": _on(lambda ws: forestry.accounts(ws.filings())),
         "forestry_fund": _on(lambda ws: forestry.fund(ws.filings())),
         "forestry_fund_per_account": _on(lambda ws: forestry.fund(ws.filings(), per_account=True)),

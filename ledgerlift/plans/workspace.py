@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlift.operators import layouts
+from ledgerlift.operators import layouts, sections
 from ledgerlift.operators.latest import latest_filings
 from ledgerlift.operators.objects import derive
 from ledgerlift.plans.catalog import POST_LISTS
@@ -54,8 +55,9 @@ class Workspace:
         return _frames[key]
 
     def _is_there(self, path: str) -> bool:
-        # the folder of wide subsets holds tables, it is none itself
-        probe = layouts.theme_path(path, "egenkapital") if "/wide_themes-" in path else path
+        # the folders of wide subsets and of versions hold tables, they are none themselves
+        inside = {"wide_themes": lambda: layouts.theme_path(path, "egenkapital"), "codes": lambda: layouts.codes_path(path, "1")}
+        probe = next((at() for name, at in inside.items() if path.rsplit("/", 1)[-1].startswith(f"{name}-")), path)
         return is_written(self.spark, probe)
 
     def path(self, name: str) -> str:
@@ -105,12 +107,21 @@ class Workspace:
     def long_partitioned(self) -> str:
         return self._path("long_partitioned", lambda path: layouts.write_partitioned(self.long(), path))
 
-    def wide_fields(self) -> list[str]:
-        return layouts.fields_of(f[1:] for g in POST_LISTS for f in layouts.theme_fields(g, orders.extra_codes(g)))
+    def codes(self) -> DataFrame:
+        """The fields that occur in the long table, stored under a version."""
+        root = self._path("codes", lambda path: layouts.write_codes(self.long(), path, "1"))
+        return layouts.read_codes(self.spark, root)
+
+    def headers(self) -> str:
+        """Name of the bucketed table of registrations behind the main table of posts."""
+        name = f"ledgerlift_headers_{uuid.uuid5(uuid.NAMESPACE_URL, repr(self._key('headers'))).hex}"
+        main = sections.section(self.latest(), "naering")
+        self._path("headers", lambda path: sections.store_headers(main, name, path))
+        return name
 
     def wide(self) -> DataFrame:
         def write(path: str) -> None:
-            layouts.write_wide(layouts.wide_layout(self.long(), self.wide_fields()), path)
+            layouts.write_wide(layouts.wide_layout(self.long(), layouts.fields_in(self.codes())), path)
 
         return self._table("wide", write)
 
@@ -119,6 +130,7 @@ class Workspace:
 
         def write(path: str) -> None:
             long = self.spark.read.parquet(self.long_partitioned())
-            layouts.write_wide_themes(long, path, {g: orders.extra_codes(g) for g in POST_LISTS})
+            codes = self.codes()
+            layouts.write_wide_themes(long, path, {g: [f[1:] for f in layouts.fields_in(codes, g)] for g in POST_LISTS})
 
         return self._path("wide_themes", write)

@@ -262,6 +262,14 @@ from latest where {_OF_BUSINESS}"""
     return f"with {BASE} select orgnr, {columns} from post where liste = {number} and {_OF_BUSINESS} group by orgnr"
 
 
+def _derived_together() -> str:
+    return " union all ".join(
+        f"select '{name}' as objekt, orgnr, variabel, verdi from ({_derive(name)})"
+        f" unpivot (verdi for variabel in ({', '.join(POST_VARIABLES.get(name) or AMOUNT_VARIABLES[name])})) where orgnr is not null"
+        for name in (*POST_VARIABLES, *AMOUNT_VARIABLES)
+    )
+
+
 def _describe(name: str) -> str:
     if name == "virksomhet" or name in KEY_OBJECTS:
         columns = {"orgnr": "orgnr"}
@@ -393,6 +401,18 @@ select event_id, date_trunc('millisecond', ts) as from_micros, date_trunc('secon
             " from tagged group by section"
         ),
         "relink_subset": _section("driftsinntekt", MAIN),
+        "relink_bucketed": _section("driftsinntekt", MAIN),
+        "stored_section_counts": _sections(
+            f"""select section, coalesce(n, 0) as n_observed, coalesce(n, 0) as n_rows
+from (select unnest([{_quoted(SECTIONS)}]) as section) left join (select section, count(*) as n from tagged group by section) using (section)"""
+        ),
+        "derived_together": _derived_together(),
+        "code_dictionary": f"with {LONG} select hovedtema, undertema, gruppe, felt_id, count(*) as n_rows from long group by all",
+        "wide_against_long": f"with {LONG} "
+        + " union all ".join(
+            f"select '{p}' as prefix, cast(coalesce(sum({_VALUE}), 0) as double) as wide, cast(sum({_VALUE}) as double) as long from long where felt_id like '{p}%'"
+            for p in ("p", "p3", "p9", "p27")
+        ),
         "forestry_accounts": _FORESTRY_ACCOUNTS,
         "forestry_fund": _fund("last_account"),
         "forestry_fund_per_account": _fund("kept_account"),

@@ -76,6 +76,13 @@ def test_collect_and_derive(spark, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/out/driftsinntekt-2024-01-02_03-04-05.parquet")
     assert rows(stored) == [("3000", 12.5, 2)]
 
+    again = pipeline.collect(spark, f"{tmp_path}/in", f"{tmp_path}/out2", "parquet", AT, together=True)
+    assert again == written
+    for name in pipeline.SCHEDULED:
+        one = spark.read.parquet(f"{tmp_path}/out/{name}-2024-01-02_03-04-05.parquet")
+        part = pipeline.read_section(spark, f"{tmp_path}/out2/seksjoner-2024-01-02_03-04-05.parquet", name)
+        assert part.columns == one.columns and rows(part) == rows(one), name
+
     latest = pipeline.store_latest(
         spark.read.parquet(f"{tmp_path}/out/opprinnelig-struktur-2024-01-02_03-04-05.parquet"), f"{tmp_path}/latest"
     )

@@ -56,6 +56,22 @@ def test_a_filer_with_unlisted_fields_only_stays_in_the_wide_table(spark, long):
     assert rows(wide) == [("a", 3.5, None), ("b", None, 16.0), ("c", None, None)]
 
 
+def test_codes_that_no_catalog_lists_become_columns(spark, long, tmp_path):
+    more = long.unionByName(spark.createDataFrame([("a", "p31337", "64", *SALES), ("d", "p3-ny", "128", *LOANS), ("d", None, "1", *LOANS)], LONG))
+    layouts.write_codes(long, f"{tmp_path}/codes", "2023-01")
+    layouts.write_codes(more, f"{tmp_path}/codes", "2024-01")
+    old = layouts.fields_in(layouts.read_codes(spark, f"{tmp_path}/codes", "2023-01"))
+    fields = layouts.fields_in(layouts.read_codes(spark, f"{tmp_path}/codes"))
+    assert set(fields) - set(old) == {"p31337", "p3-ny"} and "p9999" in old and fields[0] == old[0] == "p3000"
+    assert "p31337" in layouts.fields_in(layouts.read_codes(spark, f"{tmp_path}/codes"), "salgsinntekt")
+    assert "p31337" not in layouts.fields_in(layouts.read_codes(spark, f"{tmp_path}/codes"), "egenkapital")
+    wide = layouts.wide_layout(more, fields)
+    sums = layouts.wide_prefix_sum(wide, "p3").first().asDict().values()
+    assert sum(v or 0 for v in sums) == layouts.long_prefix_sum(more, "p3").first()["total"] == 215.5
+    with pytest.raises(ValueError, match="more than 3"):
+        layouts.fields_in(layouts.code_dictionary(more), most=3)
+
+
 def test_strict_numbers_raise(long):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         layouts.long_prefix_sum(long, "p3", strict=True).collect()

@@ -52,6 +52,22 @@ def test_blanks_by_type(spark):
     assert rows(fill_blanks(df, ("number", "bool", "string"))) == [(0.0, False, "")]
 
 
+def test_together_and_one_by_one(spark, workspace):
+    small = frame(
+        spark,
+        filing("a", "2022", 1, 1, sales=[("3000", 5.0), (None, None)], other=[], total=7.0),
+        filing("a", "2023", 1, 2, other=[("3900", None)]),
+        filing("b", "2022", 1, 3, ordinal=9, sales=[("9999", 5.0)]),
+        filing("b", "2022", 1, 3, ordinal=9, fragment=1, sales=[("3000", 1.0)]),
+        filing("c", "2022", 1, 4, orgnr=None, sales=[("3000", 9.0)]),
+        filing("d", "2022", 1, 5, duty="full", sales=[("3000", 9.0)]),
+    )
+    for latest in (small, workspace.latest()):
+        together = objects.derive_together(latest).cache()
+        for name in objects.SUMMED:
+            assert rows(objects.one_of(together, name)) == rows(objects.derive(latest, name)), name
+
+
 def test_sums_over_organisations_equal_sums_over_codes(workspace):
     latest = workspace.latest()
     for name in OBJECTS:

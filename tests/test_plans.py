@@ -68,13 +68,42 @@ def test_wide_reads_only_the_columns_of_the_prefix(workspace):
     assert "p3000" in schema and "p4005" not in schema and "p1000" not in schema
 
 
+def test_wide_table_is_shuffled_once(workspace):
+    tree = plan(layouts.wide_layout(workspace.long(), ["p3000", "p9999"])).split("\n\n")[0]
+    assert len(re.findall(r"[^t]Exchange \(", tree)) == 1 and tree.count("HashAggregate") == 2
+
+
+def test_all_objects_take_one_scan_and_one_shuffle(workspace):
+    text = plan(objects.derive_together(workspace.latest()))
+    tree = text.split("\n\n")[0]
+    assert tree.count("Scan parquet") == exchanges(text) == 1
+    assert "In(naeringsspesifikasjon.virksomhet.virksomhetstype" in text
+
+
+def test_relinking_leaves_the_main_side_in_place(spark, workspace):
+    table = workspace.headers()
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = sections.relink_stored(sections.section(workspace.latest(), "driftsinntekt"), table)
+        text = plan(df)
+        kept = rows(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    tree = text.split("\n\n")[0]
+    assert exchanges(text) == 1 and "SortMergeJoin" in tree
+    subset, main = tree.split("Scan parquet")[0:2]
+    assert "Exchange (" not in main and "Bucketed: true" in text
+    assert kept == rows(sections.relink(sections.section(workspace.latest(), "driftsinntekt"), sections.section(workspace.latest(), "naering")))
+
+
 def test_nothing_runs_in_python(workspace):
     for df in (
         sections.all_sections(workspace.latest()),
         objects.derive(workspace.latest(), "annenDriftskostnad"),
         layouts.wide_layout(workspace.long(), ["p3000"]),
     ):
-        assert "Python" not in plan(df)
+        assert "Python" not in plan(df) and "ExistingRDD" not in plan(df)
 
 
 def test_rows_of_the_plan_helper(spark):
