@@ -32,10 +32,12 @@ def leaves_sql(record: str, without: Collection[str]) -> str:
     Fields named in ``without`` are left out wherever they stand. Lists stay lists. An object inside an
     object opens with one more turn, and the braces in the text of the first ones bound the turns.
     """
-    top = _fields(record, "f", without)
-    braces = f"aggregate(filter({top}, o -> {_IS_OBJECT.format('o')}), 0, (n, o) -> n + regexp_count(cast(o.value as string), '[{{]'))"
-    opened = f"flatten(transform(acc, o -> if({_IS_OBJECT.format('o')}, {_fields('o.value', 'g', without)}, array(o))))"
-    return f"aggregate(array_repeat(0, {braces}), {top}, (acc, turn) -> {opened})"
+    is_object = _IS_OBJECT.format("o")
+    braces = f"aggregate(filter(top, o -> {is_object}), 0, (n, o) -> n + regexp_count(cast(o.value as string), '[{{]'))"
+    opened = f"flatten(transform(acc, o -> if({is_object}, {_fields('o.value', 'g', without)}, array(o))))"
+    # a list of one gives the first fields a name, so that they are read once
+    once = f"transform(array({_fields(record, 'f', without)}), top -> aggregate(array_repeat(0, {braces}), top, (acc, turn) -> {opened}))"
+    return f"element_at({once}, 1)"
 
 
 def amounts_sql(record: str, without: Collection[str]) -> str:

@@ -106,8 +106,8 @@ def latest_account(filings: DataFrame, per_account: bool = False) -> DataFrame:
     if per_account:
         numbered = f"transform({ACCOUNTS}, (a, i) -> named_struct('number', {_number('i')}, 'account', a))"
         return _keep(candidates, _winners(candidates)).select(*header, F.inline(F.expr(numbered)).alias("number", "account"))
-    keys = f"""transform({ACCOUNTS}, (a, i) -> named_struct(
-        'missing', variant_get(a, '$.id', 'string') is null, 'id', variant_get(a, '$.id', 'string'), 'number', {_number("i")}))"""
+    ids = f"transform({ACCOUNTS}, a -> variant_get(a, '$.id', 'string'))"
+    keys = f"transform({ids}, (id, i) -> named_struct('missing', id is null, 'id', id, 'number', {_number('i')}))"
     rows = _keep(candidates, _winners(candidates, F.expr(f"array_min({keys})").alias("_first")), "inner")
     account = F.expr(f"element_at(filter({ACCOUNTS}, (a, i) -> {_number('i')} = _first.number), 1)")
     return rows.select(*header, F.col("_first.number").alias("number"), account.alias("account"))

@@ -86,8 +86,9 @@ def wide_layout(long: DataFrame, fields: Sequence[str]) -> DataFrame:
     place = F.broadcast(long.sparkSession.range(1).select(F.posexplode(F.lit(list(fields))).alias("_place", "felt_id")))
     cents = long.select("norskIdentifikator", "felt_id", to_minor(number(F.col("felt_verdi"))).alias("_v"))
     cents = cents.join(place, "felt_id", "left")  # as many rows as the wide table has columns
-    sums = [F.expr(f"{major_sql(f'sum(case when _place = {k} then _v end)')} as `{f}`") for k, f in enumerate(fields)]
-    return cents.groupBy("norskIdentifikator").agg(*sums)
+    sums = [F.expr(f"sum(case when _place = {k} then _v end) as `{f}`") for k, f in enumerate(fields)]
+    wide = cents.groupBy("norskIdentifikator").agg(*sums)
+    return wide.selectExpr("norskIdentifikator", *[f"{major_sql(f'`{f}`')} as `{f}`" for f in fields])
 
 
 def theme_fields(gruppe: str, extra: Iterable[str] = ()) -> list[str]:

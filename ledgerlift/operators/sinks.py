@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -35,6 +35,7 @@ def write_counted(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
 def run_all[T](tasks: Mapping[str, Callable[[], T]], at_once: int) -> dict[str, T]:
     """Independent Spark jobs, several at a time, so that the last tasks of one
     table do not leave the cluster idle. The first failure is raised."""
+    with_tags = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=at_once) as pool:
-        running = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+        running = {name: pool.submit(with_tags(task)) for name, task in tasks.items()}
         return {name: job.result() for name, job in running.items()}

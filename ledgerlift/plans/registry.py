@@ -18,10 +18,10 @@ from ledgerlift.operators.ordering import with_position
 from ledgerlift.plans import pipeline
 from ledgerlift.plans.catalog import OBJECTS, SECTIONS, SNAPSHOT_PREFIX
 from ledgerlift.plans.workspace import Workspace
-from ledgerlift.session import configure, scratch_path
+from ledgerlift.session import configure, is_written, scratch_path
 from ledgerlift.sources import orders
 from ledgerlift.sources.deliveries import delivered, parse_payload
-from ledgerlift.sources.tables import drop_view, filtered_view, scan, scan_partitions, scan_tree
+from ledgerlift.sources.tables import drop_view, filtered_view, register, scan, scan_partitions, scan_tree
 
 FILER = "00000000007"
 OPERATING_INCOME = {"hovedtema": "resultatregnskap", "undertema": "driftsinntekt"}
@@ -147,6 +147,52 @@ def _wide_against_long(ws: Workspace) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _empty_delivery(ws: Workspace) -> DataFrame:
+    """Tables that a run writes when none of the delivery's records are left: none, and no folder."""
+    out = scratch_path(ws.spark, "run")
+    raw = ws.spark.read.parquet(ws.delivery())
+    left = raw.where(F.get_json_object("data.hendelse", "$.sekvensnummer").cast("bigint") < 0)
+    left.write.parquet(f"{out}/delivery")
+    written = pipeline.collect(ws.spark, f"{out}/delivery", f"{out}/collected", "parquet", RUN_TIME)
+    return ws.spark.sql("select :tables as n_tables, :there as folder", args={"tables": len(written), "there": is_written(ws.spark, f"{out}/collected")})
+
+
+def _named_scan(ws: Workspace) -> DataFrame:
+    ws.long()
+    register(ws.spark, ws.path("long"), "ledgerlift_long")
+    return ws.spark.sql("select gruppe, felt_id, count(*) as n_rows from ledgerlift_long group by gruppe, felt_id")
+
+
+def _strict_sum(ws: Workspace) -> DataFrame:
+    """Sums of texts that are all numbers, cast strictly."""
+    long = layouts.long_layout(ws.latest())
+    return layouts.long_prefix_sum(long, "p3", strict=True)
+
+
+def _with_missing_keys(ws: Workspace) -> DataFrame:
+    """Filings of which every fifth filer, every seventh year and every third organisation is missing."""
+    seq, who = F.col(latest.SEQUENCE), F.col("naeringsspesifikasjon.norskIdentifikator").cast("bigint")
+    body = F.col("naeringsspesifikasjon")
+    body = body.withField("norskIdentifikator", F.when(who % 5 != 0, body["norskIdentifikator"]))
+    body = body.withField("inntektsaar", F.when(seq % 7 != 0, body["inntektsaar"]))
+    body = body.withField("virksomhet.orgnr", F.when(who % 3 != 0, body["virksomhet"]["orgnr"]))
+    return ws.filings().withColumn("naeringsspesifikasjon", body)
+
+
+def _latest_of_missing_keys(ws: Workspace) -> DataFrame:
+    filings = _with_missing_keys(ws)
+    rules = {"latest": latest.latest_filings(filings), "with accounts": latest.latest_with_accounts(filings)}
+    parts = [latest.whole(df).select(F.lit(rule).alias("rule"), *sections.header()) for rule, df in rules.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _derive_of_missing_keys(ws: Workspace) -> DataFrame:
+    kept = latest.latest_filings(_with_missing_keys(ws))
+    keys = objects.derive(kept, "fordeltBeregnetNaeringsinntekt").select("orgnr", F.lit(None).cast("double").alias("sum"))
+    sums = objects.derive(kept, "sum_resultatregnskap").select("orgnr", F.col("O_15799").alias("sum"))
+    return keys.withColumn("objekt", F.lit("keys")).unionByName(sums.withColumn("objekt", F.lit("sums")))
+
+
 def _partitioned_sections(ws: Workspace) -> DataFrame:
     path = scratch_path(ws.spark, "sections")
     pipeline.store_all_sections(ws.latest(), path)
@@ -229,6 +275,11 @@ def build() -> dict[str, Query]:
                 sections.section(ws.latest(), "driftsinntekt"), sections.section(ws.latest(), "naering")
             )
         ),
+        "empty_delivery": _on(_empty_delivery),
+        "named_scan": _on(_named_scan),
+        "strict_prefix_total": _on(_strict_sum),
+        "latest_of_missing_keys": _on(_latest_of_missing_keys),
+        "derive_of_missing_keys": _on(_derive_of_missing_keys),
         "relink_bucketed": _on(lambda ws: sections.relink_stored(sections.section(ws.latest(), "driftsinntekt"), ws.headers())),
         "stored_section_counts": _on(_stored_section_counts),
         "derived_together": _on(_derived_together),

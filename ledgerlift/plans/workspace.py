@@ -12,7 +12,7 @@ from ledgerlift.operators import layouts, sections
 from ledgerlift.operators.latest import latest_filings
 from ledgerlift.operators.objects import derive
 from ledgerlift.plans.catalog import POST_LISTS
-from ledgerlift.session import configure, data_version, is_written, scratch_path, size_shuffles
+from ledgerlift.session import configure, data_version, is_written, remove, scratch_path, size_shuffles
 from ledgerlift.sources import orders
 from ledgerlift.sources.deliveries import as_delivery, parse_delivery, read_delivery
 from ledgerlift.sources.tables import scan
@@ -60,6 +60,16 @@ class Workspace:
         probe = next((at() for name, at in inside.items() if path.rsplit("/", 1)[-1].startswith(f"{name}-")), path)
         return is_written(self.spark, probe)
 
+    def clear(self) -> int:
+        """Remove the tables of this data folder from the shared folder; they are built again when asked for."""
+        with _building:
+            mine = [key for key in _paths if key[:2] == self._key("")[:2]]
+            for key in mine:
+                path = _paths.pop(key)
+                _frames.pop((self.spark, path), None)
+                remove(self.spark, path)
+        return len(mine)
+
     def path(self, name: str) -> str:
         """Where a table that was already asked for is stored."""
         return _paths[self._key(name)]

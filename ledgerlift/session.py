@@ -65,6 +65,14 @@ def is_written(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that this session wrote below its scratch folder; others are left alone."""
+    if not path.startswith(f"{scratch_root(spark)}/"):
+        raise ValueError(f"{path} is not below {scratch_root(spark)}")
+    fs, at = _file_system(spark, path)
+    return fs.delete(at, True)
+
+
 def data_version(spark: SparkSession, paths: Iterable[str]) -> tuple[tuple[int, int, int], ...]:
     """Bytes, files and time of change of each path or glob: differs when the data was replaced."""
     versions = []

@@ -378,6 +378,19 @@ def _stored_counts() -> str:
     return f"with {BASE}, {_scalars()}, {FORESTRY} {' union all '.join(rows)}"
 
 
+_HEADER_COLUMNS = "aar as inntektsaar, filer as id, ts as registreringstidspunkt, seq as sekvensnummer"
+_MISSING_KEYS = f"""with {BASE}, gone as (
+  select seq, ts, case when cast(filer as bigint) % 5 <> 0 then filer end as filer, case when seq % 7 <> 0 then aar end as aar,
+         case when cast(filer as bigint) % 3 <> 0 then orgnr end as orgnr, trade, duty, o_totalprice from filing
+), gone_latest as (
+  select * from gone where filer is not null and aar is not null
+  qualify row_number() over (partition by filer, aar order by ts desc, seq desc) = 1
+), gone_accounts as (
+  select * from gone where seq in (select seq from line where l_returnflag = 'R')
+  qualify row_number() over (partition by filer, aar order by ts desc, seq desc) = 1
+)"""
+
+
 def build() -> dict[str, str]:
     latest_columns = "aar as inntektsaar, filer as id, ts as registreringstidspunkt, seq as sekvensnummer"
     sql = {
@@ -401,6 +414,17 @@ select event_id, date_trunc('millisecond', ts) as from_micros, date_trunc('secon
             " from tagged group by section"
         ),
         "relink_subset": _section("driftsinntekt", MAIN),
+        "empty_delivery": "select cast(count(*) as integer) as n_tables, count(*) > 0 as folder from orders where o_orderkey < 0",
+        "named_scan": f"with {LONG} select gruppe, felt_id, count(*) as n_rows from long group by all",
+        "strict_prefix_total": f"""with {BASE}
+select cast(sum(cast(beloep as decimal(18,2))) as double) as total from post where beloep <> 0 and type like '3%'""",
+        "latest_of_missing_keys": f"""{_MISSING_KEYS}
+select 'latest' as rule, {_HEADER_COLUMNS} from gone_latest union all select 'with accounts', {_HEADER_COLUMNS} from gone_accounts""",
+        "derive_of_missing_keys": f"""{_MISSING_KEYS}, {_scalars("gone_latest")}
+select distinct 'keys' as objekt, coalesce(orgnr, '') as orgnr, cast(null as double) as sum from gone_latest where {_OF_BUSINESS}
+union all
+select 'sums', orgnr, cast(sum(cast(coalesce(sumDriftsinntekt, 0) as decimal(18,2))) as double) from scalar
+where {_OF_BUSINESS} and orgnr is not null group by orgnr""",
         "relink_bucketed": _section("driftsinntekt", MAIN),
         "stored_section_counts": _sections(
             f"""select section, coalesce(n, 0) as n_observed, coalesce(n, 0) as n_rows

@@ -122,3 +122,18 @@ def test_positions(spark):
     assert [r["position"] for r in found] == list(range(1, 501))
     assert [(r["a"], r["b"]) for r in found] == sorted(((k % 7 or None, k) for k in range(500)), key=lambda x: (x[0] is None, x[0] or 0, -x[1]))
     assert with_position(df.where("false"), ["a"]).count() == 0
+
+
+def test_shared_tables_can_be_removed(spark, small):
+    from ledgerlift.plans.workspace import Workspace
+    from ledgerlift.session import remove
+
+    ws = Workspace(spark, f"{small}/")
+    ws.long()
+    path = ws.path("long")
+    assert ws.clear() >= 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert ws.long().count() > 0
+    with pytest.raises(ValueError, match="not below"):
+        remove(spark, "/elsewhere")
