@@ -183,7 +183,7 @@ def _latest_of_missing_keys(ws: Workspace) -> DataFrame:
     filings = _with_missing_keys(ws)
     rules = {"latest": latest.latest_filings(filings), "with accounts": latest.latest_with_accounts(filings)}
     parts = [latest.whole(df).select(F.lit(rule).alias("rule"), *sections.header()) for rule, df in rules.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts).withColumn("inntektsaar", F.col("inntektsaar").cast("string"))
 
 
 def _derive_of_missing_keys(ws: Workspace) -> DataFrame:

@@ -378,7 +378,7 @@ def _stored_counts() -> str:
     return f"with {BASE}, {_scalars()}, {FORESTRY} {' union all '.join(rows)}"
 
 
-_HEADER_COLUMNS = "aar as inntektsaar, filer as id, ts as registreringstidspunkt, seq as sekvensnummer"
+_HEADER_COLUMNS = "cast(aar as varchar) as inntektsaar, filer as id, ts as registreringstidspunkt, seq as sekvensnummer"
 _MISSING_KEYS = f"""with {BASE}, gone as (
   select seq, ts, case when cast(filer as bigint) % 5 <> 0 then filer end as filer, case when seq % 7 <> 0 then aar end as aar,
          case when cast(filer as bigint) % 3 <> 0 then orgnr end as orgnr, trade, duty, o_totalprice from filing
