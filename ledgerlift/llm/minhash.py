@@ -7,9 +7,11 @@ signature, a batch at a time; after each batch the pair is dropped if the poster
 prior) that its similarity reaches the threshold is below `miss`. What survives is verified on the full sets.
 
 A bucket is not expanded into all its pairs: each round compares the members that are outside the component
-of the bucket's pivot with that pivot, then relabels; a bucket whose members are all in one component, or
-all compared with each other, is done. What `rounds` pivots leave open is compared pair by pair across
-components, so no link between components is lost, and a large group of near copies costs a row a member.
+of the bucket's pivot with that pivot, then relabels; a bucket whose members are all in one component is
+done. What `rounds` pivots leave open is compared across components inside the buckets: members are dealt into
+blocks of bounded size, a task compares the MinHashes of two blocks, and only pairs that no batch rules out
+come out of it. So no link between components is lost, a large group of near copies costs a row a member, and
+a large bucket of documents that are not similar costs comparisons but no rows.
 
 Defined cases
     * Texts without words, and null texts, have an empty set: no links, each a component of its own.
@@ -139,6 +141,37 @@ def plausible(pairs: DataFrame, n: int, threshold: float, miss: float, batch_row
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
+def open_pairs(members: DataFrame, sigs: DataFrame, n: int, share: tuple[int, int], miss: float, block: int = 1024) -> DataFrame:
+    """(a, b): pairs of members (bucket, rep, n, comp) of one bucket that may be similar, across components.
+
+    The lowest byte of each MinHash stands for it: unequal hashes may look equal then, which drops no pair.
+    """
+    over, under = share
+    floor = least_equal(n, over / under, miss)
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("rep", "bucket"), "blocks").cast("int")
+    placed = members.join(sizes, "bucket").join(sigs.select("rep", "sig"), "rep").withColumn("own", own)
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("x"), F.greatest("own", o).alias("y")))
+    dealt = placed.select("bucket", "rep", "n", "comp", "sig", "own", F.explode(meets).alias("m")).select("bucket", "rep", "n", "comp", "sig", "own", "m.*")
+
+    def run(part: pa.Table) -> pa.Table:
+        rep, size, comp, own = (part[c].to_numpy() for c in ("rep", "n", "comp", "own"))
+        rows = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint8).reshape(-1, n)
+        left = np.flatnonzero(own == part["x"][0].as_py())
+        right = np.flatnonzero(own == part["y"][0].as_py())
+        a, b = [], []
+        for i in left:
+            js = right[(rep[right] > rep[i]) | (own[right] != own[i])]
+            js = js[(comp[js] != comp[i]) & (over * np.maximum(size[js], size[i]) <= under * np.minimum(size[js], size[i]))]
+            js = js[(rows[js] == rows[i]).sum(axis=1) >= floor]
+            a.append(np.minimum(rep[js], rep[i]))
+            b.append(np.maximum(rep[js], rep[i]))
+        whole = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
+        return pa.table([x.astype(np.int64) for x in whole], names=["a", "b"])
+
+    return dealt.groupBy("bucket", "x", "y").applyInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in the edges (a, b): the smallest id reachable, by large-star and small-star steps."""
     links = stored(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u < v").distinct(), "links")
@@ -168,6 +201,7 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
     buckets = stored(buckets.join(many, "bucket"), "buckets")
     sizes_fit = F.lit(over) * F.greatest("n_a", "n_b") <= F.lit(under) * F.least("n_a", "n_b")
     sigs = classes.select("rep", "sig")
+    bytes_of = classes.select("rep", F.concat(*[F.substring("sig", 4 * k + 1, 1) for k in range(bands * band_rows)]).alias("sig"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         signed_pairs = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
@@ -196,9 +230,8 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
             pairs = pairs.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b"), F.col("n").alias("n_a"), F.col("pivot.n").alias("n_b"))
         else:
             open_ = stored(members.join(mixed.select("bucket"), "bucket"), "open")
-            x, y = open_.toDF("bucket", "a", "n_a", "c_a"), open_.toDF("bucket", "b", "n_b", "c_b")
-            pairs = x.join(y, "bucket").where("a < b AND c_a <> c_b")
-        pairs = pairs.where(sizes_fit).select("a", "b").distinct()
+            pairs = open_pairs(open_, bytes_of, bands * band_rows, share, miss)
+        pairs = (pairs.where(sizes_fit) if turn < rounds else pairs).select("a", "b").distinct()
         pairs = stored(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         compared = pairs if compared is None else compared.unionAll(pairs)
         found = stored(verify(pairs), "edges")
