@@ -9,9 +9,10 @@ prior) that its similarity reaches the threshold is below `miss`. What survives
 A bucket is not expanded into all its pairs: each round compares the members that are outside the component
 of the bucket's pivot with that pivot, then relabels; a bucket whose members are all in one component is
 done. What `rounds` pivots leave open is compared across components inside the buckets: members are dealt into
-blocks of bounded size, a task compares the MinHashes of two blocks, and only pairs that no batch rules out
-come out of it. So no link between components is lost, a large group of near copies costs a row a member, and
-a large bucket of documents that are not similar costs comparisons but no rows.
+blocks of bounded size, a task compares two blocks by MinHashes and then by full sets, each pair in the first
+bucket it shares, and only links come out of it, at most one a member and pair of blocks. So no link between components is lost,
+a large group of near copies costs a row a member, and a large bucket of documents that are similar, but not
+enough so, costs comparisons and no rows.
 
 Defined cases
     * Texts without words, and null texts, have an empty set: no links, each a component of its own.
@@ -141,33 +142,48 @@ def plausible(pairs: DataFrame, n: int, threshold: float, miss: float, batch_row
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def open_pairs(members: DataFrame, sigs: DataFrame, n: int, share: tuple[int, int], miss: float, block: int = 1024) -> DataFrame:
-    """(a, b): pairs of members (bucket, rep, n, comp) of one bucket that may be similar, across components.
+def open_links(members: DataFrame, known: DataFrame, n: int, share: tuple[int, int], miss: float, block: int = 1024, room: int = 4_000_000) -> DataFrame:
+    """(a, b): links between members (bucket, rep, n, comp) of one bucket, across components, as far as they join any.
 
-    The lowest byte of each MinHash stands for it: unequal hashes may look equal then, which drops no pair.
+    `known` has (rep, sig, keys, what): a byte of each MinHash, all buckets in the order of the bands, the full
+    set. Unequal MinHashes may look equal by one byte, which rules out no pair. A block has about `block`
+    members and `room` shingles.
     """
     over, under = share
     floor = least_equal(n, over / under, miss)
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    sizes = members.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / room)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep", "bucket"), "blocks").cast("int")
-    placed = members.join(sizes, "bucket").join(sigs.select("rep", "sig"), "rep").withColumn("own", own)
+    placed = members.join(sizes, "bucket").join(known, "rep").withColumn("own", own)
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("x"), F.greatest("own", o).alias("y")))
-    dealt = placed.select("bucket", "rep", "n", "comp", "sig", "own", F.explode(meets).alias("m")).select("bucket", "rep", "n", "comp", "sig", "own", "m.*")
+    held = ["bucket", "rep", "n", "comp", "sig", "keys", "what", "own"]
+    dealt = placed.select(*held, F.explode(meets).alias("m")).select(*held, "m.*")
 
     def run(part: pa.Table) -> pa.Table:
+        part = part.sort_by("rep")
+        bucket, x, y = (part[c][0].as_py() for c in ("bucket", "x", "y"))
         rep, size, comp, own = (part[c].to_numpy() for c in ("rep", "n", "comp", "own"))
         rows = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint8).reshape(-1, n)
-        left = np.flatnonzero(own == part["x"][0].as_py())
-        right = np.flatnonzero(own == part["y"][0].as_py())
-        a, b = [], []
-        for i in left:
-            js = right[(rep[right] > rep[i]) | (own[right] != own[i])]
-            js = js[(comp[js] != comp[i]) & (over * np.maximum(size[js], size[i]) <= under * np.minimum(size[js], size[i]))]
+        keys = np.frombuffer(b"".join(part["keys"].to_pylist()), np.dtype(">i8")).reshape(len(rows), -1)
+        lengths = part["what"].combine_chunks().value_lengths().to_numpy()
+        whole = np.split(part["what"].combine_chunks().flatten().to_numpy(), np.cumsum(lengths)[:-1])
+        first_here = (keys == bucket).argmax(axis=1)
+        group = comp.copy()  # components, joined as links are found
+        links = []
+        for i in np.flatnonzero(own == x):
+            js = np.flatnonzero(own == y)
+            js = js[(js > i) | (x != y)]
+            js = js[(group[js] != group[i]) & (over * np.maximum(size[js], size[i]) <= under * np.minimum(size[js], size[i]))]
             js = js[(rows[js] == rows[i]).sum(axis=1) >= floor]
-            a.append(np.minimum(rep[js], rep[i]))
-            b.append(np.maximum(rep[js], rep[i]))
-        whole = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b)]
-        return pa.table([x.astype(np.int64) for x in whole], names=["a", "b"])
+            shared = keys[js] == keys[i]
+            js = js[shared.argmax(axis=1) == first_here[i]]
+            for j in js:
+                if group[j] != group[i]:
+                    common = len(np.intersect1d(whole[i], whole[j], assume_unique=True))
+                    if under * common >= over * (len(whole[i]) + len(whole[j]) - common):
+                        links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                        group[group == group[j]] = group[i]
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.table([np.ascontiguousarray(a), np.ascontiguousarray(b)], names=["a", "b"])
 
     return dealt.groupBy("bucket", "x", "y").applyInArrow(run, "a long, b long")
 
@@ -201,14 +217,18 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
     buckets = stored(buckets.join(many, "bucket"), "buckets")
     sizes_fit = F.lit(over) * F.greatest("n_a", "n_b") <= F.lit(under) * F.least("n_a", "n_b")
     sigs = classes.select("rep", "sig")
-    bytes_of = classes.select("rep", F.concat(*[F.substring("sig", 4 * k + 1, 1) for k in range(bands * band_rows)]).alias("sig"))
+    packed = F.concat(*[F.unhex(F.lpad(F.hex(cut), 16, "0")) for cut in cuts]).alias("keys")
+    short = classes.select("rep", F.concat(*[F.substring("sig", 4 * k + 1, 1) for k in range(bands * band_rows)]).alias("sig"), packed)
+
+    def full_sets(named: DataFrame) -> DataFrame:
+        full = sets(texts.join(named, F.col("id") == F.col("its"), "left_semi"), "id", "text", width)
+        return stored(full.dropDuplicates(["id", "print"]).select("id", "what", "n"), "full")
 
     def verify(pairs: DataFrame) -> DataFrame:
         signed_pairs = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
         left = stored(plausible(signed_pairs, bands * band_rows, over / under, miss), "plausible")
         named = left.select(F.col("a").alias("its")).unionAll(left.select("b")).distinct()
-        full = sets(texts.join(named, F.col("id") == F.col("its"), "left_semi"), "id", "text", width)
-        full = stored(full.dropDuplicates(["id", "print"]).select("id", "what", "n"), "full")
+        full = full_sets(named)
         both = left.join(full.toDF("a", "x", "p"), "a").join(full.toDF("b", "y", "q"), "b")
         inter = F.size(F.array_intersect("x", "y"))
         return both.select("a", "b", "p", "q", inter.alias("i")).where(under * F.col("i") >= over * (F.col("p") + F.col("q") - F.col("i"))).select("a", "b")
@@ -228,13 +248,15 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
             pivot = F.col("first" if turn % 2 == 0 else "last")
             pairs = members.join(mixed.select("bucket", pivot.alias("pivot")), "bucket").where("comp <> pivot.comp")
             pairs = pairs.select(F.least("rep", "pivot.rep").alias("a"), F.greatest("rep", "pivot.rep").alias("b"), F.col("n").alias("n_a"), F.col("pivot.n").alias("n_b"))
+            pairs = pairs.where(sizes_fit).select("a", "b").distinct()
+            pairs = stored(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+            compared = pairs if compared is None else compared.unionAll(pairs)
+            found = stored(verify(pairs), "edges")
         else:
             open_ = stored(members.join(mixed.select("bucket"), "bucket"), "open")
-            pairs = open_pairs(open_, bytes_of, bands * band_rows, share, miss)
-        pairs = (pairs.where(sizes_fit) if turn < rounds else pairs).select("a", "b").distinct()
-        pairs = stored(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
-        compared = pairs if compared is None else compared.unionAll(pairs)
-        found = stored(verify(pairs), "edges")
+            full = full_sets(open_.select(F.col("rep").alias("its")).distinct())
+            known = short.join(full.select(F.col("id").alias("rep"), "what"), "rep")
+            found = stored(open_links(open_, known, bands * band_rows, share, miss).distinct(), "edges")
         if edges is not None and found.isEmpty():
             continue
         edges = found if edges is None else edges.unionAll(found)

@@ -55,17 +55,23 @@ def test_families_around_the_threshold(spark, width):
     assert len(set(want.values())) > 100 and any(sum(v == k for v in want.values()) > 20 for k in want)
 
 
-def test_open_buckets_give_few_rows(spark):
-    """600 similar documents without a link: comparisons, but no rows."""
+def test_open_buckets_give_links_only(spark):
+    """Similar documents without a link cost no rows; a group of copies costs a row a member at most."""
     from pyspark.sql import functions as F
 
-    texts = list(enumerate(family(9, 600, 120, 0.55)))
-    rows = minhash.sets(spark.createDataFrame(texts, "id long, text string"), "id", "text", 5, 200).select(F.col("id").alias("rep"), "n", "what")
-    sig = F.concat(*[F.substring("what", 4 * k + 1, 1) for k in range(200)])
-    members = rows.select(F.lit(1).alias("bucket"), "rep", "n", F.col("rep").alias("comp"))
-    found = minhash.open_pairs(members, rows.select("rep", sig.alias("sig")), 200, (80, 100), 1e-9, block=100)
-    assert found.count() <= 0.02 * 600 * 599 / 2
-    linked = minhash.open_pairs(members, rows.select("rep", F.lit(b"\1" * 200).alias("sig")), 200, (80, 100), 1e-9, block=70)
-    sizes = {r["rep"]: r["n"] for r in members.collect()}
-    pairs = {(r["a"], r["b"]) for r in linked.collect()}
-    assert len(pairs) == linked.count() == sum(80 * max(sizes[a], sizes[b]) <= 100 * min(sizes[a], sizes[b]) for a in sizes for b in sizes if a < b)
+    texts = dict(enumerate(family(9, 300, 120, 0.55) + family(8, 200, 120, 0.95)))
+    df = spark.createDataFrame(list(texts.items()), "id long, text string")
+    one = F.concat(*[F.substring("what", 4 * k + 1, 1) for k in range(200)])
+    signed = minhash.sets(df, "id", "text", 5, 200).select(F.col("id").alias("rep"), "n", one.alias("sig"))
+    full = minhash.sets(df, "id", "text", 5).select(F.col("id").alias("rep"), "what")
+    known = signed.select("rep", "sig", F.unhex(F.lit("0000000000000007" * 2)).alias("keys")).join(full, "rep")
+    members = signed.select(F.lit(7).cast("long").alias("bucket"), "rep", "n", F.col("rep").alias("comp"))
+    for block, blocks in ((1024, 1), (70, 8)):
+        found = {(r["a"], r["b"]) for r in minhash.open_links(members, known, 200, (80, 100), 1e-9, block=block).collect()}
+        assert all(a >= 300 and b >= 300 for a, b in found)
+        root = list(range(500))
+        for _ in range(500):
+            for a, b in found:
+                root[a] = root[b] = min(root[a], root[b])
+        assert set(root[300:]) == {300}
+        assert len(found) <= 200 * blocks
