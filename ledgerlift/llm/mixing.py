@@ -12,11 +12,11 @@ last block then flips documents while that brings its words nearer to the target
 A source is cut into blocks by hash, so one that holds a third of all rows is as many tasks.
 
 Defined cases
-    * Sources rank by code point, null last. Rows that share id and source are one document: one decision.
-      A null id is an id of its own.
+    * Sources rank by code point, null last. Every row is a document of its own, whether its id is null, shared or
+      repeated: rows that share id, source and text are counted, and each gets a decision.
     * Null and empty texts have size 0; they may be taken, as nothing. A source without words has target 0.
     * Draws come from hashes of ids and a seed, so reruns agree. An empty table gives an empty mix.
-    * `take` returns the input's columns only.
+    * `take` returns the input's columns only, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import count_words, stored
 
-UNIT = "id {id}, source {source}, size long, p double, times int, source_size long, target double, block long"
+UNIT = "id {id}, source {source}, digest long, nth long, size long, p double, times int, source_size long, target double, block long"
 
 
 def ranked_sources(sizes: DataFrame) -> DataFrame:
@@ -113,7 +113,7 @@ def flight(p: list[float], size: list[int], draw: random.Random, land: bool) ->
 
 
 def decide(units: DataFrame, seed: int = 7, block_rows: int = 4096) -> DataFrame:
-    """Rows (id, source, size, p, times, source_size, target): p becomes 0 or 1, level by level."""
+    """Rows (id, source, digest, nth, size, p, times, source_size, target): p becomes 0 or 1, level by level."""
     kinds = {n: units.schema[n].dataType.simpleString() for n in ("id", "source")}
     schema = UNIT.format(**kinds)
 
@@ -126,7 +126,7 @@ def decide(units: DataFrame, seed: int = 7, block_rows: int = 4096) -> DataFrame
             draw = random.Random(f"{seed} {level} {block['source'][0].as_py()!r} {block['block'][0].as_py()}")
             p = flight(block["p"].to_pylist(), block["size"].to_pylist(), draw, land)
             at = block.column_names.index("p")
-            return block.set_column(at, "p", pa.array(np.array(p), pa.float64())).select(["id", "source", "size", "p", "times", "source_size", "target", "block"])
+            return block.set_column(at, "p", pa.array(np.array(p), pa.float64())).select([c.split()[0] for c in UNIT.split(", ")])
 
         return run
 
@@ -137,8 +137,9 @@ def decide(units: DataFrame, seed: int = 7, block_rows: int = 4096) -> DataFrame
         counts = rest.groupBy("source").agg(F.count("*").alias("n"))
         blocks = counts.select(F.col("source").alias("its"), F.ceil(F.col("n") / block_rows).cast("long").alias("blocks"))
         dealt = rest.drop("block").join(blocks, F.col("source").eqNullSafe(F.col("its"))).drop("its")
-        turn = F.xxhash64("id", F.lit(seed), F.lit(level))
-        dealt = dealt.withColumns({"turn": turn, "block": F.pmod(F.xxhash64("id", F.lit(seed + 1), F.lit(level)), "blocks")})
+        unit = ["id", "digest", "nth"]
+        turn = F.xxhash64(*unit, F.lit(seed), F.lit(level))
+        dealt = dealt.withColumns({"turn": turn, "block": F.pmod(F.xxhash64(*unit, F.lit(seed + 1), F.lit(level)), "blocks")})
         moved = stored(dealt.groupBy("source", "block").applyInArrow(fly(level), schema), "moved")
         done.append(moved.where(~open_now))
         rest, level = moved.where(open_now), level + 1
@@ -150,33 +151,53 @@ def decide(units: DataFrame, seed: int = 7, block_rows: int = 4096) -> DataFrame
     return out.drop("block")
 
 
-def copies(docs: DataFrame, key: str = "doc_id", source: str = "source", size: Column | None = None, most: float = 3.0, seed: int = 7) -> DataFrame:
-    """(id, source, size, n, source_size, target): how often each document is taken. `size` defaults to the words of `text`."""
-    size = count_words(F.col("text")) if size is None else size
-    units = stored(
-        docs.select(F.col(key).alias("id"), F.col(source).alias("source"), size.alias("size")).groupBy("id", "source").agg(F.sum("size").alias("size")),
-        "sizes",
-    )
+def _digest(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")), F.lit(11))
+
+
+def _decisions(docs: DataFrame, key: str, source: str, text: str, size: Column | None, most: float, seed: int) -> DataFrame:
+    size = count_words(F.col(text)) if size is None else size
+    rows = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), _digest(F.col(text)).alias("digest"), size.alias("size"))
+    units = stored(rows.groupBy("id", "source", "digest").agg(F.first("size").alias("size"), F.count("*").alias("rows")), "sizes")
+    units = units.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows")))).drop("rows")
     goal = targets(units, most=most)
     share = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(most))).otherwise(F.lit(0.0))
     whole = F.floor(share + 1e-12)
     units = units.join(goal.withColumnRenamed("source", "its"), F.col("source").eqNullSafe(F.col("its"))).select(
-        "id", "source", "size", F.greatest(share - whole, F.lit(0.0)).alias("p"), whole.cast("int").alias("times"), "source_size", "target"
+        "id", "source", "digest", "nth", "size", F.greatest(share - whole, F.lit(0.0)).alias("p"), whole.cast("int").alias("times"), "source_size", "target"
     )
-    decided = decide(units, seed)
-    return decided.select("id", "source", "size", (F.col("times") + F.col("p").cast("int")).alias("n"), "source_size", "target")
+    return decide(units, seed)
 
 
-def with_copies(docs: DataFrame, taken: DataFrame, key: str = "doc_id", source: str = "source") -> DataFrame:
-    """The documents, each with a last column `mix`: n, source_size and target."""
-    mix = taken.select(F.col("id").alias("mix_id"), F.col("source").alias("mix_source"), F.struct("n", "source_size", "target").alias("mix"))
-    same = docs[key].eqNullSafe(mix["mix_id"]) & docs[source].eqNullSafe(mix["mix_source"])
-    return docs.join(mix, same).select(*(docs[f"`{c}`"] for c in docs.columns), mix["mix"])
+def copies(
+    docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", size: Column | None = None, most: float = 3.0, seed: int = 7
+) -> DataFrame:
+    """(id, source, size, n, source_size, target): how often each document is taken. `size` defaults to the words of `text`."""
+    decided = _decisions(docs, key, source, text, size, most, seed)
+    return decided.select("id", "source", "size", (F.col("times") + F.col("p").cast("int")).alias("n"), "source_size", "target")
 
 
-def take(docs: DataFrame, key: str = "doc_id", source: str = "source") -> DataFrame:
-    """The mix itself: every document as often as it is taken."""
-    chosen = with_copies(docs, copies(docs, key, source), key, source)
-    mix = chosen.columns[-1]
-    times = chosen.where(F.col(mix)["n"] > 0).withColumn(mix, F.explode(F.array_repeat(F.lit(0), F.col(mix)["n"])))
-    return times.select(*docs.columns)
+def take(
+    docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", size: Column | None = None, most: float = 3.0, seed: int = 7
+) -> DataFrame:
+    """The mix itself: every document as often as it is taken, with the columns of the input.
+
+    Rows that share id, source and text share their probability, so it only counts how many of them are taken
+    once more: the first ones, whichever these are.
+    """
+    decided = _decisions(docs, key, source, text, size, most, seed)
+    more = F.sum(F.col("p").cast("int")).alias("more")
+    groups = decided.groupBy("id", "source", "digest").agg(F.first("times").alias("times"), more, F.count("*").alias("rows")).where("times + more > 0")
+    # the input's columns stay in one struct, so that their names meet no other
+    held = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(key).alias("k"), F.col(source).alias("s"), _digest(F.col(text)).alias("d"),
+    )
+    same = F.col("k").eqNullSafe(F.col("id")) & F.col("s").eqNullSafe(F.col("source")) & (F.col("d") == F.col("digest"))
+    joined = held.join(groups, same)
+    single = joined.where("rows = 1").select("doc", (F.col("times") + F.col("more")).alias("n"))
+    place = F.row_number().over(Window.partitionBy("k", "s", "d").orderBy(F.lit(1)))
+    several = joined.where("rows > 1").select("doc", "times", "more", place.alias("place"))
+    several = several.select("doc", (F.col("times") + (F.col("place") <= F.col("more")).cast("int")).alias("n"))
+    times = single.unionAll(several).where("n > 0").select("doc", F.explode(F.array_repeat(F.lit(0), F.col("n").cast("int"))))
+    return times.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
