@@ -11,7 +11,8 @@ equal strings is gathered in a task.
 
 Defined cases
     * Null and empty texts have no bytes. Texts under 50 bytes lose nothing. Matches never cross documents.
-    * Rows that share an id never shorten each other, and rows with a null id take no part (nothing is removed).
+    * Rows that share an id never shorten each other: runs go by id and a digest of the text. Rows with a null id
+      take no part (nothing is removed).
     * Strings are judged on the input. Anchors, contexts and strings are compared by two 64-bit hashes each.
     * `remove` reads the key and the text only, so other columns cannot clash.
 """
@@ -83,7 +84,7 @@ def encoded(text: str | None) -> bytes:
 
 
 def index(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, low, high, anchor, context): the anchors of every row, each with the starts of its strings."""
+    """(id, digest, low, high, anchor, context): the anchors of every row, each with the starts of its strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,19 +98,23 @@ def index(docs: DataFrame, key: str, text: str) -> DataFrame:
                         rows.append(np.full(len(made[0]), row))
                         found.append(made)
                 if rows:
-                    ids = part.column(0).take(pa.array(np.concatenate(rows)))
+                    ids, digests = (part.column(k).take(pa.array(np.concatenate(rows))) for k in (0, 2))
                     low, high, a, c = (np.concatenate([f[k] for f in found]) for k in (1, 2, 3, 4))
                     yield pa.RecordBatch.from_arrays(
-                        [ids, pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(a.view(np.int64)), pa.array(c.view(np.int64))],
-                        ["id", "low", "high", "anchor", "context"],
+                        [ids, digests, pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(a.view(np.int64)), pa.array(c.view(np.int64))],
+                        ["id", "digest", "low", "high", "anchor", "context"],
                     )
 
-    rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), text)
-    return rows.mapInArrow(run, "id long, low int, high int, anchor long, context long")
+    rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("long").alias("id"), text, _digest(text).alias("digest"))
+    return rows.mapInArrow(run, "id long, digest int, low int, high int, anchor long, context long")
+
+
+def _digest(text: str):
+    return F.hash(F.coalesce(F.col(text), F.lit("")))
 
 
 def strings(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, anchor, string, start): the 50-byte strings of the wanted (id, anchors: array of (low, high, anchor))."""
+    """(id, digest, anchor, string, start): the 50-byte strings of the wanted (its, its_digest, spans: array of (low, high, anchor))."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -120,49 +125,46 @@ def strings(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFram
                     data = encoded(t)
                     if len(data) < LENGTH:
                         continue
-                    made = anchors(data)
                     whole = rolling(_BYTES[np.frombuffer(data, np.uint8).astype(np.int64)], LENGTH)
-                    # Rows that share an id have texts of their own: only anchors found here count.
-                    here = {(int(x), int(y)): int(k) for x, y, k in zip(made[1], made[2], made[3].view(np.int64))}
                     for s in spans:
-                        if here.get((s["low"], s["high"])) == s["anchor"]:
-                            i = np.arange(s["low"], s["high"] + 1)
-                            rows.append(np.full(len(i), row))
-                            starts.append(i)
-                            hashes.append(whole[i])
-                            keys.append(np.full(len(i), s["anchor"], np.int64))
+                        i = np.arange(s["low"], s["high"] + 1)
+                        rows.append(np.full(len(i), row))
+                        starts.append(i)
+                        hashes.append(whole[i])
+                        keys.append(np.full(len(i), s["anchor"], np.int64))
                 if rows:
-                    ids = part.column(0).take(pa.array(np.concatenate(rows)))
+                    ids, digests = (part.column(k).take(pa.array(np.concatenate(rows))) for k in (0, 3))
                     yield pa.RecordBatch.from_arrays(
-                        [ids, pa.array(np.concatenate(keys)), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(starts), pa.int32())],
-                        ["id", "anchor", "string", "start"],
+                        [ids, digests, pa.array(np.concatenate(keys)), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(starts), pa.int32())],
+                        ["id", "digest", "anchor", "string", "start"],
                     )
 
-    joined = docs.select(key, text).join(wanted, F.col(key) == F.col("its")).select(F.col(key).cast("long"), text, "spans")
-    return joined.mapInArrow(run, "id long, anchor long, string long, start int")
+    same = (F.col(key) == F.col("its")) & (_digest(text) == F.col("its_digest"))
+    joined = docs.select(key, text).join(wanted, same).select(F.col(key).cast("long"), text, "spans", "its_digest")
+    return joined.mapInArrow(run, "id long, digest int, anchor long, string long, start int")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, runs): for ids with repeats, the starts of repeated strings as an array of (low, high)."""
+    """(id, digest, runs): for rows with repeats, the starts of repeated strings as an array of (low, high)."""
     rows = stored(index(docs, key, text), "anchors")
     firsts = stored(rows.groupBy("anchor", "context").agg(F.min("id").alias("first"), F.max("id").alias("last")), "contexts")
     many = firsts.groupBy("anchor").agg(F.count("*").alias("c"), F.min("first").alias("x"), F.max("last").alias("y")).where("c > 1 AND x < y")
     copied = firsts.where("first < last").select("anchor", "context", "first")
-    whole = rows.join(copied, ["anchor", "context"]).where("id > first").select("id", "low", "high")
+    whole = rows.join(copied, ["anchor", "context"]).where("id > first").select("id", "digest", "low", "high")
     # First documents of contexts whose anchor occurs in other contexts too.
     differ = firsts.join(many.select("anchor"), "anchor").select("anchor", "context", "first")
     open_ = rows.join(differ, ["anchor", "context"]).where("id = first")
-    spans = open_.groupBy(F.col("id").alias("its")).agg(F.collect_set(F.struct("low", "high", "anchor")).alias("spans"))
+    spans = open_.groupBy(F.col("id").alias("its"), F.col("digest").alias("its_digest")).agg(F.collect_set(F.struct("low", "high", "anchor")).alias("spans"))
     found = stored(strings(docs, spans, key, text), "strings")
     least = found.groupBy("anchor", "string").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("anchor", "string", "first")
-    single = found.join(least, ["anchor", "string"]).where("id > first").select("id", F.col("start").alias("low"), F.col("start").alias("high"))
-    return whole.unionAll(single).groupBy("id").agg(F.collect_set(F.struct("low", "high")).alias("runs"))
+    single = found.join(least, ["anchor", "string"]).where("id > first").select("id", "digest", F.col("start").alias("low"), F.col("start").alias("high"))
+    return whole.unionAll(single).groupBy("id", "digest").agg(F.collect_set(F.struct("low", "high")).alias("runs"))
 
 
 def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept, kept_sha256) for every row; kept is what is left, as binary."""
     kind = docs.schema[key].dataType.simpleString()
-    found = repeats(docs, key, text).withColumnRenamed("id", "its")
+    found = repeats(docs, key, text).toDF("its", "its_digest", "runs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,5 +188,6 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
                 columns = [pa.array(x, k) for x, k in zip(zip(*out), kinds)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], [key, "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"])
 
-    joined = docs.select(key, text).join(found, F.col(key) == F.col("its"), "left").select(key, text, "runs")
+    same = (F.col(key) == F.col("its")) & (_digest(text) == F.col("its_digest"))
+    joined = docs.select(key, text).join(found, same, "left").select(key, text, "runs")
     return joined.mapInArrow(run, f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
