@@ -7,6 +7,9 @@ last settled token and the bytes that are still open; an open boundary dies when
 continue from it, and tokens on which all live boundaries agree are emitted. Lookahead is therefore bounded
 by the longest entry. States and transitions are made when first needed and kept for the life of the worker.
 
+Texts come a slice at a time. Between single spaces they fall apart into stretches that are split by
+themselves, so the distinct stretches of a slice are encoded and their ids gathered for every text.
+
 Decoding. Ids are turned to bytes in chunks; a UTF-8 state machine follows the bytes and holds back an
 unfinished character until the next chunk.
 
@@ -24,11 +27,15 @@ import gc
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlift.llm.common import text_slices
+
 STATES_KEPT = 250_000
 PIECES_KEPT = 200_000
 ROWS_OUT = 512
@@ -212,6 +219,31 @@ class Encoder:
         found = self.split.findall(text)
         return self._piece(found[0]) if len(found) == 1 else b"".join(map(self.pieces.__getitem__, found))
 
+    def encode_all(self, texts: pa.Array) -> pa.Array:
+        """Packed ids of every text of a slice."""
+        plain = pc.and_(pc.invert(pc.match_substring(texts, "  ")), pc.invert(pc.ends_with(texts, " ")))
+        plain = pc.and_(plain, pc.greater(pc.binary_length(texts), 0))
+        lists = pc.split_pattern(texts.filter(plain), " ")
+        stretches, firsts = pc.list_flatten(lists), np.cumsum(pc.list_value_length(lists).to_numpy())
+        # what follows a space takes it along: all but the first stretch of a text
+        spaced = np.full(len(stretches), " ", dtype=object)
+        spaced[np.concatenate([[0], firsts[:-1]]).astype(np.int64)[: len(firsts)]] = ""
+        stretches = pc.binary_join_element_wise(pa.array(spaced, pa.string()), stretches, "").dictionary_encode()
+        made = list(map(self.stretches.__getitem__, stretches.dictionary.to_pylist()))
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        flat, starts = np.frombuffer(b"".join(made), "<u4"), np.cumsum(sizes) - sizes
+        at = stretches.indices.to_numpy()
+        lengths = sizes[at]
+        ends = np.cumsum(lengths)
+        ids = flat[np.repeat(starts[at] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        edges = np.concatenate([[0], np.concatenate([[0], ends])[firsts]]) * 4
+        out = pa.Array.from_buffers(pa.large_binary(), len(firsts), [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
+        if len(out) == len(texts):
+            return out
+        rest = pa.array([self(t) for t in texts.filter(pc.invert(plain)).to_pylist()], pa.binary())
+        place = np.argsort(np.concatenate([np.flatnonzero(plain), np.flatnonzero(pc.invert(plain))]), kind="stable")
+        return pa.concat_arrays([out, rest]).take(pa.array(place))
+
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
@@ -275,15 +307,27 @@ class StreamDecoder:
         return rest.decode("utf-8", "replace")
 
 
-def decode_ids(ids: memoryview, entries: list[bytes], portion: int = 65_536) -> Iterator[bytes]:
+class Entries:
+    """The bytes of all vocabulary entries, one after the other."""
+
+    def __init__(self, entries: list[bytes]):
+        self.flat = np.frombuffer(b"".join(entries), np.uint8)
+        self.lengths = np.fromiter(map(len, entries), np.int64, len(entries))
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+
+def decode_ids(ids: memoryview, entries: Entries, portion: int = 65_536) -> Iterator[bytes]:
     """Bytes of the ids, a portion at a time."""
-    numbers = ids.cast("I")
+    numbers = np.frombuffer(ids, "<u4")
     for start in range(0, len(numbers), portion):
-        yield b"".join([entries[i] for i in numbers[start : start + portion]])
+        these = numbers[start : start + portion]
+        lengths = entries.lengths[these]
+        ends = np.cumsum(lengths)
+        yield entries.flat[np.repeat(entries.starts[these] - (ends - lengths), lengths) + np.arange(ends[-1])].tobytes()
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
-_entries: dict[str, list[bytes]] = {}
+_entries: dict[str, Entries] = {}
 
 
 def _rows_out(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -309,9 +353,8 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
         gc.disable()  # nothing made here refers back to itself, and the kept states are many
         try:
             for batch in batches:
-                for part in _rows_out(batch):
-                    ids = [encoder(t) for t in part.column(1).to_pylist()]
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], [key, "ids"])
+                for part in text_slices(batch, batch.schema.names[1]):
+                    yield pa.RecordBatch.from_arrays([part.column(0), encoder.encode_all(part.column(1))], [key, "ids"])
         finally:
             gc.enable()
 
@@ -327,9 +370,10 @@ def decode(tokens: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
         entries = _entries.get(path)
         if entries is None:
             ranks = read_ranks(lines.value)
-            entries = _entries[path] = [b""] * (max(ranks.values()) + 1)
+            listed = [b""] * (max(ranks.values()) + 1)
             for entry, rank in ranks.items():
-                entries[rank] = entry
+                listed[rank] = entry
+            entries = _entries[path] = Entries(listed)
         for batch in batches:
             for part in _rows_out(batch):
                 texts = []
