@@ -48,7 +48,9 @@ LETTER = r"A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}"
 # byte-level vocabularies write a byte as a sign of its own: printable ones as they are, the others from U+0100 on, in order
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _SIGNS = {b: chr(b) for b in _PRINTED} | {b: chr(0x100 + k) for k, b in enumerate(x for x in range(256) if x not in _PRINTED)}
-BYTE_SIGNS = {c: "".join(_SIGNS[b] for b in chr(c).encode()) for c in range(0x80, 0x250)}
+# the letters of the Latin range, and what their lower case is: some of it lies beyond
+_LATIN = {ord(x) for c in range(0x80, 0x250) for x in chr(c) + chr(c).lower() if ord(x) >= 0x80}
+BYTE_SIGNS = {c: "".join(_SIGNS[b] for b in chr(c).encode()) for c in _LATIN}
 
 
 def split_marks(words: pa.Array) -> pa.Array:

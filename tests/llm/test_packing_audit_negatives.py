@@ -43,6 +43,18 @@ def test_words_give_the_ids_of_whole_texts(vocabulary, real, texts):
     assert ids.tolist() == [i for w in want for i in w]
 
 
+def test_all_letters_of_the_plain_range(vocabulary, real):
+    import pyarrow as pa
+
+    texts = [form.format(chr(c)) for c in range(0x21, 0x2C80) if chr(c).isprintable() for form in ("{}", "a{}b!", "!{}'s")]
+    ids, sizes = packing._encoder(vocabulary).encode(pa.array(texts, pa.string()), 1)
+    want = [e.ids + [1] for e in real.encode_batch(texts, add_special_tokens=False)]
+    at = 0
+    for text, size, w in zip(texts, sizes.tolist(), want):
+        assert ids[at : at + size].tolist() == w, text
+        at += size
+
+
 def check_packing(rows, texts, real, length=2048):
     """Every id in one piece, sequences without gaps, full ones but for the powers of two at the end."""
     pieces, filled = defaultdict(list), defaultdict(list)
