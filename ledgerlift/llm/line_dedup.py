@@ -1,11 +1,13 @@
 """Line dedup by pairwise alignment: common blocks of lines go from the later document.
 
-Overlaps are found through hashes of runs of lines. A run links a document to the first document (smallest id)
-that holds it, so a run costs one link a document however frequent it is, and none is too common to use. Runs are
-each line, pair and triple of lines with `min_words` words or more, as long as the lines before the last are short
-of `block_words`; and from each line on, and back from each line, the shortest run that reaches `block_words`.
-Every line of a common block is in such a shortest run inside the block, so it meets a document that holds that run
-whole, even if the lines were each seen first in other documents. What is rare is decided in the pair: patience
+Overlaps are found through hashes of runs of lines. Runs are each line, pair and triple of lines with `min_words`
+words or more, as long as the lines before the last are short of `block_words`; and from each line on, and back
+from each line, the shortest run that reaches `block_words`. A rare short run, held by `rare` texts or fewer, links
+every two of its holders. Any other run links a document to the first document (smallest id) that holds it, so it
+costs one link a document however frequent it is. Every line of a common block is in a shortest run inside the
+block, so it meets a document that holds that run whole, even if the lines were each seen first in other documents,
+and however frequent they are; a block that the earlier document interrupts by other lines is met if one of its
+lines, pairs or triples is rare or was first seen there. Patience
 diff anchors on lines that occur once in each of the two documents, keeps the longest run of anchors in rising
 order, extends each anchor over equal neighbouring lines, and searches each gap between anchors again, with
 occurrences counted inside the gap, by runs of 2, 4, 8 ... lines where no line occurs once. An alignment uses each
@@ -20,7 +22,8 @@ Defined cases
     * A null text has no lines and stays null; an empty text stays empty. Lines are split at \\n only.
     * Rows that share an id are not compared with each other. A null id is never cut and never a first document.
     * Copies of a text: the smallest id keeps its lines, the others lose every block, which may leave an empty text.
-    * Lines are compared by 64-bit hash. `clean` returns the input's columns, whatever their names.
+    * Lines are compared by 64-bit hash, texts by SHA-256, and texts of one id by 64 bits of it.
+    * `clean` returns the input's columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -98,11 +101,19 @@ def rising(anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
+def runs_of(lines: list[int], k: int, number: dict[int, int]) -> list[int]:
+    """Hashes of all runs of `k` numbered lines; eight bytes a run, however long the runs are."""
+    at = np.arange(len(lines) - k + 1)
+    return run_hashes(np.array([number[x] for x in lines], np.uint64), at, at + k).tolist()
+
+
 def anchors_in(later: list[int], first: list[int]) -> list[tuple[int, int]]:
     """Where lines stand that occur once in each; if there are none, runs of 2, 4, 8 ... lines that do."""
-    k = 1
+    k, number = 1, {}
     while k <= min(len(later), len(first)):
-        runs_a, runs_b = (list(zip(*(x[n:] for n in range(k)))) for x in (later, first))
+        if k == 2:
+            number = {x: n for n, x in enumerate({*later, *first})}
+        runs_a, runs_b = (x if k == 1 else runs_of(x, k, number) for x in (later, first))
         once_a, once_b = Counter(runs_a), Counter(runs_b)
         if not once_a.keys() & once_b.keys():
             break
@@ -151,17 +162,24 @@ def patience(later: list[int], first: list[int]) -> list[tuple[int, int]]:
     return blocks
 
 
-def common_lines(later: list[int], words: list[int], first: list[int], block_words: int) -> list[int]:
+def common_lines(later: np.ndarray, words: np.ndarray, first: np.ndarray, block_words: int) -> list[int]:
     """Lines of `later` in blocks with `block_words` words: aligned ones, and those that an alignment passes over
     since they come again or in another order."""
+    later, words, first = (np.asarray(x, np.int64) for x in (later, words, first))
+    common = np.isin(later, first)
+    turns = np.flatnonzero(np.diff(common, prepend=False, append=False)).reshape(-1, 2)
+    total = np.concatenate([[0], np.cumsum(words)])
+    if not (total[turns[:, 1]] - total[turns[:, 0]] >= block_words).any():
+        return []
     gone = np.zeros(len(later), dtype=bool)
-    for a, b in patience(later, first):
-        gone[a:b] = sum(words[a:b]) >= block_words
+    for a, b in patience(later.tolist(), first.tolist()):
+        gone[a:b] = total[b] - total[a] >= block_words
     # Lines that `later` lacks are in no common run, so their words do not matter.
-    weight = dict(zip(later, words))
-    runs = [(later, np.array(words, np.int64)), (first, np.array([weight.get(x, block_words) for x in first], np.int64))]
+    order = np.argsort(later, kind="stable")
+    place = order[np.minimum(np.searchsorted(later, first, sorter=order), len(later) - 1)]
+    weight = np.where(later[place] == first, words[place], block_words)
     (mine, starts, ends), (theirs, _, _) = (
-        (run_hashes(np.array(h, np.int64).view(np.uint64), *heavy_runs(w, block_words)), *heavy_runs(w, block_words)) for h, w in runs
+        (run_hashes(h.view(np.uint64), *runs), *runs) for h, runs in ((later, heavy_runs(words, block_words)), (first, heavy_runs(weight, block_words)))
     )
     edge = np.zeros(len(later) + 1, dtype=np.int64)
     shared = np.isin(mine, theirs)
@@ -174,17 +192,10 @@ def line_hashes(text: Column) -> Column:
     return F.transform(F.split(text, "\n", -1), lambda x: F.xxhash64(x))
 
 
-def cuts(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 3, block_words: int = 10) -> DataFrame:
-    """(id, digest, gone): line numbers to delete, for each distinct id and text that loses any."""
-    rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull())
-    rows = rows.select(F.col(key).alias("id"), F.sha2(text, 256).alias("digest"), F.col(text).alias("t"))
-    ids = stored(rows.select("id", "digest").distinct(), "ids")
-    # One representative a text: its smallest id. A copy, if there is one, is aligned with that id.
-    classes = ids.groupBy("digest").agg(F.min("id").alias("low"))
-    texts = rows.join(classes, (rows["digest"] == classes["digest"]) & (rows["id"] == classes["low"]), "left_semi").dropDuplicates(["digest"])
-    words = F.transform(F.split("t", "\n", -1), lambda x: count_words(x).cast("int"))
-    lines = stored(texts.select("id", "digest", line_hashes(F.col("t")).alias("h"), words.alias("w")), "lines")
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def runs(lines: DataFrame, min_words: int, block_words: int) -> DataFrame:
+    """(id, mark, run): the hashes of each text's runs; the lowest bit of a run tells that it is short of a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(start, ROWS_OUT)
@@ -192,26 +203,55 @@ def cuts(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: in
                 for k, (h, w) in enumerate(zip(part.column(2), part.column(3))):
                     h, w = (x.values.to_numpy(zero_copy_only=False) for x in (h, w))
                     starts, ends = (np.concatenate(x) for x in zip(short_runs(w, min_words, block_words), heavy_runs(w, block_words)))
-                    found.append(np.unique(run_hashes(h.view(np.uint64), starts, ends)))
+                    total = np.concatenate([[0], np.cumsum(w, dtype=np.int64)])
+                    hashes = run_hashes(h.view(np.uint64), starts, ends) & ~np.int64(1)
+                    found.append(np.unique(hashes | (total[ends] - total[starts] < block_words)))
                     rows.append(np.full(len(found[-1]), k))
                 at = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(np.concatenate(found))], ["id", "digest", "run"])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(np.concatenate(found))], ["id", "mark", "run"])
 
     kind = lines.schema["id"].dataType.simpleString()
-    seen = lines.select("id", "digest", "h", "w").mapInArrow(link, f"id {kind}, digest string, run long")
-    firsts = seen.groupBy("run").agg(F.min(F.struct("id", "digest")).alias("f"), F.count("*").alias("c")).where("c > 1")
-    pairs = seen.join(firsts.select("run", "f"), "run").where("f.id < id").select("digest", F.col("f.digest").alias("first")).distinct()
-    sides = pairs.join(lines.select(F.col("digest").alias("first"), F.col("h").alias("fh")), "first").join(lines.select("digest", "h", "w"), "digest")
+    return lines.select("id", "mark", "h", "w").mapInArrow(run, f"id {kind}, mark long, run long")
+
+
+def links(lines: DataFrame, min_words: int, block_words: int, rare: int) -> DataFrame:
+    """(id, mark, first, first_mark): the texts to align, each with an earlier document."""
+    seen = stored(runs(lines, min_words, block_words), "runs")
+    firsts = seen.groupBy("run").agg(F.min(F.struct("id", "mark")).alias("f"), F.count("*").alias("c")).where("c > 1")
+    firsts = stored(firsts, "first_holders")
+    to_first = seen.join(firsts.select("run", "f"), "run").select("id", "mark", "f")
+    # With two holders, the first one is the only partner.
+    few = firsts.where((F.col("c") > 2) & (F.col("c") <= rare) & (F.col("run").bitwiseAND(1) == 1)).select("run")
+    held = seen.where(F.col("run").bitwiseAND(1) == 1).join(few, "run").groupBy("run").agg(F.collect_list(F.struct("id", "mark")).alias("held"))
+    between = held.select(F.explode("held").alias("x"), "held").select("x.id", "x.mark", F.explode("held").alias("f"))
+    return to_first.unionAll(between).where("f.id < id").select("id", "mark", F.col("f.id").alias("first"), F.col("f.mark").alias("first_mark")).distinct()
+
+
+def cuts(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 3, block_words: int = 10, rare: int = 8) -> DataFrame:
+    """(id, digest, gone): line numbers to delete, for each distinct id and text that loses any."""
+    rows = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull())
+    rows = rows.select(F.col(key).alias("id"), F.sha2(text, 256).alias("digest"), F.col(text).alias("t"))
+    ids = stored(rows.select("id", "digest").distinct(), "ids")
+    # One representative a text: its smallest id. A copy, if there is one, is aligned with that id.
+    classes = ids.groupBy("digest").agg(F.min("id").alias("low"))
+    texts = rows.join(classes, (rows["digest"] == classes["digest"]) & (rows["id"] == classes["low"]), "left_semi").dropDuplicates(["digest"])
+    words = F.transform(F.split("t", "\n", -1), lambda x: count_words(x).cast("int"))
+    lines = texts.select("id", "digest", F.xxhash64("digest").alias("mark"), line_hashes(F.col("t")).alias("h"), words.alias("w"))
+    lines = stored(lines, "lines")
+    pairs = links(lines, min_words, block_words, rare)
+    earlier = lines.select(F.col("id").alias("first"), F.col("mark").alias("first_mark"), F.col("h").alias("fh"))
+    sides = pairs.join(earlier, ["first", "first_mark"]).join(lines.select("id", "mark", "digest", "h", "w"), ["id", "mark"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS_OUT):
                 part = batch.slice(start, ROWS_OUT)
                 digests, gone = [], []
-                for d, fh, h, w in zip(*(c.to_pylist() for c in part.columns)):
+                for d, *sides in zip(*part.columns):
+                    fh, h, w = (x.values.to_numpy(zero_copy_only=False) for x in sides)
                     found = common_lines(h, w, fh, block_words)
                     if found:
-                        digests.append(d)
+                        digests.append(d.as_py())
                         gone.append(found)
                 yield pa.RecordBatch.from_arrays([pa.array(digests, pa.string()), pa.array(gone, pa.list_(pa.int32()))], ["digest", "gone"])
 
@@ -230,7 +270,9 @@ def with_lines_left(docs: DataFrame, key: str = "doc_id", text: str = "text", **
     gone = cuts(docs, key, text, **how).toDF("its", "of", "gone")
     joined = docs.join(gone, (docs[key] == gone["its"]) & (F.sha2(docs[text], 256) == gone["of"]), "left")
     lines = F.split(docs[text], "\n", -1)
-    left = F.array_join(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda r: ~F.array_contains(gone["gone"], r["i"]))["x"], "\n")
+    # The lines are an argument of the outer function, so they are split once; the places left come from a hash set.
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone["gone"])
+    left = F.transform(F.array(lines), lambda x: F.array_join(F.transform(places, lambda i: F.get(x, i)), "\n"))[0]
     n_gone = F.coalesce(F.size(gone["gone"]), F.lit(0))
     out = F.struct(
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),

@@ -79,3 +79,44 @@ def test_run_hashes_follow_the_lines():
     for a, b, x in zip(starts, ends, line_dedup.run_hashes(lines, starts, ends).tolist()):
         assert known.setdefault(x, tuple(lines[a:b])) == tuple(lines[a:b])
     assert len(known) == len(set(known.values()))
+
+
+def aligned_with_all(texts: list[list[str]], k: int, block_words: int) -> set:
+    """Lines of text k that go when it is aligned with every earlier text."""
+    number = {x: n for n, x in enumerate(sorted({x for t in texts for x in t}))}
+    coded = [[number[x] for x in t] for t in texts]
+    words = [len(x.split()) for x in texts[k]]
+    found = {i for f in coded[:k] for a, b in line_dedup.patience(coded[k], f) if sum(words[a:b]) >= block_words for i in range(a, b)}
+    return found | held(texts, k, block_words)
+
+
+def test_few_texts_equal_alignment_with_all(spark):
+    """No line is in more than `rare` texts, so every two texts that share one are aligned."""
+    lines = [f"line {k} of five words" if k % 2 else f"line {k} is long and has some ten words in all" for k in range(9)]
+    for seed in range(4):
+        draw = random.Random(seed)
+        texts = [draw.sample(lines, draw.randint(2, 7)) for _ in range(8)]
+        texts = [t for k, t in enumerate(texts) if t not in texts[:k]]
+        rows = spark.createDataFrame([(k, "\n".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+        got = {r["id"]: set(r["gone"]) for r in line_dedup.cuts(rows).collect()}
+        assert got == {k: x for k in range(len(texts)) if (x := aligned_with_all(texts, k, 10))}
+
+
+def test_a_block_that_the_earlier_document_interrupts(spark):
+    """Both lines were seen before the document that holds them with a line between."""
+    one, two = "the first line has words", "the second line has words"
+    texts = [f"{one}\nown words here", f"other words here\n{two}", f"start\n{one}\nbetween them\n{two}\nend", f"late start\n{one}\n{two}\nlate end"]
+    assert left(spark, texts) == [*texts[:3], "late start\nlate end"]
+
+
+def test_very_many_equal_lines(spark):
+    import tracemalloc
+
+    tracemalloc.start()
+    later, first = [1, *[0] * 20_000, 2], [3, *[0] * 19_000, 4]
+    assert len(line_dedup.common_lines(later, [1] * len(later), first, 10)) == 20_000
+    assert tracemalloc.get_traced_memory()[1] < 200_000_000
+    tracemalloc.stop()
+    body = [f"line {k} stands here" for k in range(20_000)]
+    texts = ["\n".join(body), "\n".join(["one of its own", *body[:15_000], "and one more", *body[15_002:], "the end"])]
+    assert left(spark, texts) == [texts[0], "one of its own\nand one more\nthe end"]
