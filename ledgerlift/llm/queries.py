@@ -103,6 +103,53 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(rows, F.col("vec_id") % 100 == 0, n_positives=5, n_negatives=10, low_percent=30, high_percent=90)
 
 
+OP1_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN [w] ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) END AS s
+  FROM words WHERE len(w) > 0
+), classes AS (SELECT min(doc_id) AS rep, list_sort(s) AS s FROM sets GROUP BY ALL
+), items AS (SELECT rep, len(s) AS n, unnest(s) AS item FROM classes
+), coded AS (SELECT rep, n, hash(item) AS h FROM items
+), shared AS (
+  SELECT a.rep AS a, b.rep AS b, a.n AS na, b.n AS nb, count(*) AS i
+  FROM coded a JOIN coded b ON a.h = b.h AND a.rep < b.rep AND 80 * greatest(a.n, b.n) <= 100 * least(a.n, b.n) GROUP BY ALL
+), edges AS (SELECT a, b FROM shared WHERE 100 * i >= 80 * (na + nb - i)
+), steps AS (SELECT a, b FROM edges UNION ALL SELECT b, a FROM edges
+), reach AS (SELECT rep AS id, rep AS r FROM classes UNION SELECT reach.id, steps.b FROM reach JOIN steps ON reach.r = steps.a
+), least AS (SELECT id AS rep, min(r) AS component FROM reach GROUP BY id
+), found AS (
+  SELECT sets.doc_id, len(sets.s) AS n, component
+  FROM sets JOIN classes ON list_sort(sets.s) = classes.s JOIN least USING (rep)
+), every_row AS (
+  SELECT words.doc_id, coalesce(n, 0) AS n, coalesce(component, words.doc_id) AS component FROM words LEFT JOIN found USING (doc_id)
+)
+SELECT doc_id, max(n)::BIGINT AS n_shingles, min(component)::BIGINT AS component_id, doc_id = min(component) AS kept FROM every_row GROUP BY doc_id
+"""
+
+OP6_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(hex(encode(coalesce(text, '')))) // 2 AS n FROM documents
+), pieces AS (  -- of 128 bytes and the 49 after them, as strings are cut from short texts faster
+  SELECT k, doc_id, n, 128 * j AS low, substr(x, 256 * j + 1, 354) AS p FROM (SELECT *, unnest(range(0, (n + 127) // 128)) AS j FROM d)
+), places AS (SELECT k, doc_id, n, low, p, unnest(range(0, least(128, n - low))) AS o FROM pieces
+), strings AS (
+  SELECT k, doc_id, low + o AS i, substr(p, 2 * o + 1, 2) AS byte, CASE WHEN low + o + 50 <= n THEN md5_number(substr(p, 2 * o + 1, 100)) END AS s
+  FROM places
+), marked AS (SELECT *, s IS NOT NULL AND coalesce(min(doc_id) OVER (PARTITION BY s) < doc_id, false) AS again FROM strings
+), covered AS (SELECT k, i, byte, bool_or(again) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM marked
+), edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY k ORDER BY i), false) AS opens FROM covered
+), sums AS (
+  SELECT k, count_if(gone) AS n_removed, count_if(opens) AS n_spans, coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), '') AS kept
+  FROM edges GROUP BY k
+)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN sums USING (k)
+"""
+
 OP10_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
@@ -194,4 +241,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_block_topk": OP10_SQL, "op12_source_audit": OP12_SQL, "op13_hard_negatives": OP13_SQL}
+    return {"op1_minhash": OP1_SQL, "op6_passages": OP6_SQL, "op10_block_topk": OP10_SQL, "op12_source_audit": OP12_SQL, "op13_hard_negatives": OP13_SQL}
