@@ -1,46 +1,39 @@
-"""License scans: sparse TF-IDF cosine of lines to templates, then inheritance down the directories.
+"""License scans: sparse TF-IDF cosine of headers and license files to templates, then inheritance down the directories.
 
-Every line that speaks of a license is compared with every template: terms are weighed by their frequency in
-the line and their rarity over all texts, and the cosine comes from a join on terms, so only shared terms cost.
-A file's own license is that of its best line. A file whose license lines hold at least `file_share` of its words is
-the license file of its directory; files without a license of their own take that of the nearest directory above.
+Templates are short forms, notices and whole texts (`license_texts`). A file's candidates are its units (lines, and
+sentences of lines), its headers (runs of neighbouring units) and, if it is short, the file itself. No word opens the
+gate for them but the templates' own: of a template's terms, from the heaviest down, the first few are such that a
+candidate without any of them cannot reach the cosine asked for, so units without such a term are left out and no
+match is lost. Rarity is counted over all texts, and the cosine comes from a join on terms, so only shared
+terms cost. The license of a file is that of its best candidate. Short forms have a negated twin that names no license:
+what is nearest to that ("not released under the ...") has none.
+
+A file whose best candidate holds at least `file_share` of its words, or whose name is that of a license file, is the
+license file of its directory; files without a license of their own take that of the nearest directory above.
 
 Defined cases
-    * Null texts count as empty. Words are lower-cased runs of letters, digits, and dots inside.
-    * Ties between templates go to the smaller name; between license files of a directory to the higher score, then
-      the smaller path. A null path has no directory: it gives and inherits nothing.
-    * Rows that share an id and path are one file, with their best line. Empty tables give no rows.
+    * Null texts count as empty. Terms are lower-cased runs of letters, digits, and dots inside.
+    * A header is a run of units with a gate term, with at most `GAP` others between two of them.
+    * Ties between templates go to the smaller name, so to the negated one; between license files of a directory to the
+      higher score, then the smaller path. A null path has no directory: it gives and inherits nothing.
+    * Rows that share an id and path are one file, with their best candidate. Empty tables give no rows.
     * `scan` returns the key and its measures only, so other columns cannot clash.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlift.llm.common import count_words, stored
+from ledgerlift.llm.license_texts import forms
 
-# The notices that the licenses ask for, and the short forms in use.
-TEMPLATES = (
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, subject to the MIT license"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
-    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
-    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("GPL-3.0", "Licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License, version 3."),
-    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
-)
-ANCHOR = r"(?i)licen[sc]|copying|public domain|creative commons|spdx"
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
+UNIT_END = r"\n|(?<=[.!?;])[ \t]+"
+FILE_NAME = r"(?i)^(un)?licen[sc]es?([.-].*)?$|^copying([.-].*)?$"
+GAP = 2
+#: Files up to this length are compared whole; the longest template has some 200 words.
+WHOLE = 600
 
 
 def terms_of(text: Column) -> Column:
@@ -53,38 +46,80 @@ def parents(path: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
 
 
+def rarities(docs: DataFrame, text: str) -> DataFrame:
+    """(term, idf) of every term of all texts; partial counts for each map task."""
+    every = docs.select(F.explode(F.array_distinct(terms_of(F.coalesce(F.col(text), F.lit(""))))).alias("term"))
+    return stored(every.groupBy("term").agg(F.count("*").alias("df")), "rarities")
+
+
+def weight(tf: str, n_docs: int) -> Column:
+    """Frequency here by rarity over all texts; `df` is null for a term that no text has."""
+    rarity = F.log(F.lit(n_docs + 1.0) / (F.coalesce("df", F.lit(0)) + F.lit(1.0)))
+    return F.col(tf) * F.greatest(rarity, F.lit(0.01))
+
+
+def templates(spark: SparkSession, rare: DataFrame, n_docs: int) -> DataFrame:
+    """(form, name, term, w): the fixed forms, with unit length."""
+    rows = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(forms())], "form int, name string, line string")
+    terms = rows.select("form", "name", F.explode(terms_of(F.col("line"))).alias("term")).groupBy("form", "name", "term").agg(F.count("*").alias("tf"))
+    # The forms are fixed, so their terms are a bounded table.
+    known = rare.join(F.broadcast(terms.select("term").distinct()), "term")
+    weighed = terms.join(F.broadcast(known), "term", "left").withColumn("w", weight("tf", n_docs))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("form")))
+    return stored(weighed.select("form", "name", "term", (F.col("w") / norm).alias("w")), "templates")
+
+
+def gate_terms(model: DataFrame, least: float) -> list[str]:
+    """Terms of which a text needs one to reach the cosine with any form: the rest of each form weighs too little."""
+    rest = F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("form").orderBy(F.desc("w"), "term").rowsBetween(0, Window.unboundedFollowing))
+    return sorted(r["term"] for r in model.withColumn("rest", rest).where(F.col("rest") >= least * least - 1e-9).select("term").distinct().collect())
+
+
+def candidates(docs: DataFrame, path: Column, key: str, text: str, gate: list[str]) -> DataFrame:
+    """(id, path, n, found): each row's words and candidate texts."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    opens = F.array(*[F.lit(t) for t in gate])
+    rows = docs.select(F.col(key).alias("id"), path.alias("path"), count_words(body).alias("n"), body.alias("body"), F.split(body, UNIT_END, -1).alias("units"))
+    at = F.filter(F.transform("units", lambda u, k: F.when(F.arrays_overlap(terms_of(u), opens), k)), lambda k: k.isNotNull())
+    rows = rows.withColumn("at", at)
+    first = F.filter("at", lambda k, i: (i == 0) | (k - F.get("at", i - 1) > GAP + 1))
+    last = F.filter("at", lambda k, i: (i == F.size("at") - 1) | (F.get("at", i + 1) - k > GAP + 1))
+    rows = rows.withColumn("runs", F.arrays_zip(first.alias("first"), last.alias("last")))
+    headers = F.transform("runs", lambda r: F.array_join(F.slice("units", r["first"] + 1, r["last"] - r["first"] + 1), "\n"))
+    single = F.transform("at", lambda k: F.get("units", k))
+    whole = F.when((F.size("at") > 0) & (F.col("n") <= WHOLE), F.array("body")).otherwise(F.array().cast("array<string>"))
+    return rows.select("id", "path", "n", F.array_distinct(F.concat(single, headers, whole)).alias("found"))
+
+
+def nearest(lines: DataFrame, model: DataFrame, rare: DataFrame, n_docs: int, least: float) -> DataFrame:
+    """(line, best: (minus, name)) of distinct lines that reach the cosine; `minus` is the score below zero."""
+    counted = lines.select("line", F.explode(terms_of(F.col("line"))).alias("term")).groupBy("line", "term").agg(F.count("*").alias("tf"))
+    counted = stored(counted, "line_terms")
+    known = rare.join(counted.select("term").distinct(), "term")
+    x = counted.join(known, "term", "left").select("line", "term", weight("tf", n_docs).alias("x"))
+    norm = x.groupBy(F.col("line").alias("of")).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    dots = x.join(model, "term").groupBy("line", "form", "name").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
+    scored = dots.join(norm, F.col("line") == F.col("of")).select("line", "name", F.round(F.col("dot") / F.col("norm"), 9).alias("score"))
+    return scored.where(F.col("score") >= least).groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("minus"), "name")).alias("best"))
+
+
 def scan(docs: DataFrame, path: Column, key: str = "doc_id", text: str = "text", least: float = 0.6, file_share: float = 0.4) -> DataFrame:
     """(id, path, own, score, license, from_path): each file's own license, and the one it has or inherits."""
-    spark = docs.sparkSession
-    body = F.coalesce(F.col(text), F.lit(""))
-    files = stored(docs.select(F.col(key).alias("id"), path.alias("path"), count_words(body).alias("n"), F.filter(F.split(body, "\n", -1), lambda x: x.rlike(ANCHOR)).alias("lines")), "files")
-    # The same line is scored once, however many files have it.
-    lines = files.select(F.explode("lines").alias("line")).distinct()
-    lines = stored(lines.select("line", terms_of(F.col("line")).alias("t")), "lines")
-    model = spark.createDataFrame([(f"{n} {k}", n, t) for k, (n, t) in enumerate(TEMPLATES)], "form string, name string, line string")
-    model = model.select("form", "name", terms_of(F.col("line")).alias("t"))
-    in_lines = lines.select("line", F.explode("t").alias("term")).groupBy("line", "term").agg(F.count("*").alias("tf"))
-    in_forms = model.select("form", "name", F.explode("t").alias("term")).groupBy("form", "name", "term").agg(F.count("*").alias("tf"))
-    needed = in_lines.select("term").unionAll(in_forms.select("term")).distinct()
-    # Rarity over all texts: a partial count for each map task, then only the terms in use go on.
-    every = docs.select(F.explode(F.array_distinct(terms_of(body))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    n_docs = files.count()
-    rarity = F.log(F.lit(n_docs + 1.0) / (F.coalesce("df", F.lit(0)) + F.lit(1.0)))
-    idf = stored(needed.join(every, "term", "left").select("term", F.greatest(rarity, F.lit(0.01)).alias("idf")), "idf")
-    x = in_lines.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    y = in_forms.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm_x = x.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nx"))
-    norm_y = y.groupBy("form").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("ny"))
-    dots = x.select("line", "term", F.col("w").alias("wx")).join(y.select("form", "name", "term", F.col("w").alias("wy")), "term").groupBy("line", "form", "name").agg(F.sum(F.col("wx") * F.col("wy")).alias("dot"))
-    scored = dots.join(norm_x, "line").join(norm_y, "form").select("line", "name", F.round(F.col("dot") / (F.col("nx") * F.col("ny")), 9).alias("score"))
-    best = stored(scored.where(F.col("score") >= least).groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("minus"), "name")).alias("b")), "best")
-    found = files.select("id", "path", "n", F.explode("lines").alias("line")).join(best, "line")
-    held = found.groupBy("id", "path").agg(F.min("b").alias("b"), F.sum(count_words(F.col("line"))).alias("words"))
-    held = held.select(F.col("id").alias("its"), F.col("path").alias("at"), F.col("b.name").alias("own"), (-F.col("b.minus")).alias("score"), "words")
+    rare = rarities(docs, text)
+    n_docs = docs.count()
+    model = templates(docs.sparkSession, rare, n_docs)
+    files = stored(candidates(docs, path, key, text, gate_terms(model, least)), "files")
+    # The same candidate is scored once, however many files have it.
+    lines = files.select(F.explode("found").alias("line")).distinct()
+    best = stored(nearest(lines, model, rare, n_docs, least), "best").where("best.name <> ''")
+    found = files.select("id", "path", F.explode("found").alias("line")).join(best, "line")
+    held = found.groupBy("id", "path").agg(F.min(F.struct("best.minus", "best.name", (-count_words(F.col("line"))).alias("words"))).alias("b"))
+    held = held.select(F.col("id").alias("its"), F.col("path").alias("at"), F.col("b.name").alias("own"), (-F.col("b.minus")).alias("score"), (-F.col("b.words")).alias("words"))
     base = files.groupBy("id", "path").agg(F.sum("n").alias("n"))
     own = stored(base.join(held, F.col("id").eqNullSafe(F.col("its")) & F.col("path").eqNullSafe(F.col("at")), "left").select("id", "path", "n", "own", "score", "words"), "own")
     folder = F.element_at(parents(F.col("path")), -1)
-    givers = own.where(F.col("own").isNotNull() & F.col("path").isNotNull() & (F.col("words") >= file_share * F.col("n")))
+    is_file = (F.col("words") >= file_share * F.col("n")) | F.element_at(F.split("path", "/"), -1).rlike(FILE_NAME)
+    givers = own.where(F.col("own").isNotNull() & F.col("path").isNotNull() & is_file)
     givers = givers.groupBy(folder.alias("dir")).agg(F.min(F.struct((-F.col("score")).alias("minus"), F.col("path").alias("giver"), F.col("own").alias("name"))).alias("g"))
     # Each directory is resolved once; the files then join on their directory alone.
     dirs = own.where(F.col("path").isNotNull()).select(folder.alias("of"), F.slice(parents(F.col("path")), 1, F.size(F.split("path", "/"))).alias("up")).distinct()
