@@ -3,8 +3,8 @@
 Templates are short forms, notices and whole texts (`license_texts`). A file's candidates are its units (lines, and
 sentences of lines), its headers (runs of neighbouring units) and, if it is short, the file itself. No word opens the
 gate for them but the templates' own: of a template's terms, from the heaviest down, the first few are such that a
-candidate without any of them cannot reach the cosine asked for, so units without such a term are left out and no
-match is lost. Rarity is counted over all texts, and the cosine comes from a join on terms, so only shared
+candidate without any of them cannot reach the cosine asked for. Units with such a term, their runs and their files are
+candidates if they share enough of one template's weight to reach it; both bounds lose no match. Rarity is counted over all texts, and the cosine comes from a join on terms, so only shared
 terms cost. The license of a file is that of its best candidate. Short forms have a negated twin that names no license:
 what is nearest to that ("not released under the ...") has none.
 
@@ -22,17 +22,21 @@ Defined cases
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import count_words, stored
+from ledgerlift.llm.common import count_words, stored, text_slices
 from ledgerlift.llm.license_texts import forms
 
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
 UNIT_END = r"\n|(?<=[.!?;])[ \t]+"
 FILE_NAME = r"(?i)^(un)?licen[sc]es?([.-].*)?$|^copying([.-].*)?$"
 GAP = 2
-#: Files up to this length are compared whole; the longest template has some 200 words.
+#: Files of up to so many terms are compared whole; the longest template has some 200 words.
 WHOLE = 600
 
 
@@ -75,20 +79,45 @@ def gate_terms(model: DataFrame, least: float) -> list[str]:
     return sorted(r["term"] for r in model.withColumn("rest", rest).where(F.col("rest") >= least * least - 1e-9).select("term").distinct().collect())
 
 
-def candidates(docs: DataFrame, path: Column, key: str, text: str, gate: list[str]) -> DataFrame:
-    """(id, path, n, found): each row's words and candidate texts."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    opens = F.array(*[F.lit(t) for t in gate])
-    rows = docs.select(F.col(key).alias("id"), path.alias("path"), count_words(body).alias("n"), body.alias("body"), F.split(body, UNIT_END, -1).alias("units"))
-    at = F.filter(F.transform("units", lambda u, k: F.when(F.arrays_overlap(terms_of(u), opens), k)), lambda k: k.isNotNull())
-    rows = rows.withColumn("at", at)
-    first = F.filter("at", lambda k, i: (i == 0) | (k - F.get("at", i - 1) > GAP + 1))
-    last = F.filter("at", lambda k, i: (i == F.size("at") - 1) | (F.get("at", i + 1) - k > GAP + 1))
-    rows = rows.withColumn("runs", F.arrays_zip(first.alias("first"), last.alias("last")))
-    headers = F.transform("runs", lambda r: F.array_join(F.slice("units", r["first"] + 1, r["last"] - r["first"] + 1), "\n"))
-    single = F.transform("at", lambda k: F.get("units", k))
-    whole = F.when((F.size("at") > 0) & (F.col("n") <= WHOLE), F.array("body")).otherwise(F.array().cast("array<string>"))
-    return rows.select("id", "path", "n", F.array_distinct(F.concat(single, headers, whole)).alias("found"))
+def candidates(docs: DataFrame, path: Column, key: str, text: str, model: DataFrame, least: float) -> DataFrame:
+    """(id, path, n, found): each row's words and the candidate texts that share enough of a form's weight."""
+    gate = frozenset(gate_terms(model, least))
+    # The forms are fixed, so this is a bounded table.
+    forms_of: dict[str, list[tuple[int, float]]] = {}
+    for r in model.collect():
+        forms_of.setdefault(r["term"], []).append((r["form"], r["w"] ** 2))
+    terms, ends = re.compile(TERM), re.compile(UNIT_END)
+    needed = least * least - 1e-9
+
+    def reaches(found: set[str]) -> bool:
+        """By Cauchy's inequality no cosine is above the root of the form's weight that is shared."""
+        shared: dict[int, float] = {}
+        for term in found.intersection(forms_of):
+            for form, w in forms_of[term]:
+                shared[form] = shared.get(form, 0.0) + w
+        return max(shared.values(), default=0.0) >= needed
+
+    def candidates_of(body: str) -> list[str]:
+        units = ends.split(body)
+        sets = [terms.findall(u.lower()) for u in units]
+        at = [k for k, found in enumerate(sets) if not gate.isdisjoint(found)]
+        if not at:
+            return []
+        heads = [i for i, k in enumerate(at) if i == 0 or k - at[i - 1] > GAP + 1]
+        spans = [(at[i], at[j - 1] + 1) for i, j in zip(heads, [*heads[1:], len(at)])]
+        spans += [(k, k + 1) for k in at]
+        if sum(map(len, sets)) <= WHOLE:
+            spans.append((0, len(units)))
+        return list(dict.fromkeys("\n".join(units[a:b]) for a, b in spans if reaches(set().union(*sets[a:b]))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "body"):
+                found = [candidates_of(t) if t else [] for t in part.column("body").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(found, pa.list_(pa.string()))], ["id", "path", "n", "found"])
+
+    rows = docs.select(F.col(key).alias("id"), path.alias("path"), count_words(F.col(text)).alias("n"), F.col(text).alias("body"))
+    return rows.mapInArrow(run, f"id {docs.schema[key].dataType.simpleString()}, path string, n long, found array<string>")
 
 
 def nearest(lines: DataFrame, model: DataFrame, rare: DataFrame, n_docs: int, least: float) -> DataFrame:
@@ -108,7 +137,7 @@ def scan(docs: DataFrame, path: Column, key: str = "doc_id", text: str = "text",
     rare = rarities(docs, text)
     n_docs = docs.count()
     model = templates(docs.sparkSession, rare, n_docs)
-    files = stored(candidates(docs, path, key, text, gate_terms(model, least)), "files")
+    files = stored(candidates(docs, path, key, text, model, least), "files")
     # The same candidate is scored once, however many files have it.
     lines = files.select(F.explode("found").alias("line")).distinct()
     best = stored(nearest(lines, model, rare, n_docs, least), "best").where("best.name <> ''")
