@@ -120,9 +120,15 @@ def candidates(docs: DataFrame, path: Column, key: str, text: str, model: DataFr
     return rows.mapInArrow(run, f"id {docs.schema[key].dataType.simpleString()}, path string, n long, found array<string>")
 
 
+def digest(line: Column) -> Column:
+    """Two 64-bit hashes stand for a candidate wherever only its identity counts, as it may be a whole file."""
+    return F.struct(F.xxhash64(line), F.xxhash64(line, F.lit(7)))
+
+
 def nearest(lines: DataFrame, model: DataFrame, rare: DataFrame, n_docs: int, least: float) -> DataFrame:
-    """(line, best: (minus, name)) of distinct lines that reach the cosine; `minus` is the score below zero."""
-    counted = lines.select("line", F.explode(terms_of(F.col("line"))).alias("term")).groupBy("line", "term").agg(F.count("*").alias("tf"))
+    """(line, best: (minus, name)) of distinct (line, text) that reach the cosine; `minus` is the score below zero."""
+    # Texts are taken apart before the shuffle: their terms go on, beside the digest.
+    counted = lines.select("line", F.explode(terms_of(F.col("text"))).alias("term")).groupBy("line", "term").agg(F.count("*").alias("tf"))
     counted = stored(counted, "line_terms")
     known = rare.join(counted.select("term").distinct(), "term")
     x = counted.join(known, "term", "left").select("line", "term", weight("tf", n_docs).alias("x"))
@@ -139,10 +145,11 @@ def scan(docs: DataFrame, path: Column, key: str = "doc_id", text: str = "text",
     model = templates(docs.sparkSession, rare, n_docs)
     files = stored(candidates(docs, path, key, text, model, least), "files")
     # The same candidate is scored once, however many files have it.
-    lines = files.select(F.explode("found").alias("line")).distinct()
+    lines = files.select(F.explode("found").alias("text")).select(digest(F.col("text")).alias("line"), "text").groupBy("line").agg(F.first("text").alias("text"))
     best = stored(nearest(lines, model, rare, n_docs, least), "best").where("best.name <> ''")
-    found = files.select("id", "path", F.explode("found").alias("line")).join(best, "line")
-    held = found.groupBy("id", "path").agg(F.min(F.struct("best.minus", "best.name", (-count_words(F.col("line"))).alias("words"))).alias("b"))
+    found = files.select("id", "path", F.explode("found").alias("text"))
+    found = found.select("id", "path", digest(F.col("text")).alias("line"), (-count_words(F.col("text"))).alias("words")).join(best, "line")
+    held = found.groupBy("id", "path").agg(F.min(F.struct("best.minus", "best.name", "words")).alias("b"))
     held = held.select(F.col("id").alias("its"), F.col("path").alias("at"), F.col("b.name").alias("own"), (-F.col("b.minus")).alias("score"), (-F.col("b.words")).alias("words"))
     base = files.groupBy("id", "path").agg(F.sum("n").alias("n"))
     own = stored(base.join(held, F.col("id").eqNullSafe(F.col("its")) & F.col("path").eqNullSafe(F.col("at")), "left").select("id", "path", "n", "own", "score", "words"), "own")

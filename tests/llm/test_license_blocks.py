@@ -82,9 +82,10 @@ def test_no_match_is_lost_by_the_gate(spark):
     docs = table(spark)
     rare = licenses.rarities(docs, "text")
     model = licenses.templates(spark, rare, len(rows))
-    found = licenses.candidates(docs, F.col("at"), "doc_id", "text", model, 0.6).select("id", F.explode("found").alias("line"))
-    best = licenses.nearest(found.select("line").distinct(), model, rare, len(rows), 0.6)
-    got = {(r["id"], r["line"]): (r["best"]["name"], round(-r["best"]["minus"], 6)) for r in found.join(best, "line").collect()}
+    found = licenses.candidates(docs, F.col("at"), "doc_id", "text", model, 0.6).select("id", F.explode("found").alias("text"))
+    found = found.withColumn("line", licenses.digest(F.col("text")))
+    best = licenses.nearest(found.select("line", "text").distinct(), model, rare, len(rows), 0.6)
+    got = {(r["id"], r["text"]): (r["best"]["name"], round(-r["best"]["minus"], 6)) for r in found.join(best, "line").collect()}
     assert len(wanted) > 8 and {k: got.get(k) for k in wanted} == wanted
 
 
