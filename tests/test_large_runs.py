@@ -20,11 +20,15 @@ def exchanged(text: str) -> list[str]:
     return re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
 
 
-def test_payloads_of_the_latest_are_not_shuffled(workspace):
-    taken = exchanged(plan(latest_filings(workspace.filings())))
-    assert taken and not any("naeringsspesifikasjon#" in columns for columns in taken)
-    taken = exchanged(plan(latest_with_accounts(workspace.filings())))
-    assert taken and not any("naeringsspesifikasjon#" in columns for columns in taken)
+def test_payloads_of_the_latest_are_not_shuffled(spark, workspace):
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the headers were many
+    try:
+        for rule in (latest_filings, latest_with_accounts):
+            taken = exchanged(plan(rule(workspace.filings())))
+            assert taken and not any("naeringsspesifikasjon#" in columns for columns in taken)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
 
 
 def test_kept_by_bits_as_by_a_join(spark):
