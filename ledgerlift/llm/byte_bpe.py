@@ -2,10 +2,11 @@
 
 Encoding. A sequence of tokens is the BPE encoding of its bytes exactly if each neighbouring pair is the
 encoding of its own bytes, so the encoding of every prefix is found from shorter prefixes: its last token is
-the one whose pair with the token before it holds. The transducer reads a byte at a time. Its state is the
-last settled token and the bytes that are still open; an open boundary dies when no vocabulary entry can
-continue from it, and tokens on which all live boundaries agree are emitted. Lookahead is therefore bounded
-by the longest entry. States and transitions are made when first needed and kept for the life of the worker.
+the one whose pair with the token before it holds. The transducer reads a byte at a time. Its state is what it
+has read last, as far as a vocabulary entry can still continue from it, so there are no more states than
+beginnings of entries; a move names the entries that end with its byte. The last tokens of the prefixes that end
+inside the open bytes are its registers, as they depend on the tokens before. In a long piece, tokens on which all open
+boundaries agree are emitted, so registers are bounded. States and moves are made when first needed and kept for the life of the worker.
 
 Texts come a slice at a time. Between single spaces they fall apart into stretches that are split by
 themselves, so the distinct stretches of a slice are encoded and their ids gathered for every text.
@@ -40,6 +41,7 @@ STATES_KEPT = 250_000
 PIECES_KEPT = 200_000
 ROWS_OUT = 512
 LONG_TEXT = 1_000_000
+SETTLED_EVERY = 4096
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -63,10 +65,9 @@ class Transducer:
         self._forget()
 
     def _forget(self) -> None:
-        self.states: list[tuple[int, bytes, list]] = [(-1, b"", [-1])]
-        self.number: dict[tuple[int, bytes], int] = {(-1, b""): 0}
+        self.states: list[bytes] = [b""]
+        self.number: dict[bytes, int] = {b"": 0}
         self.moves: dict[int, tuple[int, tuple]] = {}
-        self.ends: dict[int, tuple] = {}
 
     def _rebuild(self, entry: bytes, rank: int) -> bool:
         """Merge the bytes of one entry, lowest rank first, leftmost among equals; notes the last merge."""
@@ -111,50 +112,18 @@ class Transducer:
                 before, right = right + 1, b[0]
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple]:
-        settled, pending, lasts = self.states[state]
-        pending, built, prefixes, size = pending + bytes((byte,)), self.built, self.prefixes, self.size
-        found, live, n = None, [], len(lasts)
-        for i, last in enumerate(lasts):
-            if last is not None:
-                rest = pending[i:]
-                if found is None:
-                    token = built.get(rest)
-                    if token is not None and self.holds(last, token):
-                        found = token
-                if rest in prefixes:
-                    live.append(i)
-        if found is None:
+        """The next state, and the entries that end with this byte, longest first."""
+        read, built, prefixes = self.states[state] + bytes((byte,)), self.built, self.prefixes
+        n = len(read)
+        ends = tuple([(built[read[i:]], n - i) for i in range(n) if read[i:] in built])
+        if not ends:
             raise ValueError("the vocabulary lacks a byte")
-        emitted: tuple = ()
-        if live and not live[0]:
-            lasts = [*lasts, found]
-        else:
-            # Boundaries on the way from the settled one to the end, then where each live one joins that way.
-            lasts = [*lasts, found]
-            way, at = [n], n - size[found]
-            while at > 0:
-                way.append(at)
-                at -= size[lasts[at]]
-            if live:
-                way.append(0)
-                on_way, needed, shared = set(way), set(way), n
-                for at in live:
-                    while at not in on_way:
-                        needed.add(at)
-                        at -= size[lasts[at]]
-                    shared = min(shared, at)
-                lasts = [x if i in needed else None for i, x in enumerate(lasts)]
-            else:
-                shared = n
-            if shared:
-                emitted = tuple([lasts[b] for b in reversed(way) if 0 < b <= shared])
-                settled, pending, lasts = lasts[shared], pending[shared:], lasts[shared:]
-        states, key = self.states, (settled, pending)
-        to = self.number.get(key)
+        left = next((read[i:] for i in range(n) if read[i:] in prefixes), b"")
+        to = self.number.get(left)
         if to is None:
-            to = self.number[key] = len(states)
-            states.append((settled, pending, lasts))
-        self.moves[state << 8 | byte] = move = (to, emitted)
+            to = self.number[left] = len(self.states)
+            self.states.append(left)
+        self.moves[state << 8 | byte] = move = (to, ends)
         return move
 
     def _path(self, lasts: list, to: int) -> list[int]:
@@ -165,10 +134,14 @@ class Transducer:
             to -= self.size[lasts[to]]
         return out[::-1]
 
-    def _end(self, state: int) -> tuple:
-        _, pending, lasts = self.states[state]
-        self.ends[state] = end = tuple(self._path(lasts, len(pending)))
-        return end
+    def _agreed(self, lasts: list, live: int) -> int:
+        """The last boundary on the ways to all of the last `live` + 1 boundaries."""
+        ways, size = set(range(len(lasts) - 1 - live, len(lasts))), self.size
+        while len(ways) > 1:
+            at = max(ways)
+            ways.remove(at)
+            ways.add(at - size[lasts[at]])
+        return ways.pop()
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -177,27 +150,44 @@ class Transducer:
         if len(self.moves) > STATES_KEPT:
             self._forget()
         out: list[int] = []
-        state, known = 0, self.moves.get
-        for byte in piece:
-            state, emitted = known(state << 8 | byte) or self._move(state, byte)
-            if emitted:
-                out += emitted
-        end = self.ends.get(state)
-        out += self._end(state) if end is None else end
-        return out
+        state, known, lasts, at, pairs = 0, self.moves.get, [-1], 0, self.pairs.get
+        for start in range(0, len(piece), SETTLED_EVERY):
+            if start:
+                shared = self._agreed(lasts, len(self.states[state]))
+                out += self._path(lasts, shared)
+                lasts = lasts[shared:]
+                at -= shared
+            for byte in piece[start : start + SETTLED_EVERY]:
+                state, ends = known(state << 8 | byte) or self._move(state, byte)
+                at += 1
+                for token, n in ends:
+                    last = lasts[at - n]
+                    if last < 0:
+                        break
+                    holds = pairs(last << 32 | token)
+                    if holds or (holds is None and self.holds(last, token)):
+                        break
+                else:
+                    raise ValueError("no entry continues the encoding")
+                lasts.append(token)
+        return out + self._path(lasts, at)
 
 
 class _Kept(dict):
-    """Packed ids of a text, kept while there is room."""
+    """Packed ids of a text, kept while there is room; what was not asked for since half of the room was filled goes first."""
 
     def __init__(self, make, most: int, longest: int):
         super().__init__()
         self.make, self.most, self.longest = make, most, longest
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, text: str) -> bytes:
-        ids = self.make(text)
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.make(text)
         if len(text) <= self.longest:
-            if len(self) >= self.most:
+            if len(self) >= self.most // 2:
+                self.older = dict(self)
                 self.clear()
             self[text] = ids
         return ids
