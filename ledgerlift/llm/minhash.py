@@ -9,7 +9,7 @@ prior) that its similarity reaches the threshold is below `miss`. What survives
 A bucket is not expanded into all its pairs: each round compares the members that are outside the component
 of the bucket's pivot with that pivot, then relabels; a bucket whose members are all in one component is
 done. What `rounds` pivots leave open is compared across components inside the buckets: members are dealt into
-blocks of bounded size, a task compares two blocks by MinHashes and then by full sets, each pair in the first
+blocks of bounded size, a task compares two blocks by MinHashes and then by full sets, made from the texts when first needed, each pair in the first
 bucket it shares, and only links come out of it, at most one a member and pair of blocks. So no link between components is lost,
 a large group of near copies costs a row a member, and a large bucket of documents that are similar, but not
 enough so, costs comparisons and no rows.
@@ -142,16 +142,39 @@ def plausible(pairs: DataFrame, n: int, threshold: float, miss: float, batch_row
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def open_links(members: DataFrame, known: DataFrame, n: int, share: tuple[int, int], miss: float, block: int = 1024, room: int = 4_000_000) -> DataFrame:
+def confirmed(pairs: DataFrame, width: int, share: tuple[int, int]) -> DataFrame:
+    """(a, b) of the pairs (a, b, x, y), x and y their texts, whose full sets are as similar as asked for. Texts pack better than sets."""
+    over, under = share
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_OUT):
+                part, known = batch.slice(start, ROWS_OUT), {}  # sets of one slice: a pivot's text comes many times
+                linked = []
+                for two in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
+                    for t in two:
+                        if t not in known:
+                            known[t] = shingle_set(t, width)
+                    x, y = known[two[0]], known[two[1]]
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    linked.append(common > 0 and under * common >= over * (len(x) + len(y) - common))
+                yield pa.RecordBatch.from_arrays([part.column(k).filter(pa.array(linked)) for k in (0, 1)], ["a", "b"])
+
+    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def open_links(
+    members: DataFrame, known: DataFrame, n: int, share: tuple[int, int], miss: float, block: int = 1024, room: int = 4_000_000, width: int = 0
+) -> DataFrame:
     """(a, b): links between members (bucket, rep, n, comp) of one bucket, across components, as far as they join any.
 
     `known` has (rep, sig, keys, what): a byte of each MinHash, all buckets in the order of the bands, the full
-    set. Unequal MinHashes may look equal by one byte, which rules out no pair. A block has about `block`
-    members and `room` shingles.
+    set, or with `width` the text. Unequal MinHashes may look equal by one byte, which rules out no pair. A block has
+    about `block` members and `room` shingles, or what the members have in `load`.
     """
     over, under = share
     floor = least_equal(n, over / under, miss)
-    sizes = members.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / room)).cast("int").alias("blocks"))
+    sizes = members.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("load" if "load" in members.columns else "n") / room)).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("rep", "bucket"), "blocks").cast("int")
     placed = members.join(sizes, "bucket").join(known, "rep").withColumn("own", own)
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("x"), F.greatest("own", o).alias("y")))
@@ -164,8 +187,13 @@ def open_links(members: DataFrame, known: DataFrame, n: int, share: tuple[int, i
         rep, size, comp, own = (part[c].to_numpy() for c in ("rep", "n", "comp", "own"))
         rows = np.frombuffer(b"".join(part["sig"].to_pylist()), np.uint8).reshape(-1, n)
         keys = np.frombuffer(b"".join(part["keys"].to_pylist()), np.dtype(">i8")).reshape(len(rows), -1)
-        lengths = part["what"].combine_chunks().value_lengths().to_numpy()
-        whole = np.split(part["what"].combine_chunks().flatten().to_numpy(), np.cumsum(lengths)[:-1])
+        what, sets_made = part["what"], {}
+
+        def whole(i: int) -> np.ndarray:
+            if i not in sets_made:
+                sets_made[i] = shingle_set(what[i].as_py(), width) if width else what[i].values.to_numpy()
+            return sets_made[i]
+
         first_here = (keys == bucket).argmax(axis=1)
         group = comp.copy()  # components, joined as links are found
         links = []
@@ -178,8 +206,8 @@ def open_links(members: DataFrame, known: DataFrame, n: int, share: tuple[int, i
             js = js[shared.argmax(axis=1) == first_here[i]]
             for j in js:
                 if group[j] != group[i]:
-                    common = len(np.intersect1d(whole[i], whole[j], assume_unique=True))
-                    if under * common >= over * (len(whole[i]) + len(whole[j]) - common):
+                    common = len(np.intersect1d(whole(i), whole(j), assume_unique=True))
+                    if common > 0 and under * common >= over * (len(whole(i)) + len(whole(j)) - common):
                         links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
                         group[group == group[j]] = group[i]
         a, b = np.array(links, np.int64).reshape(-1, 2).T
@@ -216,22 +244,21 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
     many = buckets.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
     buckets = stored(buckets.join(many, "bucket"), "buckets")
     sizes_fit = F.lit(over) * F.greatest("n_a", "n_b") <= F.lit(under) * F.least("n_a", "n_b")
+    # Only classes that share a bucket are compared: from here on their MinHashes and texts alone are moved.
+    met = buckets.select("rep").distinct()
+    classes = stored(classes.join(met, "rep", "left_semi"), "met")
+    texts = texts.join(met, F.col("id") == F.col("rep"), "left_semi").dropDuplicates(["id", "text"])
+    texts = stored(texts.select("id", "text", F.octet_length("text").alias("bytes")), "texts")
     sigs = classes.select("rep", "sig")
     packed = F.concat(*[F.unhex(F.lpad(F.hex(cut), 16, "0")) for cut in cuts]).alias("keys")
     short = classes.select("rep", F.concat(*[F.substring("sig", 4 * k + 1, 1) for k in range(bands * band_rows)]).alias("sig"), packed)
 
-    def full_sets(named: DataFrame) -> DataFrame:
-        full = sets(texts.join(named, F.col("id") == F.col("its"), "left_semi"), "id", "text", width)
-        return stored(full.dropDuplicates(["id", "print"]).select("id", "what", "n"), "full")
-
     def verify(pairs: DataFrame) -> DataFrame:
         signed_pairs = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
         left = stored(plausible(signed_pairs, bands * band_rows, over / under, miss), "plausible")
         named = left.select(F.col("a").alias("its")).unionAll(left.select("b")).distinct()
-        full = full_sets(named)
-        both = left.join(full.toDF("a", "x", "p"), "a").join(full.toDF("b", "y", "q"), "b")
-        inter = F.size(F.array_intersect("x", "y"))
-        return both.select("a", "b", "p", "q", inter.alias("i")).where(under * F.col("i") >= over * (F.col("p") + F.col("q") - F.col("i"))).select("a", "b")
+        its_texts = texts.join(named, F.col("id") == F.col("its"), "left_semi").select("id", "text")
+        return confirmed(left.join(its_texts.toDF("a", "x"), "a").join(its_texts.toDF("b", "y"), "b"), width, share)
 
     edges, labels, compared = None, None, None
     for turn in range(rounds + 1):
@@ -253,10 +280,14 @@ def links_of(classes: DataFrame, texts: DataFrame, width: int, bands: int, band_
             compared = pairs if compared is None else compared.unionAll(pairs)
             found = stored(verify(pairs), "edges")
         else:
-            open_ = stored(members.join(mixed.select("bucket"), "bucket"), "open")
-            full = full_sets(open_.select(F.col("rep").alias("its")).distinct())
-            known = short.join(full.select(F.col("id").alias("rep"), "what"), "rep")
-            found = stored(open_links(open_, known, bands * band_rows, share, miss).distinct(), "edges")
+            # an id with several texts has as many rows here, as below
+            long_texts = texts.groupBy(F.col("id").alias("rep")).agg(F.ceil(F.sum("bytes") / 8).alias("load"))
+            open_ = members.join(mixed.select("bucket"), "bucket").join(long_texts, "rep")
+            open_ = stored(open_.select("bucket", "rep", "n", "comp", F.greatest("n", "load").alias("load")), "open")
+            named = open_.select(F.col("rep").alias("its")).distinct()
+            its_texts = texts.join(named, F.col("id") == F.col("its"), "left_semi").select(F.col("id").alias("rep"), F.col("text").alias("what"))
+            known = short.join(named, F.col("rep") == F.col("its"), "left_semi").join(its_texts, "rep")
+            found = stored(open_links(open_, known, bands * band_rows, share, miss, width=width).distinct(), "edges")
         if edges is not None and found.isEmpty():
             continue
         edges = found if edges is None else edges.unionAll(found)
@@ -279,8 +310,9 @@ def groups(
     texts = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     rows = stored(sets(texts, "id", "text", width, bands * band_rows), "sets")
     least = rows.where("n > 0").groupBy("print").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
-    signed = least.join(rows.select(F.col("id").alias("rep"), F.col("print").alias("its"), F.col("what").alias("sig")), "rep").where("print = its")
-    classes = stored(signed.select("rep", "n", "sig").dropDuplicates(["rep", "sig"]), "classes")
+    # one exchange: the join's keys are those that duplicates are found by
+    signed = least.join(rows.select(F.col("id").alias("rep"), "print", F.col("what").alias("sig")), ["rep", "print"])
+    classes = stored(signed.dropDuplicates(["rep", "print"]).select("rep", "n", "sig"), "classes")
     found = links_of(classes, texts, width, bands, band_rows, share, miss, rounds)
     ids = rows.select("id", "n", "print").join(least.select("print", "rep"), "print", "left")
     return (
