@@ -21,8 +21,8 @@ Defined cases
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +50,12 @@ _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _SIGNS = {b: chr(b) for b in _PRINTED} | {b: chr(0x100 + k) for k, b in enumerate(x for x in range(256) if x not in _PRINTED)}
 # the letters of the Latin range, and what their lower case is: some of it lies beyond
 _LATIN = {ord(x) for c in range(0x80, 0x250) for x in chr(c) + chr(c).lower() if ord(x) >= 0x80}
-BYTE_SIGNS = {c: "".join(_SIGNS[b] for b in chr(c).encode()) for c in _LATIN}
+BYTE_SIGNS = {c: chr(c) for c in range(0x21, 0x7F)} | {c: "".join(_SIGNS[b] for b in chr(c).encode()) for c in _LATIN}
+
+
+def listed(values: pa.Array) -> list:
+    """Python values of an array without nulls; `to_pylist` makes a scalar object for each."""
+    return values.to_numpy(zero_copy_only=False).tolist()
 
 
 def split_marks(words: pa.Array) -> pa.Array:
@@ -72,19 +77,21 @@ class Runs:
         self.place: dict[str, int] = {}
         self.flat, self.starts, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def missing(self, strings: list[str]) -> list[str]:
-        return [s for s in strings if s not in self.place]
+    def places(self, strings: list[str], learn: Callable[[list[str]], None]) -> np.ndarray:
+        """Numbers of the runs of these distinct strings; those not met before are given to `learn`, which has to add them in their order."""
+        at = np.fromiter(map(self.place.get, strings, repeat(-1)), np.int64, len(strings))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            first = len(self.starts)
+            learn([strings[k] for k in new.tolist()])
+            at[new] = np.arange(first, first + len(new))
+        return at
 
     def add(self, strings: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         self.place.update(zip(strings, range(len(self.starts), len(self.starts) + len(strings))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
         self.lengths, self.flat = np.concatenate([self.lengths, lengths]), np.concatenate([self.flat, ids])
 
-    def of(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and lengths of known strings."""
-        at = np.fromiter(map(self.place.__getitem__, strings), np.int64, len(strings))
-        return self.starts[at], self.lengths[at]
-
 
 class WordEncoder:
     def __init__(self, path: str):
@@ -97,21 +104,25 @@ class WordEncoder:
     def _tokens(self, parts: list[str]) -> list[list[int]]:
         """Ids of each part. One run of Latin letters or of marks is one word to the vocabulary's pattern, so its
         merges alone are asked; all else goes through the whole tokenizer."""
-        plain = pc.match_substring_regex(pa.array(parts, pa.string()), f"^(?:[{LETTER}]+|[{MARK}]+)$").to_pylist()
+        plain = listed(pc.match_substring_regex(pa.array(parts, pa.string()), f"^(?:[{LETTER}]+|[{MARK}]+)$"))
         merges = self.tokenizer.model.tokenize
         others = [p for p, is_plain in zip(parts, plain) if not is_plain]
         rest = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
-        return [[t.id for t in merges(p.lower().translate(BYTE_SIGNS))] if is_plain else next(rest).ids for p, is_plain in zip(parts, plain)]
+        # ASCII letters were lowered before, and are their own signs
+        return [
+            [t.id for t in merges(p if p.isascii() else p.lower().translate(BYTE_SIGNS))] if is_plain else next(rest).ids
+            for p, is_plain in zip(parts, plain)
+        ]
+
+    def _learn_parts(self, new: list[str]) -> None:
+        ids = self._tokens(new)
+        self.parts.add(new, np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
 
     def _learn(self, words: list[str]) -> None:
         lists = split_marks(pa.array(words, pa.string()))
         flat = lists.flatten().dictionary_encode()
-        parts = flat.dictionary.to_pylist()
-        new = self.parts.missing(parts)
-        if new:
-            ids = self._tokens(new)
-            self.parts.add(new, np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
-        starts, lengths = (x[flat.indices.to_numpy()] for x in self.parts.of(parts))
+        at = self.parts.places(listed(flat.dictionary), self._learn_parts)[flat.indices.to_numpy()]
+        starts, lengths = self.parts.starts[at], self.parts.lengths[at]
         edges = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         sums = np.concatenate([[0], np.cumsum(lengths)])[edges]
         self.words.add(words, gather(self.parts.flat, starts, lengths), np.diff(sums))
@@ -122,9 +133,8 @@ class WordEncoder:
             self.words, self.parts = Runs(), Runs()
         lists = pc.ascii_split_whitespace(texts)
         flat = pc.list_flatten(lists).dictionary_encode()
-        known = flat.dictionary.to_pylist()
-        self._learn(self.words.missing(known))
-        starts, lengths = (x[flat.indices.to_numpy()] for x in self.words.of(known))
+        at = self.words.places(listed(flat.dictionary), self._learn)[flat.indices.to_numpy()]
+        starts, lengths = self.words.starts[at], self.words.lengths[at]
         rows = pc.list_parent_indices(lists).to_numpy()
         sizes = np.bincount(rows, weights=lengths, minlength=len(texts)).astype(np.int64)
         ids = gather(self.words.flat, starts, lengths)
