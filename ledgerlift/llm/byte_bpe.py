@@ -36,7 +36,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlift.llm.common import text_slices
+from ledgerlift.llm.common import stored, text_slices
 
 STATES_KEPT = 250_000
 PAIRS_KEPT = 500_000
@@ -501,7 +501,11 @@ def _shared(df: DataFrame, path: str):
 
 
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids) for every row; ids as packed unsigned 32-bit numbers, without special tokens."""
+    """(key, ids) for every row, stored; ids as packed unsigned 32-bit numbers, without special tokens.
+
+    Whatever comes next starts in a stage of its own. Two Python steps in one stage take two workers a core, which
+    change places from task to task, so that in the end all of them hold an encoder.
+    """
     lines = _shared(docs, path)
     kept = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
@@ -519,7 +523,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
             pa.default_memory_pool().release_unused()
 
     kind = docs.schema[key].dataType.simpleString()
-    return kept.mapInArrow(run, f"`{key}` {kind}, ids binary")
+    return stored(kept.mapInArrow(run, f"`{key}` {kind}, ids binary"), "ids")
 
 
 def decode(tokens: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
