@@ -7,6 +7,7 @@ from pathlib import Path
 import pyarrow.parquet as pq
 
 from ledgerlift import session
+from ledgerlift.operators import forestry
 from ledgerlift.plans import pipeline
 from ledgerlift.plans.workspace import Workspace
 
@@ -48,3 +49,10 @@ def test_a_run_leaves_its_results_only(spark, small, monkeypatch, tmp_path):
     assert {p.name for p in Path(session.scratch_root(spark)).iterdir()} == there
     snapshot = pipeline.stamped_path(str(tmp_path / "out"), pipeline.SNAPSHOT_PREFIX, at)
     assert pq.ParquetFile(_files(snapshot)[0]).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_rows_are_made_once_for_an_order(workspace):
+    """The pass that finds the ranges of a sort reads stored rows; it does not open the records again."""
+    for ordered in (forestry.accounts(workspace.filings()), forestry.fund(workspace.filings(), per_account=True)):
+        tree = ordered._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" in tree and "Generate" not in tree and "Window" not in tree
